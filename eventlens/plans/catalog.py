@@ -106,3 +106,69 @@ def tumbling_sum_keep_first(spark, sf):
 def sliding_count(spark, sf):
     r = A.readings(_events(spark, sf))
     return W.sliding_count(r, "ts", "1 hour", "10 minutes", keys=["id"], strategy="direct")
+
+
+# --- rolling aggregates, count windows, changelog -------------------------
+
+from eventlens.operators import rolling as R  # noqa: E402
+from eventlens.operators import changelog as C  # noqa: E402
+
+
+def _readings(spark, sf):
+    return A.readings(_events(spark, sf))
+
+
+@query
+def word_count(spark, sf):
+    return R.word_count(A.table(spark, sf, "documents"))
+
+
+@query
+def rolling_sum(spark, sf):
+    return R.rolling_sum(A.table(spark, sf, "documents"))
+
+
+@query
+def rolling_count(spark, sf):
+    return R.rolling_count(_readings(spark, sf).select("id", "event_id"), "id", "event_id")
+
+
+@query
+def rolling_max_by(spark, sf):
+    r = _readings(spark, sf).select("id", "event_id", "timestamp", "temperature")
+    return R.rolling_max_by(r, "id", "event_id", "temperature", carry=["timestamp"])
+
+
+@query
+def rolling_latest_max(spark, sf):
+    r = _readings(spark, sf).select("id", "event_id", "timestamp", "temperature")
+    return R.rolling_latest_max(r, "id", "event_id", "temperature")
+
+
+@query
+def keyed_history(spark, sf):
+    r = _readings(spark, sf).select("id", "event_id")
+    return R.keyed_history(r, "id", "event_id", "event_id", max_len=5)
+
+
+@query
+def latest_value_map(spark, sf):
+    e = _events(spark, sf).select("user_id", "event_type", "value", "event_id")
+    return R.latest_value_map(e, "user_id", "event_type", "value", "event_id")
+
+
+@query
+def global_sequence(spark, sf):
+    return R.global_sequence(_events(spark, sf).select("event_id", "user_id"), "event_id")
+
+
+@query
+def count_window_avg(spark, sf):
+    r = _readings(spark, sf).select("id", "event_id", "temp_cents")
+    return R.count_window(r, "id", "event_id", "temp_cents", size=10, slide=2)
+
+
+@query
+def changelog_stats(spark, sf):
+    r = _readings(spark, sf).select("id", "event_id", "temp_cents")
+    return C.changelog_count_avg(r, "id", "event_id", "temp_cents")

@@ -104,3 +104,94 @@ WITH {READ},
 w AS (SELECT id, ((timestamp // 600) + 1 + k) * 600000 AS window_end FROM rd, range(6) r(k))
 SELECT id, window_end, count(*) AS cnt FROM w GROUP BY id, window_end
 """
+
+WORDS = """tok AS (
+  SELECT doc_id,
+         CASE WHEN text = '' THEN ['']
+              WHEN rtrim(text, ' ') = '' THEN CAST([] AS VARCHAR[])
+              ELSE string_split(rtrim(text, ' '), ' ') END AS arr
+  FROM documents),
+words AS (SELECT doc_id, unnest(range(len(arr))) AS pos, unnest(arr) AS word FROM tok)"""
+
+
+def avg4(s: str, n: str) -> str:
+    """Half-up average to 4 places of a cents sum (integer arithmetic)."""
+    return f"(CAST(((2 * ({s}) * 100 + ({n})) // (2 * ({n}))) AS BIGINT) / 10000.0)"
+
+
+SQL["word_count"] = f"""
+WITH {WORDS}
+SELECT word, count(*) AS cnt FROM words GROUP BY word
+"""
+
+SQL["rolling_sum"] = f"""
+WITH {WORDS}
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, word,
+       row_number() OVER (PARTITION BY word ORDER BY doc_id, pos) AS cnt
+FROM words
+"""
+
+SQL["rolling_count"] = f"""
+WITH {READ}
+SELECT id, event_id, row_number() OVER (PARTITION BY id ORDER BY event_id) AS cnt FROM rd
+"""
+
+SQL["rolling_max_by"] = f"""
+WITH {READ},
+p AS (SELECT *, max(temperature) OVER (PARTITION BY id ORDER BY event_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max FROM rd),
+q AS (SELECT *, max(CASE WHEN prev_max IS NULL OR temperature > prev_max THEN event_id END)
+                 OVER (PARTITION BY id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rec
+      FROM p)
+SELECT q.id, q.event_id, q.timestamp, q.temperature, q.rec AS max_event_id,
+       b.timestamp AS max_timestamp, b.temperature AS max_temperature
+FROM q JOIN rd b ON b.event_id = q.rec
+"""
+
+SQL["rolling_latest_max"] = f"""
+WITH {READ}
+SELECT id, event_id, timestamp,
+       max(temperature) OVER (PARTITION BY id ORDER BY event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS temperature
+FROM rd
+"""
+
+SQL["keyed_history"] = f"""
+WITH {READ}
+SELECT id, event_id,
+       coalesce(array_to_string(list(event_id) OVER (PARTITION BY id ORDER BY event_id
+                ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), ','), '') AS history
+FROM rd
+"""
+
+SQL["latest_value_map"] = """
+SELECT user_id, event_type, arg_max(value, event_id) AS value, max(event_id) AS event_id
+FROM events GROUP BY user_id, event_type
+"""
+
+SQL["global_sequence"] = """
+SELECT event_id, user_id, row_number() OVER (ORDER BY event_id) AS seq FROM events
+"""
+
+SQL["count_window_avg"] = f"""
+WITH {READ},
+w AS (SELECT id, event_id,
+             row_number() OVER (PARTITION BY id ORDER BY event_id) AS n,
+             count(*) OVER (PARTITION BY id ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS cnt,
+             sum(temp_cents) OVER (PARTITION BY id ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS s
+      FROM rd)
+SELECT id, n, event_id, cnt, {avg4('s', 'cnt')} AS avg_temp FROM w WHERE n % 2 = 0
+"""
+
+SQL["changelog_stats"] = f"""
+WITH {READ},
+r AS (SELECT id, event_id, temp_cents,
+             row_number() OVER (PARTITION BY id ORDER BY event_id) AS n,
+             sum(temp_cents) OVER (PARTITION BY id ORDER BY event_id
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s
+      FROM rd)
+SELECT id, event_id, '+' AS op, n AS cnt, {avg4('s', 'n')} AS avg_temp, 1 AS seq FROM r
+UNION ALL
+SELECT id, event_id, '-' AS op, n - 1 AS cnt, {avg4('s - temp_cents', 'n - 1')} AS avg_temp, 0 AS seq
+FROM r WHERE n > 1
+"""
