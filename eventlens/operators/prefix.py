@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from eventlens.functions.time import to_col
 
 DEFAULT_BUCKETS = 256
+BUCKET = "_pb"
 
 
 @dataclass(frozen=True)
@@ -87,11 +88,20 @@ def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, P
 
     ``order`` must be a total order within a key (carry a tie-breaker).
     ``bucket`` may be given when a monotone coarse order column exists.
+    A ``_pb`` column already present (left by an earlier prefix stage over
+    the same first order column) is reused, so chained stages do not
+    re-run their upstream plan to find the span; the result keeps ``_pb``
+    when it was present in the input.
     """
     keys = list(keys)
     order_cols = [to_col(o) for o in order]
-    b = bucket if bucket is not None else range_bucket(df, order[0], buckets)
-    d = df.withColumn("_pb", b)
+    carried = BUCKET in df.columns
+    if bucket is not None:
+        d = df.withColumn(BUCKET, bucket)
+    elif carried:
+        d = df
+    else:
+        d = df.withColumn(BUCKET, range_bucket(df, order[0], buckets))
     part = keys + ["_pb"]
     inc = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     exc = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
@@ -107,6 +117,7 @@ def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, P
                                     for n, p in aggs.items()])
 
     joined = local.join(prefix, on=part, how="inner")
-    out = [F.col(c) for c in df.columns]
+    out = [F.col(c) for c in df.columns if c != BUCKET] + [F.col(BUCKET)] if carried else \
+        [F.col(c) for c in df.columns]
     out += [_merge(p.kind, F.col(f"_p_{n}"), F.col(f"_l_{n}")).alias(n) for n, p in aggs.items()]
     return joined.select(*out)

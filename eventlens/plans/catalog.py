@@ -172,3 +172,58 @@ def count_window_avg(spark, sf):
 def changelog_stats(spark, sf):
     r = _readings(spark, sf).select("id", "event_id", "temp_cents")
     return C.changelog_count_avg(r, "id", "event_id", "temp_cents")
+
+
+# --- rules, patterns, timer folds -------------------------------------------
+
+from eventlens.operators import fold as FO  # noqa: E402
+from eventlens.operators import patterns as PT  # noqa: E402
+from eventlens.operators import rules as RU  # noqa: E402
+
+# Windows of the login rules are scaled to the driver's data (150 users over
+# 30 days at sf0.01): hours instead of seconds.
+PAIR_WITHIN_S = 3600
+TIMES_WITHIN_S = 86400
+TIMER_WITHIN_S = 86400
+RISE_INTERVAL_S = 3600
+
+
+def _logins(spark, sf):
+    return A.logins(_events(spark, sf))
+
+
+@query
+def jump_alarm(spark, sf):
+    return RU.jump_alarm(_readings(spark, sf), "id", "event_id", "temperature", 10.0)
+
+
+@query
+def login_fail_pairs(spark, sf):
+    return RU.login_fail_pairs(_logins(spark, sf), PAIR_WITHIN_S)
+
+
+@query
+def match_times3(spark, sf):
+    return PT.login_fail_times(_logins(spark, sf), 3, TIMES_WITHIN_S)
+
+
+@query
+def match_sequence(spark, sf):
+    lg = _logins(spark, sf)
+    fail = F.col("login_state") == "fail"
+    m = PT.match_sequence(lg, "user_id", "timestamp", "event_id", [fail, fail, fail], TIMES_WITHIN_S)
+    m = PT.select_match(m, "failEvents")
+    return m.select("user_id", F.col("first.timestamp").alias("first_fail_time"),
+                    F.col("last.timestamp").alias("last_fail_time"),
+                    F.concat(F.lit("login fail "), F.size(F.col("matches")["failEvents"]).cast("string"),
+                             F.lit(" times")).alias("warning_msg"))
+
+
+@query
+def login_fail_timer(spark, sf):
+    return FO.login_fail_timer(_logins(spark, sf), 2, TIMER_WITHIN_S)
+
+
+@query
+def rising_alarm(spark, sf):
+    return FO.rising_alarm(_readings(spark, sf), RISE_INTERVAL_S)

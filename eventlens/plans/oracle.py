@@ -195,3 +195,83 @@ UNION ALL
 SELECT id, event_id, '-' AS op, n - 1 AS cnt, {avg4('s - temp_cents', 'n - 1')} AS avg_temp, 0 AS seq
 FROM r WHERE n > 1
 """
+
+SQL["jump_alarm"] = f"""
+WITH {READ},
+p AS (SELECT id, event_id, temperature,
+             lag(temperature) OVER (PARTITION BY id ORDER BY event_id) AS last_temperature FROM rd)
+SELECT id, event_id, last_temperature, temperature FROM p
+WHERE last_temperature IS NOT NULL AND abs(temperature - last_temperature) >= 10.0
+"""
+
+SQL["login_fail_pairs"] = f"""
+WITH {LOGIN},
+p AS (SELECT user_id, login_state, timestamp,
+             lag(login_state) OVER w AS ps, lag(timestamp) OVER w AS pt
+      FROM lg WINDOW w AS (PARTITION BY user_id ORDER BY timestamp, event_id))
+SELECT user_id, pt AS first_fail_time, timestamp AS last_fail_time, 'login fail' AS warning_msg
+FROM p WHERE login_state = 'fail' AND ps = 'fail' AND timestamp - pt <= 3600
+"""
+
+SQL["match_times3"] = f"""
+WITH {LOGIN},
+p AS (SELECT user_id, login_state, timestamp,
+             lead(login_state, 1) OVER w AS s1, lead(login_state, 2) OVER w AS s2,
+             lead(timestamp, 2) OVER w AS t2
+      FROM lg WINDOW w AS (PARTITION BY user_id ORDER BY timestamp, event_id))
+SELECT user_id, timestamp AS first_fail_time, t2 AS last_fail_time, 'login fail 3 times' AS warning_msg
+FROM p WHERE login_state = 'fail' AND s1 = 'fail' AND s2 = 'fail' AND t2 - timestamp < 86400
+"""
+SQL["match_sequence"] = SQL["match_times3"]
+
+SQL["login_fail_timer"] = f"""
+WITH RECURSIVE {LOGIN},
+r AS (SELECT user_id, login_state = 'fail' AS fail, timestamp AS t,
+             row_number() OVER (PARTITION BY user_id ORDER BY timestamp, event_id) AS i,
+             count(*) OVER (PARTITION BY user_id) AS m
+      FROM lg),
+s(user_id, i, m, f, l, n, of, ol, on_) AS (
+  SELECT user_id, i, m, CASE WHEN fail THEN t END, CASE WHEN fail THEN t END,
+         CASE WHEN fail THEN 1 ELSE 0 END, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS INTEGER)
+  FROM r WHERE i = 1
+  UNION ALL
+  SELECT r.user_id, r.i, r.m,
+         CASE WHEN NOT r.fail THEN NULL
+              WHEN s.f IS NOT NULL AND r.t <= s.f + 86400 THEN s.f ELSE r.t END,
+         CASE WHEN NOT r.fail THEN NULL ELSE r.t END,
+         CASE WHEN NOT r.fail THEN 0
+              WHEN s.f IS NOT NULL AND r.t <= s.f + 86400 THEN s.n + 1 ELSE 1 END,
+         CASE WHEN s.f IS NOT NULL AND r.t > s.f + 86400 THEN s.f END,
+         CASE WHEN s.f IS NOT NULL AND r.t > s.f + 86400 THEN s.l END,
+         CASE WHEN s.f IS NOT NULL AND r.t > s.f + 86400 THEN s.n END
+  FROM s JOIN r ON r.user_id = s.user_id AND r.i = s.i + 1),
+alarms AS (
+  SELECT user_id, of AS f, ol AS l, on_ AS n FROM s WHERE of IS NOT NULL
+  UNION ALL
+  SELECT user_id, f, l, n FROM s WHERE i = m AND f IS NOT NULL)
+SELECT user_id, f AS first_fail_time, l AS last_fail_time, 'login fail ' || CAST(n AS VARCHAR) AS warning_msg
+FROM alarms WHERE n >= 2
+"""
+
+SQL["rising_alarm"] = f"""
+WITH RECURSIVE {READ},
+r AS (SELECT id, timestamp AS t,
+             coalesce(temperature > lag(temperature) OVER w, true) AS rise,
+             row_number() OVER w AS i, count(*) OVER (PARTITION BY id) AS m
+      FROM rd WINDOW w AS (PARTITION BY id ORDER BY timestamp, event_id)),
+s(id, i, m, a, fired) AS (
+  SELECT id, i, m, CASE WHEN rise THEN t END, CAST(NULL AS BIGINT) FROM r WHERE i = 1
+  UNION ALL
+  SELECT r.id, r.i, r.m,
+         CASE WHEN s.a IS NOT NULL AND r.t > s.a + 3600 THEN (CASE WHEN r.rise THEN r.t END)
+              WHEN s.a IS NULL THEN (CASE WHEN r.rise THEN r.t END)
+              WHEN r.rise THEN s.a
+              ELSE NULL END,
+         CASE WHEN s.a IS NOT NULL AND r.t > s.a + 3600 THEN s.a END
+  FROM s JOIN r ON r.id = s.id AND r.i = s.i + 1),
+alarms AS (SELECT id, fired AS a FROM s WHERE fired IS NOT NULL
+           UNION ALL SELECT id, a FROM s WHERE i = m AND a IS NOT NULL)
+SELECT id, a AS armed_ts, a + 3600 AS fired_ts,
+       'sensor ' || id || ' rose continuously for 3600s' AS warning_msg
+FROM alarms
+"""
