@@ -227,3 +227,158 @@ def login_fail_timer(spark, sf):
 @query
 def rising_alarm(spark, sf):
     return FO.rising_alarm(_readings(spark, sf), RISE_INTERVAL_S)
+
+
+# --- routing, partitioning, tables -----------------------------------------
+
+from eventlens.functions import text as TX  # noqa: E402
+from eventlens.operators import lateness as LT  # noqa: E402
+from eventlens.operators import partition as PA  # noqa: E402
+from eventlens.operators import routing as RT  # noqa: E402
+from eventlens.operators import tables as TB  # noqa: E402
+from eventlens.operators import udf as U  # noqa: E402
+
+SENSOR_COLS = ["id", "event_id", "timestamp", "temperature"]
+
+
+def _sensor(spark, sf):
+    return _readings(spark, sf).select(*SENSOR_COLS)
+
+
+def _high_low(spark, sf):
+    return RT.split_by(_sensor(spark, sf), {"high": F.col("temperature") > 30,
+                                            "low": F.col("temperature") <= 30})
+
+
+@query
+def split_high(spark, sf):
+    return _high_low(spark, sf)["high"]
+
+
+@query
+def split_low(spark, sf):
+    return _high_low(spark, sf)["low"]
+
+
+@query
+def side_output_low(spark, sf):
+    _, side = RT.route_to(_sensor(spark, sf), F.col("temperature") > 30,
+                          {"low": F.col("temperature") <= 30})
+    return side["low"]
+
+
+@query
+def co_map(spark, sf):
+    parts = _high_low(spark, sf)
+    return RT.co_map(
+        parts["high"], lambda d: d.select("id", "event_id", "temperature", F.lit("high warning").alias("status")),
+        parts["low"], lambda d: d.select("id", "event_id", "temperature", F.lit("normal").alias("status")))
+
+
+@query
+def union_all(spark, sf):
+    parts = _high_low(spark, sf)
+    every = RT.split_by(_sensor(spark, sf), {"all": F.col("temperature").isNotNull()})["all"]
+    return RT.union_all(parts["high"], parts["low"], every)
+
+
+@query
+def partition_custom(spark, sf):
+    p = PA.partition_by(_sensor(spark, sf), "custom", 4, key="timestamp")
+    return PA.with_partition_id(p).groupBy("part").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@query
+def sensor_stats(spark, sf):
+    return TB.sensor_stats(_readings(spark, sf))
+
+
+@query
+def sensor_stats_sql(spark, sf):
+    return TB.sensor_stats_sql(spark, _readings(spark, sf))
+
+
+@query
+def table_select(spark, sf):
+    _sensor(spark, sf).createOrReplaceTempView("sensor_table")
+    return spark.table("sensor_table").select("id", "temperature").filter("id = 'sensor_1'")
+
+
+@query
+def prefix_filter(spark, sf):
+    return _sensor(spark, sf).where(F.col("id").startswith("sensor_1")).select("id", "event_id")
+
+
+# --- parsing and text --------------------------------------------------------
+
+def _sensor_lines(spark, sf):
+    r = _sensor(spark, sf)
+    return r.select("event_id", F.concat_ws(",", "id", F.col("timestamp").cast("string"),
+                                            F.col("temperature").cast("string")).alias("value"))
+
+
+@query
+def parse_sensor_lines(spark, sf):
+    return P.valid_rows(P.parse_sensor(_sensor_lines(spark, sf)))
+
+
+@query
+def stamp_records(spark, sf):
+    return TX.stamp_records(_sensor_lines(spark, sf), now_ms=1700000000000)
+
+
+@query
+def parse_access_log(spark, sf):
+    return P.valid_rows(P.parse_access_log(
+        A.access_log_lines(_events(spark, sf), A.table(spark, sf, "pages"))))
+
+
+@query
+def static_filter(spark, sf):
+    return TX.drop_static_assets(parse_access_log(spark, sf), "url", ["html"]).select("event_id", "url")
+
+
+@query
+def field_lengths(spark, sf):
+    return TX.field_lengths(A.table(spark, sf, "documents").select("doc_id", "text"), "text", ",")
+
+
+@query
+def tokenize_words(spark, sf):
+    return TX.tokenize_words(A.table(spark, sf, "documents").select("doc_id", "text"), "text",
+                             with_position=True)
+
+
+@query
+def hot_items_report(spark, sf):
+    return N.format_ranking(hot_items(spark, sf))
+
+
+@query
+def id_length(spark, sf):
+    def lengths(pdf, ctx):
+        return pdf.assign(len=pdf["id"].str.len().astype("int32"))[["id", "event_id", "len"]]
+    return U.map_partitions_with_setup(_sensor(spark, sf).select("id", "event_id"), lengths,
+                                       "id string, event_id bigint, len int")
+
+
+# --- lateness ----------------------------------------------------------------
+
+LATE_SIZE, LATE_DELAY, LATE_ALLOWED = "1 hour", "10 minutes", "10 minutes"
+
+
+def _late_marked(spark, sf):
+    a = A.arrivals(_events(spark, sf)).withColumn("ts_ms", F.col("timestamp") * 1000)
+    return LT.mark_late(a, "ts_ms", ["arrival", "event_id"], LATE_SIZE, LATE_DELAY, LATE_ALLOWED)
+
+
+@query
+def late_rows(spark, sf):
+    return _late_marked(spark, sf).where("late").select("event_id", "timestamp", "arrival", "window_end")
+
+
+@query
+def hot_pages_late(spark, sf):
+    on_time = _late_marked(spark, sf).where(~F.col("late"))
+    counts = on_time.groupBy("window_end", "event_type").agg(F.count(F.lit(1)).alias("cnt"))
+    return N.top_n_per_group(counts, ["window_end"], [F.col("cnt").desc(), F.col("event_type").asc()], 3)

@@ -275,3 +275,94 @@ SELECT id, a AS armed_ts, a + 3600 AS fired_ts,
        'sensor ' || id || ' rose continuously for 3600s' AS warning_msg
 FROM alarms
 """
+
+SENS = "id, event_id, timestamp, temperature"
+
+SQL["split_high"] = f"WITH {READ} SELECT {SENS} FROM rd WHERE temperature > 30"
+SQL["split_low"] = f"WITH {READ} SELECT {SENS} FROM rd WHERE temperature <= 30"
+SQL["side_output_low"] = SQL["split_low"]
+SQL["co_map"] = f"""
+WITH {READ}
+SELECT id, event_id, temperature, CASE WHEN temperature > 30 THEN 'high warning' ELSE 'normal' END AS status
+FROM rd
+"""
+SQL["union_all"] = f"""
+WITH {READ}
+SELECT {SENS} FROM rd WHERE temperature > 30
+UNION ALL SELECT {SENS} FROM rd WHERE temperature <= 30
+UNION ALL SELECT {SENS} FROM rd
+"""
+SQL["partition_custom"] = f"""
+WITH {READ}
+SELECT CAST(timestamp % 4 AS INTEGER) AS part, count(*) AS cnt FROM rd GROUP BY 1
+"""
+SQL["sensor_stats"] = f"""
+WITH {READ}
+SELECT id, count(id) AS cnt, {avg4('sum(temp_cents)', 'count(id)')} AS avg_temp FROM rd GROUP BY id
+"""
+SQL["sensor_stats_sql"] = SQL["sensor_stats"]
+SQL["table_select"] = f"WITH {READ} SELECT id, temperature FROM rd WHERE id = 'sensor_1'"
+SQL["prefix_filter"] = f"WITH {READ} SELECT id, event_id FROM rd WHERE starts_with(id, 'sensor_1')"
+SQL["parse_sensor_lines"] = f"WITH {READ} SELECT event_id, {SENS.replace('event_id, ', '')} FROM rd"
+SQL["stamp_records"] = f"""
+WITH {READ}
+SELECT event_id, '1700000000000,' || id || ',' || CAST(timestamp AS VARCHAR) || ',' || CAST(temperature AS VARCHAR) AS value
+FROM rd
+"""
+SQL["parse_access_log"] = f"""
+WITH {LOG}, u AS (SELECT event_id, user_id FROM events)
+SELECT acc.event_id,
+       '10.' || CAST((u.user_id // 65536) % 256 AS VARCHAR) || '.' || CAST((u.user_id // 256) % 256 AS VARCHAR)
+             || '.' || CAST(u.user_id % 256 AS VARCHAR) AS ip,
+       '-' AS user_id, acc.t * 1000 AS timestamp, acc.method, acc.url
+FROM acc JOIN u ON u.event_id = acc.event_id
+"""
+SQL["static_filter"] = f"""
+WITH {LOG}
+SELECT event_id, url FROM acc WHERE NOT regexp_matches(url, '\\.(html)$')
+"""
+SQL["field_lengths"] = """
+WITH f AS (
+  SELECT doc_id,
+         CASE WHEN text = '' THEN ['']
+              WHEN rtrim(text, ',') = '' THEN CAST([] AS VARCHAR[])
+              ELSE string_split(rtrim(text, ','), ',') END AS arr
+  FROM documents)
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, CAST(length(x) AS INTEGER) AS len
+FROM (SELECT doc_id, unnest(range(len(arr))) AS pos, unnest(arr) AS x FROM f)
+"""
+SQL["tokenize_words"] = f"""
+WITH {WORDS}
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, word FROM words
+"""
+SQL["hot_items_report"] = f"""
+WITH h AS ({SQL['hot_items']})
+SELECT window_end,
+       'window end: ' || strftime(make_timestamp(window_end * 1000), '%Y-%m-%d %H:%M:%S.%g') || chr(10) ||
+       string_agg('NO ' || CAST(rn AS VARCHAR) || ': item_id=' || CAST(item_id AS VARCHAR)
+                  || ' count=' || CAST(cnt AS VARCHAR), chr(10) ORDER BY rn) AS report
+FROM h GROUP BY window_end
+"""
+SQL["id_length"] = f"WITH {READ} SELECT id, event_id, CAST(length(id) AS INTEGER) AS len FROM rd"
+
+ARR = """ar AS (
+  SELECT event_id, event_type, epoch_us(ts) // 1000000 AS timestamp,
+         epoch_us(ts) // 1000000 + (event_id * 7919) % 5400 AS arrival
+  FROM events),
+m AS (
+  SELECT *, (timestamp // 3600 + 1) * 3600000 AS window_end,
+         max(timestamp * 1000) OVER (ORDER BY arrival, event_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 600000 AS wm
+  FROM ar)"""
+
+SQL["late_rows"] = f"""
+WITH {ARR}
+SELECT event_id, timestamp, arrival, window_end FROM m WHERE window_end - 1 + 600000 <= wm
+"""
+SQL["hot_pages_late"] = f"""
+WITH {ARR},
+c AS (SELECT window_end, event_type, count(*) AS cnt FROM m
+      WHERE NOT coalesce(window_end - 1 + 600000 <= wm, false) GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, event_type) AS rn FROM c)
+SELECT window_end, event_type, cnt, CAST(rn AS INTEGER) AS rn FROM r WHERE rn <= 3
+"""
