@@ -6,11 +6,11 @@ job in a single task. Prefix aggregates that combine associatively
 (count, sum, max, min) are split in two phases instead:
 
 1. rows get a range bucket of the first order column (equal-width over the
-   column's span, bounds from a scalar subquery, at most ``buckets``);
+   column's span; span and row count from a scalar subquery; about one
+   bucket per million rows);
 2. a running aggregate inside each (key, bucket) — parallel over buckets;
 3. per-(key, bucket) totals (a grouped aggregate with map-side combine),
-   then a running total over the buckets of a key — at most ``buckets``
-   rows per key;
+   then a running total over the buckets of a key — one row per bucket;
 4. an equi-join on (key, bucket) adds the earlier buckets' total to each row.
 
 The bucket is a pure function of the row, so re-running a lost task gives
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from eventlens.functions.time import to_col
 
-DEFAULT_BUCKETS = 256
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 1_000_000
 BUCKET = "_pb"
 
 
@@ -66,23 +67,35 @@ def order_number(c) -> Column:
     return to_col(c)
 
 
-def range_bucket(df: DataFrame, order_col, buckets: int = DEFAULT_BUCKETS) -> Column:
-    """Equal-width bucket in [0, buckets) of ``order_col`` over its span.
+def range_bucket(df: DataFrame, order_col, buckets: int | None = None,
+                 rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
+                 weight: Column | None = None) -> Column:
+    """Equal-width bucket of ``order_col`` over its span.
 
-    The span comes from a scalar subquery (one small aggregate job), so
-    the expression stays lazy and deterministic.
+    The number of buckets grows with the input: ceil(rows / rows_per_bucket),
+    capped at ``max_buckets`` (or fixed by ``buckets``), so a hot key is cut
+    into pieces of about ``rows_per_bucket`` rows at any scale while small
+    inputs pay for few buckets. ``weight`` replaces the row count by a sum
+    (e.g. text length when each row later explodes into many). Span and
+    size come from one merged scalar subquery, so the expression stays lazy
+    and deterministic.
     """
     o = to_col(order_col)
-    span = df.agg(F.min(o).cast("double").alias("lo"),
-                  F.max(o).cast("double").alias("hi"))
-    lo = span.select("lo").scalar()
-    hi = span.select("hi").scalar()
-    width = (hi - lo + F.lit(1.0)) / F.lit(float(buckets))
-    return F.least(F.floor((o.cast("double") - lo) / width), F.lit(buckets - 1)).cast("int")
+    st = df.agg(F.min(o).cast("double").alias("lo"), F.max(o).cast("double").alias("hi"),
+                (F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n"))
+    lo = st.select("lo").scalar()
+    hi = st.select("hi").scalar()
+    if buckets is None:
+        nb = F.least(F.greatest(F.ceil(st.select("n").scalar() / F.lit(float(rows_per_bucket))), F.lit(1)),
+                     F.lit(max_buckets)).cast("double")
+    else:
+        nb = F.lit(float(buckets))
+    width = (hi - lo + F.lit(1.0)) / nb
+    return F.least(F.floor((o.cast("double") - lo) / width), nb - 1).cast("int")
 
 
 def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, Prefix],
-                       buckets: int = DEFAULT_BUCKETS, bucket: Column | None = None) -> DataFrame:
+                       buckets: int | None = None, bucket: Column | None = None) -> DataFrame:
     """Add one column per ``aggs`` entry: the aggregate over the key's rows
     up to (inclusive) or before (exclusive) each row in ``order``.
 
@@ -110,7 +123,9 @@ def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, P
                   for n, p in aggs.items()]
     local = d.select("*", *local_cols)
 
-    totals = d.groupBy(*part).agg(*[_agg(p.kind, p.col).alias(f"_t_{n}") for n, p in aggs.items()])
+    # Totals come from the same (key, bucket)-partitioned rows as the local
+    # window: the input is shuffled once and the aggregate needs no exchange.
+    totals = local.groupBy(*part).agg(*[_agg(p.kind, p.col).alias(f"_t_{n}") for n, p in aggs.items()])
     spec = Window.partitionBy(*keys) if keys else Window  # no key: ≤ buckets rows in total
     before = spec.orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(*part, *[_reagg(p.kind, f"_t_{n}").over(before).alias(f"_p_{n}")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.functions.text import tokenize_words
-from eventlens.operators.prefix import Prefix, running_aggregates
+from eventlens.operators.prefix import BUCKET, ROWS_PER_BUCKET, Prefix, range_bucket, running_aggregates
 
 
 def avg_half_up(sum_units: Column, n: Column, unit_places: int = 2, places: int = 4) -> Column:
@@ -39,9 +39,18 @@ def word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def rolling_sum(docs: DataFrame, text_col: str = "text", doc_col: str = "doc_id") -> DataFrame:
-    """Running count of each word in arrival order (document, then position)."""
-    words = tokenize_words(docs.select(doc_col, text_col), text_col, with_position=True)
-    return running_aggregates(words, ["word"], [doc_col, "pos"], {"cnt": Prefix("count")})
+    """Running count of each word in arrival order (document, then position).
+
+    The arrival bucket is taken on the documents before tokenizing, so the
+    span subquery reads lengths instead of splitting every text; bucket
+    count follows the text volume (~6 characters per token).
+    """
+    d = docs.select(doc_col, text_col)
+    d = d.withColumn(BUCKET, range_bucket(d, doc_col, rows_per_bucket=6 * ROWS_PER_BUCKET,
+                                          weight=F.length(text_col)))
+    words = tokenize_words(d, text_col, with_position=True)
+    r = running_aggregates(words, ["word"], [doc_col, "pos"], {"cnt": Prefix("count")})
+    return r.drop(BUCKET)
 
 
 def rolling_count(df: DataFrame, key: str, arrival: str, name: str = "cnt") -> DataFrame:

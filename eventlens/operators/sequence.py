@@ -33,13 +33,26 @@ def _suffix(off: int) -> str:
 def with_offsets(indexed: DataFrame, keys, cols, offsets, idx: str = IDX) -> DataFrame:
     """Add ``<col>_p1`` (previous row), ``<col>_n1`` (next row), … per key.
 
-    Rows without such a neighbour get NULLs (left joins).
+    One bounded expansion: every row is sent to its own index and, for each
+    offset k, to index − k (where it is the k-th neighbour); a group by
+    (key, index) then holds the row and its neighbours. One shuffle, each
+    group at most 1 + len(offsets) rows. Missing neighbours are NULL.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    out = indexed
+    own = [c for c in indexed.columns if c not in keys and c != idx]
+    payload = F.struct(*[F.col(c) for c in cols])
+    roles = [F.struct(F.col(idx).alias("_t"), F.lit(0).alias("_r"),
+                      F.struct(*[F.col(c) for c in own]).alias("_self"), payload.alias("_p"))]
     for off in offsets:
-        sfx = _suffix(off)
-        nb = indexed.select(*keys, (F.col(idx) - F.lit(off)).alias(idx),
-                            *[F.col(c).alias(f"{c}_{sfx}") for c in cols])
-        out = out.join(nb, on=[*keys, idx], how="left")
-    return out
+        roles.append(F.struct((F.col(idx) - F.lit(off)).alias("_t"), F.lit(off).alias("_r"),
+                              F.lit(None).cast(indexed.select(F.struct(*[F.col(c) for c in own])).schema[0].dataType)
+                              .alias("_self"), payload.alias("_p")))
+    ex = indexed.select(*keys, F.explode(F.array(*roles)).alias("_e"))
+    g = ex.groupBy(*keys, F.col("_e._t").alias(idx)).agg(
+        F.max(F.when(F.col("_e._r") == 0, F.col("_e._self"))).alias("_self"),
+        *[F.max(F.when(F.col("_e._r") == off, F.col("_e._p"))).alias(f"_nb{i}") for i, off in enumerate(offsets)])
+    out = g.where(F.col("_self").isNotNull()).select(
+        *keys, idx, *[F.col("_self").getField(c).alias(c) for c in own],
+        *[F.col(f"_nb{i}").getField(c).alias(f"{c}_{_suffix(off)}")
+          for i, off in enumerate(offsets) for c in cols])
+    return out.select(*indexed.columns, *[c for c in out.columns if c not in indexed.columns])

@@ -51,11 +51,16 @@ def sliding_count(df: DataFrame, time_col: str, size, slide, keys=(), strategy:
         return sliding(df, time_col, size, slide, keys, [F.count(F.lit(1)).alias(count_col)], end_col)
     size_ms, slide_ms = interval_ms(size), interval_ms(slide)
     pane_ms = math.gcd(size_ms, slide_ms)
-    panes = (df.groupBy(F.window(F.col(time_col), ms_to_spec(pane_ms)).start.alias("_pane"), *keys)
-               .agg(F.count(F.lit(1)).alias("_n")))
-    g = panes.groupBy(F.window("_pane", ms_to_spec(size_ms), ms_to_spec(slide_ms)).alias("window"), *keys)
-    return g.agg(F.sum("_n").cast("bigint").alias(count_col)).select(
-        *keys, window_end_ms("window").alias(end_col), count_col)
+    pane = F.floor(F.unix_millis(F.col(time_col).cast("timestamp")) / F.lit(pane_ms)).cast("bigint")
+    panes = df.groupBy(pane.alias("_pane"), *keys).agg(F.count(F.lit(1)).alias("_n"))
+    # windows containing pane [P, P + pane): ends e (multiples of slide) with
+    # P + pane <= e <= P + size; the first is ceil((P + pane) / slide).
+    first = F.call_function("div", (F.col("_pane") + 1) * F.lit(pane_ms) + F.lit(slide_ms - 1),
+                            F.lit(slide_ms))
+    last = F.call_function("div", F.col("_pane") * F.lit(pane_ms) + F.lit(size_ms), F.lit(slide_ms))
+    ends = panes.select(*keys, "_n", F.explode(F.sequence(first, last)).alias("_e"))
+    g = ends.groupBy(*keys, (F.col("_e") * F.lit(slide_ms)).alias(end_col))
+    return g.agg(F.sum("_n").cast("bigint").alias(count_col))
 
 
 def window_min_by(df: DataFrame, time_col: str, size, keys, value: str, arrival: str,

@@ -12,6 +12,10 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Coalescing sizes post-shuffle partitions by the bytes *entering* the
+    # next stage; sliding windows and count windows multiply rows right after
+    # a small shuffle, so keep the floor low and let parallelism win.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
@@ -38,11 +42,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
+    apply_sql_defaults(spark)
+    return spark
+
+
+def apply_sql_defaults(spark: SparkSession) -> None:
+    """Set the runtime SQL settings the operators rely on (any session)."""
     for k, v in _DEFAULTS.items():
         if k.startswith("spark.sql.streaming.stateStore"):
             continue  # fixed at first use of the state store
         spark.conf.set(k, v)
-    return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
