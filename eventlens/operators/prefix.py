@@ -91,7 +91,8 @@ def range_bucket(df: DataFrame, order_col, buckets: int | None = None,
     else:
         nb = F.lit(float(buckets))
     width = (hi - lo + F.lit(1.0)) / nb
-    return F.least(F.floor((o.cast("double") - lo) / width), nb - 1).cast("int")
+    b = F.least(F.floor((o.cast("double") - lo) / width), nb - 1).cast("int")
+    return F.coalesce(b, F.lit(0))  # NULL order values sort first: bucket 0
 
 
 def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, Prefix],
@@ -121,17 +122,35 @@ def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, P
 
     local_cols = [_agg(p.kind, p.col).over(inc if p.inclusive else exc).alias(f"_l_{n}")
                   for n, p in aggs.items()]
+    # inclusive running values; their last value per bucket is the bucket total
+    local_cols += [_agg(p.kind, p.col).over(inc).alias(f"_li_{n}") for n, p in aggs.items() if not p.inclusive]
     local = d.select("*", *local_cols)
 
-    # Totals come from the same (key, bucket)-partitioned rows as the local
-    # window: the input is shuffled once and the aggregate needs no exchange.
-    totals = local.groupBy(*part).agg(*[_agg(p.kind, p.col).alias(f"_t_{n}") for n, p in aggs.items()])
-    spec = Window.partitionBy(*keys) if keys else Window  # no key: ≤ buckets rows in total
+    def inc_col(n, p):
+        return f"_l_{n}" if p.inclusive else f"_li_{n}"
+
+    # Bucket totals are read off the window output (last running value), so
+    # the input is shuffled once: both join sides reuse the same exchange and
+    # the totals aggregate needs none.
+    last = F.struct(*order_cols)
+    totals = local.groupBy(*part).agg(*[
+        (F.max_by(F.col(inc_col(n, p)), last) if p.kind == "sum" else
+         F.max(F.col(inc_col(n, p))) if p.kind in ("count", "max") else
+         F.min(F.col(inc_col(n, p)))).alias(f"_t_{n}")
+        for n, p in aggs.items()])
+    spec = Window.partitionBy(*keys) if keys else Window  # no key: one row per bucket in total
     before = spec.orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(*part, *[_reagg(p.kind, f"_t_{n}").over(before).alias(f"_p_{n}")
                                     for n, p in aggs.items()])
 
-    joined = local.join(prefix, on=part, how="inner")
+    # Null-safe keys: rows with a NULL key form their own group (an inner
+    # equi-join would drop them), and no not-null filter is inferred into
+    # one side only, so both sides keep the identical, reusable exchange.
+    ren = {c: f"_r{i}" for i, c in enumerate(part)}
+    prefix = prefix.select(*[F.col(c).alias(ren[c]) for c in part],
+                           *[c for c in prefix.columns if c not in part])
+    cond = [F.col(c).eqNullSafe(F.col(ren[c])) for c in part]
+    joined = local.join(prefix, on=cond, how="inner")
     out = [F.col(c) for c in df.columns if c != BUCKET] + [F.col(BUCKET)] if carried else \
         [F.col(c) for c in df.columns]
     out += [_merge(p.kind, F.col(f"_p_{n}"), F.col(f"_l_{n}")).alias(n) for n, p in aggs.items()]
