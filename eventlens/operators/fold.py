@@ -33,14 +33,22 @@ def timer_alarms(df: DataFrame, key: str, ts: str, arrival: str, item: str, dela
     carry = [BUCKET] if BUCKET in df.columns else []
     idx = with_index(df.select(key, ts, arrival, item, *carry), key, [ts, arrival])
     nb = with_offsets(idx, key, [item, ts], [-1, 1])
-    items = nb.where(F.col(item))
-    start = (~F.coalesce(F.col(f"{item}_p1"), F.lit(False))
-             | (F.col(ts) - F.col(f"{ts}_p1") > F.lit(delay))).cast("int")
-    seg = running_aggregates(items.withColumn("_start", start), [key], [ts, arrival],
-                             {"_seg": Prefix("sum", "_start")})
+    return fold_segments(nb, key, ts, arrival, F.col(item), F.col(f"{item}_p1"), F.col(f"{item}_n1"),
+                         F.col(f"{ts}_p1"), F.col(f"{ts}_n1"), delay, min_items)
+
+
+def fold_segments(nb: DataFrame, key: str, ts: str, arrival: str, item, item_prev, item_next,
+                  ts_prev, ts_next, delay: int, min_items: int = 1) -> DataFrame:
+    """The fold over rows that already carry their neighbours' item flag and
+    time (``item_prev``/``item_next`` NULL when there is no such row)."""
+    items = nb.select(key, ts, arrival, IDX, BUCKET, item_next.alias("_item_n"), ts_next.alias("_ts_n"),
+                      (~F.coalesce(item_prev, F.lit(False))
+                       | (F.col(ts) - ts_prev > F.lit(delay))).cast("int").alias("_start"),
+                      item.alias("_item")).where(F.col("_item"))
+    seg = running_aggregates(items, [key], [ts, arrival], {"_seg": Prefix("sum", "_start")})
     grouped = seg.groupBy(key, "_seg").agg(
         F.sort_array(F.collect_list(F.struct(F.col(ts).alias("t"), F.col(arrival).alias("a")))).alias("_its"),
-        F.max_by(F.struct(F.col(f"{item}_n1").alias("item"), F.col(f"{ts}_n1").alias("t")),
+        F.max_by(F.struct(F.col("_item_n").alias("item"), F.col("_ts_n").alias("t")),
                  F.col(IDX)).alias("_closer"))
 
     zero = F.struct(F.lit(None).cast("bigint").alias("f"), F.lit(None).cast("bigint").alias("l"),
@@ -88,11 +96,18 @@ def rising_alarm(readings: DataFrame, interval_s: int = 10, key: str = "id", ts:
     ``interval_s`` later; a non-rise cancels it; when it fires the key rose
     continuously. Columns: id, armed_ts, fired_ts, warning_msg."""
     idx = with_index(readings.select(key, ts, arrival, value), key, [ts, arrival])
-    nb = with_offsets(idx, key, [value], [-1])
-    prev = F.col(f"{value}_p1")
-    rise = F.when(prev.isNull(), F.lit(bool(first_arms))).otherwise(F.col(value) > prev)
-    d = nb.select(key, ts, arrival, rise.alias("_rise"), BUCKET)
-    a = timer_alarms(d, key, ts, arrival, "_rise", interval_s, 1)
+    nb = with_offsets(idx, key, [value, ts], [-2, -1, 1])
+    v, v_p1, v_p2, v_n1 = (F.col(value), F.col(f"{value}_p1"), F.col(f"{value}_p2"), F.col(f"{value}_n1"))
+
+    def rise(cur, prev, exists):
+        # the first reading of a key compares with "no previous value"
+        return F.when(~exists, F.lit(None)).when(prev.isNull(), F.lit(bool(first_arms))).otherwise(cur > prev)
+
+    a = fold_segments(nb, key, ts, arrival,
+                      rise(v, v_p1, F.lit(True)),
+                      rise(v_p1, v_p2, v_p1.isNotNull()),
+                      rise(v_n1, v, v_n1.isNotNull()),
+                      F.col(f"{ts}_p1"), F.col(f"{ts}_n1"), interval_s, 1)
     return a.select(key, F.col("first_ts").alias("armed_ts"), F.col("fire_ts").alias("fired_ts"),
                     F.concat(F.lit("sensor "), F.col(key), F.lit(f" rose continuously for {interval_s}s"))
                     .alias("warning_msg"))

@@ -19,6 +19,8 @@ the same answer.
 
 from __future__ import annotations
 
+import math
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,8 +29,15 @@ from pyspark.sql import functions as F
 from eventlens.functions.time import to_col
 
 ROWS_PER_BUCKET = 1_000_000
+
+
+def rows_per_bucket_default() -> int:
+    """Target rows per (key, bucket) task; EVENTLENS_ROWS_PER_BUCKET overrides it
+    (tests set it low to run the split plan on small fixtures)."""
+    return int(os.environ.get("EVENTLENS_ROWS_PER_BUCKET", ROWS_PER_BUCKET))
 MAX_BUCKETS = 1_000_000
 BUCKET = "_pb"
+BUCKETS_META = "eventlens.buckets"
 
 
 @dataclass(frozen=True)
@@ -68,31 +77,41 @@ def order_number(c) -> Column:
 
 
 def range_bucket(df: DataFrame, order_col, buckets: int | None = None,
-                 rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
+                 rows_per_bucket: int | None = None, max_buckets: int = MAX_BUCKETS,
                  weight: Column | None = None) -> Column:
-    """Equal-width bucket of ``order_col`` over its span.
+    """Equal-width bucket of ``order_col`` over its span, as a column whose
+    metadata records the bucket count.
 
     The number of buckets grows with the input: ceil(rows / rows_per_bucket),
     capped at ``max_buckets`` (or fixed by ``buckets``), so a hot key is cut
     into pieces of about ``rows_per_bucket`` rows at any scale while small
-    inputs pay for few buckets. ``weight`` replaces the row count by a sum
-    (e.g. text length when each row later explodes into many). Span and
-    size come from one merged scalar subquery, so the expression stays lazy
-    and deterministic.
+    inputs get one bucket and the plain single-pass plan. ``weight``
+    replaces the row count by a sum (e.g. text length when each row later
+    explodes into many). Span and size are one aggregate row read by the
+    driver (a statistic, like the ones adaptive execution uses).
     """
+    rows_per_bucket = rows_per_bucket or rows_per_bucket_default()
     o = to_col(order_col)
     st = df.agg(F.min(o).cast("double").alias("lo"), F.max(o).cast("double").alias("hi"),
-                (F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n"))
-    lo = st.select("lo").scalar()
-    hi = st.select("hi").scalar()
+                (F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n")).first()
+    lo, hi, n = st["lo"], st["hi"], st["n"] or 0
     if buckets is None:
-        nb = F.least(F.greatest(F.ceil(st.select("n").scalar() / F.lit(float(rows_per_bucket))), F.lit(1)),
-                     F.lit(max_buckets)).cast("double")
+        buckets = int(min(max(math.ceil(n / rows_per_bucket), 1), max_buckets))
+    if lo is None or buckets <= 1:
+        b = F.lit(0)
+        buckets = 1
     else:
-        nb = F.lit(float(buckets))
-    width = (hi - lo + F.lit(1.0)) / nb
-    b = F.least(F.floor((o.cast("double") - lo) / width), nb - 1).cast("int")
-    return F.coalesce(b, F.lit(0))  # NULL order values sort first: bucket 0
+        width = (hi - lo + 1.0) / buckets
+        b = F.coalesce(F.least(F.floor((o.cast("double") - F.lit(lo)) / F.lit(width)),
+                               F.lit(buckets - 1)).cast("int"), F.lit(0))  # NULL order → bucket 0
+    return b.alias(BUCKET, metadata={BUCKETS_META: buckets})
+
+
+def bucket_count(df: DataFrame) -> int | None:
+    """Bucket count recorded on a carried ``_pb`` column (None if absent)."""
+    if BUCKET not in df.columns:
+        return None
+    return df.schema[BUCKET].metadata.get(BUCKETS_META)
 
 
 def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, Prefix],
@@ -111,11 +130,13 @@ def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, P
     order_cols = [to_col(o) for o in order]
     carried = BUCKET in df.columns
     if bucket is not None:
-        d = df.withColumn(BUCKET, bucket)
+        d = df.withColumn(BUCKET, bucket)  # caller's bucket: always the split plan
     elif carried:
         d = df
     else:
-        d = df.withColumn(BUCKET, range_bucket(df, order[0], buckets))
+        d = df.select("*", range_bucket(df, order[0], buckets))
+    if bucket is None and bucket_count(d) == 1:
+        return _single_pass(d, df, keys, order_cols, aggs, carried)
     part = keys + ["_pb"]
     inc = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     exc = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
@@ -155,3 +176,17 @@ def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, P
         [F.col(c) for c in df.columns]
     out += [_merge(p.kind, F.col(f"_p_{n}"), F.col(f"_l_{n}")).alias(n) for n, p in aggs.items()]
     return joined.select(*out)
+
+
+def _single_pass(d: DataFrame, df: DataFrame, keys, order_cols, aggs, carried: bool) -> DataFrame:
+    """One bucket: the running aggregates are plain window frames per key."""
+    spec = Window.partitionBy(*keys) if keys else Window
+    inc = spec.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    exc = spec.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    cols = [F.col(c) for c in df.columns if c != BUCKET]
+    cols += [F.col(BUCKET)] if carried else []
+    out = []
+    for n, p in aggs.items():
+        v = _agg(p.kind, p.col).over(inc if p.inclusive else exc)
+        out.append((v.cast("bigint") if p.kind == "count" else v).alias(n))
+    return d.select(*cols, *out)

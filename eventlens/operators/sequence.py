@@ -22,7 +22,7 @@ def with_index(df: DataFrame, keys, order, name: str = IDX) -> DataFrame:
     later prefix stages over the same order reuse it."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     if BUCKET not in df.columns:
-        df = df.withColumn(BUCKET, range_bucket(df, order[0]))
+        df = df.select("*", range_bucket(df, order[0]))
     return running_aggregates(df, keys, order, {name: Prefix("count")})
 
 
@@ -52,7 +52,7 @@ def with_offsets(indexed: DataFrame, keys, cols, offsets, idx: str = IDX) -> Dat
         F.max(F.when(F.col("_e._r") == 0, F.col("_e._self"))).alias("_self"),
         *[F.max(F.when(F.col("_e._r") == off, F.col("_e._p"))).alias(f"_nb{i}") for i, off in enumerate(offsets)])
     out = g.where(F.col("_self").isNotNull()).select(
-        *keys, idx, *[F.col("_self").getField(c).alias(c) for c in own],
+        *keys, idx, *[F.col("_self").getField(c).alias(c, metadata=indexed.schema[c].metadata) for c in own],
         *[F.col(f"_nb{i}").getField(c).alias(f"{c}_{_suffix(off)}")
           for i, off in enumerate(offsets) for c in cols])
     return out.select(*indexed.columns, *[c for c in out.columns if c not in indexed.columns])
