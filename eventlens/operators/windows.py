@@ -53,13 +53,14 @@ def sliding_count(df: DataFrame, time_col: str, size, slide, keys=(), strategy:
     pane_ms = math.gcd(size_ms, slide_ms)
     pane = F.floor(F.unix_millis(F.col(time_col).cast("timestamp")) / F.lit(pane_ms)).cast("bigint")
     panes = df.groupBy(pane.alias("_pane"), *keys).agg(F.count(F.lit(1)).alias("_n"))
-    # windows containing pane [P, P + pane): ends e (multiples of slide) with
-    # P + pane <= e <= P + size; the first is ceil((P + pane) / slide).
-    first = F.call_function("div", (F.col("_pane") + 1) * F.lit(pane_ms) + F.lit(slide_ms - 1),
-                            F.lit(slide_ms))
-    last = F.call_function("div", F.col("_pane") * F.lit(pane_ms) + F.lit(size_ms), F.lit(slide_ms))
-    ends = panes.select(*keys, "_n", F.explode(F.sequence(first, last)).alias("_e"))
-    g = ends.groupBy(*keys, (F.col("_e") * F.lit(slide_ms)).alias(end_col))
+    # windows containing pane [P, P + pane): starts s (multiples of slide) with
+    # P + pane - size <= s <= P; the window end is s + size. Epoch-ms values
+    # are exact in DOUBLE, so ceil/floor of the quotients are exact.
+    p_ms = F.col("_pane") * F.lit(pane_ms)
+    lo = F.ceil((p_ms + F.lit(pane_ms - size_ms)).cast("double") / F.lit(float(slide_ms))).cast("bigint")
+    hi = F.floor(p_ms.cast("double") / F.lit(float(slide_ms))).cast("bigint")
+    ends = panes.select(*keys, "_n", F.explode(F.sequence(lo, hi)).alias("_s"))
+    g = ends.groupBy(*keys, (F.col("_s") * F.lit(slide_ms) + F.lit(size_ms)).alias(end_col))
     return g.agg(F.sum("_n").cast("bigint").alias(count_col))
 
 
