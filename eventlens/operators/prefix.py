@@ -137,47 +137,54 @@ def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, P
         d = df.select("*", range_bucket(df, order[0], buckets))
     if bucket is None and bucket_count(d) == 1:
         return _single_pass(d, df, keys, order_cols, aggs, carried)
-    part = keys + ["_pb"]
+    d, kcols = _non_null_keys(d, keys)
+    part = kcols + [BUCKET]
+    # Local branch: rows shuffled once by (key, bucket), running aggregates per
+    # bucket. Totals branch: a grouped aggregate with map-side combine, so it
+    # shuffles one row per (key, bucket, map task) and recomputes only the
+    # narrow projection it needs; the window is computed once. The equi-join
+    # on the same non-null columns keeps the local partitioning.
     inc = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     exc = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-
-    local_cols = [_agg(p.kind, p.col).over(inc if p.inclusive else exc).alias(f"_l_{n}")
-                  for n, p in aggs.items()]
-    # inclusive running values; their last value per bucket is the bucket total
-    local_cols += [_agg(p.kind, p.col).over(inc).alias(f"_li_{n}") for n, p in aggs.items() if not p.inclusive]
-    local = d.select("*", *local_cols)
-
-    def inc_col(n, p):
-        return f"_l_{n}" if p.inclusive else f"_li_{n}"
-
-    # Bucket totals are read off the window output (last running value), so
-    # the input is shuffled once: both join sides reuse the same exchange and
-    # the totals aggregate needs none.
-    last = F.struct(*order_cols)
-    totals = local.groupBy(*part).agg(*[
-        (F.max_by(F.col(inc_col(n, p)), last) if p.kind == "sum" else
-         F.max(F.col(inc_col(n, p))) if p.kind in ("count", "max") else
-         F.min(F.col(inc_col(n, p)))).alias(f"_t_{n}")
-        for n, p in aggs.items()])
-    spec = Window.partitionBy(*keys) if keys else Window  # no key: one row per bucket in total
-    before = spec.orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)
+    local = d.select("*", *[_agg(p.kind, p.col).over(inc if p.inclusive else exc).alias(f"_l_{n}")
+                            for n, p in aggs.items()])
+    totals = d.groupBy(*part).agg(*[_agg(p.kind, p.col).alias(f"_t_{n}") for n, p in aggs.items()])
+    spec = Window.partitionBy(*kcols) if kcols else Window  # no key: one row per bucket in total
+    before = spec.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(*part, *[_reagg(p.kind, f"_t_{n}").over(before).alias(f"_p_{n}")
                                     for n, p in aggs.items()])
-
-    # Null-safe keys: rows with a NULL key form their own group (an inner
-    # equi-join would drop them), and no not-null filter is inferred into
-    # one side only, so both sides keep the identical, reusable exchange.
-    ren = {c: f"_r{i}" for i, c in enumerate(part)}
-    prefix = prefix.select(*[F.col(c).alias(ren[c]) for c in part],
-                           *[c for c in prefix.columns if c not in part])
-    cond = [F.col(c).eqNullSafe(F.col(ren[c])) for c in part]
-    joined = local.join(prefix, on=cond, how="inner")
+    joined = local.join(prefix, on=part, how="inner")
     out = [F.col(c) for c in df.columns if c != BUCKET] + [F.col(BUCKET)] if carried else \
         [F.col(c) for c in df.columns]
     out += [_merge(p.kind, F.col(f"_p_{n}"), F.col(f"_l_{n}")).alias(n) for n, p in aggs.items()]
     return joined.select(*out)
 
 
+def _non_null_keys(d: DataFrame, keys):
+    """Grouping columns that are never NULL, so a plain equi-join on them keeps
+    rows with NULL keys (as their own group) and reuses the partitioning."""
+    cols = []
+    for i, k in enumerate(keys):
+        f = d.schema[k]
+        if not f.nullable:
+            cols.append(k)
+            continue
+        t = f.dataType.simpleString()
+        if t == "string":
+            dflt = F.lit("")
+        elif t in ("tinyint", "smallint", "int", "bigint", "float", "double") or t.startswith("decimal"):
+            dflt = F.lit(0).cast(f.dataType)
+        elif t == "boolean":
+            dflt = F.lit(False)
+        else:
+            d = d.withColumn(f"_kv{i}", F.coalesce(F.to_json(F.struct(F.col(k))), F.lit("")))
+            cols.append(f"_kv{i}")
+            continue
+        d = d.withColumn(f"_kv{i}", F.coalesce(F.col(k), dflt)).withColumn(f"_kn{i}", F.col(k).isNull())
+        cols += [f"_kv{i}", f"_kn{i}"]
+    return d, cols
+
+
 def _single_pass(d: DataFrame, df: DataFrame, keys, order_cols, aggs, carried: bool) -> DataFrame:
     """One bucket: the running aggregates are plain window frames per key."""
     spec = Window.partitionBy(*keys) if keys else Window
