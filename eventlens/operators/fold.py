@@ -18,9 +18,14 @@ come from a two-phase prefix sum; each segment is folded with the SQL
 
 from __future__ import annotations
 
+import math
+import os
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventlens.session import checkpoint_dir
+
 from eventlens.operators.prefix import BUCKET, Prefix, running_aggregates
 from eventlens.operators.sequence import IDX, with_index, with_offsets
 
@@ -46,10 +51,22 @@ def fold_segments(nb: DataFrame, key: str, ts: str, arrival: str, item, item_pre
                        | (F.col(ts) - ts_prev > F.lit(delay))).cast("int").alias("_start"),
                       item.alias("_item")).where(F.col("_item"))
     seg = running_aggregates(items, [key], [ts, arrival], {"_seg": Prefix("sum", "_start")})
-    grouped = seg.groupBy(key, "_seg").agg(
+    seg = running_aggregates(seg, [key, "_seg"], [ts, arrival], {"_si": Prefix("count")})
+    closer = F.struct(F.col("_item_n").alias("item"), F.col("_ts_n").alias("t"))
+    lens = seg.groupBy(key, "_seg").agg(F.max("_si").alias("_len"), F.max_by(closer, "_si").alias("_closer"))
+    chunk = fold_chunk()
+    longest = lens.agg(F.max("_len")).first()[0] or 0  # one statistics row
+    if longest > chunk:
+        with_len = seg.join(lens.select(key, "_seg", "_len"), [key, "_seg"])
+        short_rows = with_len.where(F.col("_len") <= chunk)
+        long_alarms = _long_segment_alarms(with_len.where(F.col("_len") > chunk), lens.where(F.col("_len") > chunk),
+                                           key, ts, delay)
+    else:
+        short_rows, long_alarms = seg, None
+    # Segments of at most ``fold_chunk()`` items: sort and fold in one group.
+    grouped = short_rows.groupBy(key, "_seg").agg(
         F.sort_array(F.collect_list(F.struct(F.col(ts).alias("t"), F.col(arrival).alias("a")))).alias("_its"),
-        F.max_by(F.struct(F.col("_item_n").alias("item"), F.col("_ts_n").alias("t")),
-                 F.col(IDX)).alias("_closer"))
+        F.max_by(closer, F.col("_si")).alias("_closer"))
 
     zero = F.struct(F.lit(None).cast("bigint").alias("f"), F.lit(None).cast("bigint").alias("l"),
                     F.lit(0).alias("n"), F.array().cast(f"array<{_ALARM}>").alias("out"))
@@ -73,10 +90,74 @@ def fold_segments(nb: DataFrame, key: str, ts: str, arrival: str, item, item_pre
         last = F.struct(acc["f"].alias("f"), acc["l"].alias("l"), acc["n"].alias("n"))
         return F.when(fires, F.concat(acc["out"], F.array(last))).otherwise(acc["out"])
 
-    folded = grouped.select(key, F.explode(F.aggregate("_its", zero, step, finish)).alias("_a"))
-    return folded.where(F.col("_a.n") >= min_items).select(
-        key, F.col("_a.f").alias("first_ts"), F.col("_a.l").alias("last_ts"),
-        F.col("_a.n").alias("n"), (F.col("_a.f") + F.lit(delay)).alias("fire_ts"))
+    folded = grouped.select(key, F.explode(F.aggregate("_its", zero, step, finish)).alias("_a")).select(
+        key, F.col("_a.f").alias("first_ts"), F.col("_a.l").alias("last_ts"), F.col("_a.n").alias("n"))
+    if long_alarms is not None:
+        folded = folded.unionByName(long_alarms)
+    return folded.where(F.col("n") >= min_items).withColumn("fire_ts", F.col("first_ts") + F.lit(delay))
+
+
+def fold_chunk() -> int:
+    """Largest segment folded in one group; longer segments take the exact
+    parallel path. EVENTLENS_FOLD_CHUNK overrides it (tests)."""
+    return int(os.environ.get("EVENTLENS_FOLD_CHUNK", 10_000))
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared checkpoint folder (cuts lineage of
+    iterative plans; survives executor loss)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _long_segment_alarms(rows: DataFrame, lens: DataFrame, key: str, ts: str, delay: int) -> DataFrame:
+    """Alarms of long segments without gathering a segment.
+
+    With items 1..L of a segment in order, next(i) = first item later than
+    t_i + delay (a rank: items with t ≤ t_i + delay, from a two-phase prefix
+    count over items and probes). Alarm starts are the path 1, next(1),
+    next(next(1)), … Jump tables next^(2^k) (k < ⌈log2(L+1)⌉) are built by
+    self-joins, and the path is expanded from item 1 level by level — every
+    step an equi-join, O(L log L) work, no group larger than one row per item.
+    """
+    seg = [key, "_seg"]
+    base = rows.select(*seg, "_si", F.col(ts).alias("_t"), "_len")
+    items = base.select(*seg, F.col("_t").alias("_pt"), F.lit(0).alias("_ty"), "_si", F.lit(1).alias("_one"))
+    probes = base.select(*seg, (F.col("_t") + F.lit(delay)).alias("_pt"), F.lit(1).alias("_ty"), "_si",
+                         F.lit(0).alias("_one"))
+    ranked = running_aggregates(items.unionByName(probes), seg, ["_pt", "_ty", "_si"],
+                                {"_cnt": Prefix("sum", "_one")})
+    nxt = _cut(ranked.where(F.col("_ty") == 1).select(*seg, "_si", (F.col("_cnt") + 1).alias("_j")))
+
+    longest = lens.agg(F.max("_len")).first()[0]
+    levels = max(1, math.ceil(math.log2(longest + 1)))
+    jumps = [nxt]
+    for _ in range(1, levels):
+        j = jumps[-1]
+        hop = j.select(F.col(key).alias("_hk"), F.col("_seg").alias("_hs"), F.col("_si").alias("_mid"),
+                       F.col("_j").alias("_j2"))
+        two = j.join(hop, (F.col(key) == F.col("_hk")) & (F.col("_seg") == F.col("_hs"))
+                     & (F.col("_j") == F.col("_mid")), "left")
+        jumps.append(_cut(two.select(*seg, "_si", F.coalesce(F.col("_j2"), F.col("_j")).alias("_j"))))
+
+    path = _cut(base.where(F.col("_si") == 1).select(*seg, "_si"))
+    bound = lens.select(*seg, "_len")
+    for j in reversed(jumps):
+        step = path.join(j, [*seg, "_si"]).select(*seg, F.col("_j").alias("_si"))
+        step = step.join(bound, seg).where(F.col("_si") <= F.col("_len")).select(*seg, "_si")
+        path = _cut(path.unionByName(step))
+
+    starts = path.join(nxt, [*seg, "_si"])  # _j: first item of the next alarm
+    first = base.select(*seg, "_si", F.col("_t").alias("first_ts"))
+    last = base.select(*seg, (F.col("_si") + 1).alias("_j"), F.col("_t").alias("last_ts"))
+    alarms = starts.join(first, [*seg, "_si"]).join(last, [*seg, "_j"]).select(
+        *seg, "_si", "first_ts", "last_ts", (F.col("_j") - F.col("_si")).alias("n"))
+    final = alarms.groupBy(*seg).agg(F.max("_si").alias("_final"))
+    c = F.col("_closer")
+    fires = c["t"].isNull() | F.coalesce(c["item"], F.lit(False)) | (c["t"] > F.col("first_ts") + F.lit(delay))
+    out = alarms.join(final, seg).join(lens.select(*seg, "_closer"), seg)
+    keep = (F.col("_si") < F.col("_final")) | fires
+    return out.where(keep).select(key, "first_ts", "last_ts", F.col("n").cast("int").alias("n"))
 
 
 def login_fail_timer(logins: DataFrame, max_fails: int = 2, within_s: int = 2) -> DataFrame:

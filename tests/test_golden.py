@@ -243,3 +243,15 @@ def test_parsers_keep_bad_lines(spark):
     assert P.valid_rows(P.parse_login(lg)).first().user_id == 5402
     bh = spark.createDataFrame([("1,10,100,pv,1511658000",)], "value string")
     assert P.valid_rows(P.parse_behavior(bh)).first().behavior == "pv"
+
+
+def test_timer_rules_long_segment_path(spark, monkeypatch):
+    """Segments longer than the fold chunk take the pointer-doubling path."""
+    monkeypatch.setenv("EVENTLENS_FOLD_CHUNK", "1")
+    got = sorted(rows(FO.login_fail_timer(logins(spark), 2, 2), "user_id", "first_fail_time", "last_fail_time"))
+    assert [(u, f - LOGIN_PREFIX, l - LOGIN_PREFIX) for u, f, l in got] == [
+        (1035, 842, 843), (5692, 832, 834), (23064, 826, 827)]
+    out = FO.rising_alarm(sensors(spark), 10, arrival="arrival")
+    got = sorted((i, a % 1000, f % 1000) for i, a, f in rows(out, "id", "armed_ts", "fired_ts"))
+    assert got == sorted([("sensor_6", 201, 211), ("sensor_7", 202, 212), ("sensor_10", 205, 215),
+                          ("sensor_1", 212, 222)])
