@@ -140,8 +140,3 @@ def latest_value_map(df: DataFrame, key: str, map_key: str, value: str, arrival:
     return g.select(key, map_key, F.col("_l").getField(value).alias(value),
                     F.col("_l").getField(arrival).alias(arrival))
 
-
-def latest_value_map_as_map(df: DataFrame, key: str, map_key: str, value: str, arrival: str) -> DataFrame:
-    """Same state as one MAP column per key (only for keys with bounded map size)."""
-    rows = latest_value_map(df, key, map_key, value, arrival)
-    return rows.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(map_key, value))).alias("state"))

@@ -59,19 +59,6 @@ def hot_pages(log: DataFrame, n: int = 3, size="10 minutes", slide="5 seconds",
     return top_n_per_group(counts, ["window_end"], [F.col("cnt").desc(), F.col("url").asc()], n)
 
 
-def top_n_array(counts: DataFrame, group_col: str, key_col: str, count_col: str, n: int) -> DataFrame:
-    """Streaming-safe top-n (``row_number`` is rejected on streams): per group,
-    the n largest (count, key) pairs as an array, then exploded with ranks.
-    """
-    ranked = counts.groupBy(group_col).agg(
-        F.slice(F.sort_array(F.collect_list(F.struct(F.col(count_col).alias("c"),
-                                                    (-F.col(key_col)).alias("neg_k"))), False),
-                1, n).alias("_top"))
-    return ranked.select(group_col, F.posexplode("_top").alias("_p", "_e")).select(
-        (-F.col("_e.neg_k")).alias(key_col), group_col, F.col("_e.c").alias(count_col),
-        (F.col("_p") + 1).cast("int").alias("rn"))
-
-
 def format_ranking(top: DataFrame, key_col: str = "item_id", count_col: str = "cnt",
                    end_col: str = "window_end", rank_col: str = "rn") -> DataFrame:
     """One text report per window: a header line, then ``NO i: key=… count=…``."""

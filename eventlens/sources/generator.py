@@ -8,9 +8,11 @@ Python data source (``format('sensor_walk')``) for the reader API.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlens.operators.prefix import Prefix, running_aggregates
+
 # Fixed values of the walk: start mean 60, start spread 20, unit steps.
 START_MEAN = 60.0
 START_SPREAD = 20.0
@@ -24,11 +26,12 @@ def sensor_walk(spark: SparkSession, n_sensors: int = 10, n_steps: int = 100, se
     pairs = spark.range(n_sensors * n_steps).select(
         (F.col("id") % n_sensors).alias("s"), (F.col("id") / n_sensors).cast("bigint").alias("step"),
         F.randn(seed + 1).alias("d"))
-    w = Window.partitionBy("s").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    walk = pairs.join(sensors, "s").select(
+    steps = pairs.join(sensors, "s").withColumn("_d", F.when(F.col("step") > 0, F.col("d")).otherwise(0.0))
+    # running sum of steps per sensor: two-phase prefix (no per-sensor partition)
+    walk = running_aggregates(steps, ["s"], ["step"], {"_walk": Prefix("sum", "_d")}).select(
         F.concat(F.lit("sensor_"), (F.col("s") + 1).cast("string")).alias("id"),
         (F.lit(start_ms) + F.col("step") * F.lit(step_ms)).alias("timestamp"),
-        (F.col("t0") + F.sum(F.when(F.col("step") > 0, F.col("d")).otherwise(0.0)).over(w)).alias("temperature"),
+        (F.col("t0") + F.col("_walk")).alias("temperature"),
         "step")
     return walk
 
