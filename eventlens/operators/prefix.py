@@ -36,6 +36,7 @@ def rows_per_bucket_default() -> int:
     (tests set it low to run the split plan on small fixtures)."""
     return int(os.environ.get("EVENTLENS_ROWS_PER_BUCKET", ROWS_PER_BUCKET))
 MAX_BUCKETS = 1_000_000
+MAX_FINE = 1 << 20
 BUCKET = "_pb"
 BUCKETS_META = "eventlens.buckets"
 
@@ -76,35 +77,40 @@ def order_number(c) -> Column:
     return to_col(c)
 
 
-def range_bucket(df: DataFrame, order_col, buckets: int | None = None,
-                 rows_per_bucket: int | None = None, max_buckets: int = MAX_BUCKETS,
-                 weight: Column | None = None) -> Column:
-    """Equal-width bucket of ``order_col`` over its span, as a column whose
-    metadata records the bucket count.
+def with_range_bucket(df: DataFrame, order_col, rows_per_bucket: int | None = None,
+                      weight: Column | None = None) -> DataFrame:
+    """Add ``_pb``: a bucket of ``order_col``, monotone in it, holding about
+    ``rows_per_bucket`` rows (or ``weight`` units), with the bucket count in
+    the column metadata.
 
-    The number of buckets grows with the input: ceil(rows / rows_per_bucket),
-    capped at ``max_buckets`` (or fixed by ``buckets``), so a hot key is cut
-    into pieces of about ``rows_per_bucket`` rows at any scale while small
-    inputs get one bucket and the plain single-pass plan. ``weight``
-    replaces the row count by a sum (e.g. text length when each row later
-    explodes into many). Span and size are one aggregate row read by the
-    driver (a statistic, like the ones adaptive execution uses).
+    The span is cut into 2^20 equal-width *fine* buckets; a histogram of the fine buckets (≤ 2^20 rows, so its
+    broadcast has a proven bound) is turned into *coarse* buckets by
+    cumulative count. A burst — many rows in a short range of the order
+    column — therefore spreads over several buckets instead of filling one;
+    only rows sharing one fine bucket stay together. Inputs within one
+    target bucket get the constant 0 and the plain single-pass plan. The
+    span and size are one statistics row read by the driver.
     """
     rows_per_bucket = rows_per_bucket or rows_per_bucket_default()
     o = to_col(order_col)
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
     st = df.agg(F.min(o).cast("double").alias("lo"), F.max(o).cast("double").alias("hi"),
-                (F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n")).first()
+                size.alias("n")).first()
     lo, hi, n = st["lo"], st["hi"], st["n"] or 0
-    if buckets is None:
-        buckets = int(min(max(math.ceil(n / rows_per_bucket), 1), max_buckets))
-    if lo is None or buckets <= 1:
-        b = F.lit(0)
-        buckets = 1
-    else:
-        width = (hi - lo + 1.0) / buckets
-        b = F.coalesce(F.least(F.floor((o.cast("double") - F.lit(lo)) / F.lit(width)),
-                               F.lit(buckets - 1)).cast("int"), F.lit(0))  # NULL order → bucket 0
-    return b.alias(BUCKET, metadata={BUCKETS_META: buckets})
+    coarse = int(min(max(math.ceil(n / rows_per_bucket), 1), MAX_BUCKETS))
+    if lo is None or coarse <= 1:
+        return df.select("*", F.lit(0).alias(BUCKET, metadata={BUCKETS_META: 1}))
+    fine_n = MAX_FINE
+    width = (hi - lo + 1.0) / fine_n
+    fine = F.coalesce(F.least(F.floor((o.cast("double") - F.lit(lo)) / F.lit(width)),
+                              F.lit(fine_n - 1)).cast("int"), F.lit(0))  # NULL order → first bucket
+    d = df.withColumn("_fb", fine)
+    hist = d.groupBy("_fb").agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("_c"))
+    before = Window.orderBy("_fb").rowsBetween(Window.unboundedPreceding, -1)  # ≤ 2^20 rows
+    to_coarse = hist.select("_fb", F.floor(F.coalesce(F.sum("_c").over(before), F.lit(0))
+                                           / F.lit(float(rows_per_bucket))).cast("int").alias(BUCKET))
+    out = d.join(F.broadcast(to_coarse), "_fb").drop("_fb")
+    return out.withMetadata(BUCKET, {BUCKETS_META: coarse})
 
 
 def bucket_count(df: DataFrame) -> int | None:
@@ -115,7 +121,7 @@ def bucket_count(df: DataFrame) -> int | None:
 
 
 def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, Prefix],
-                       buckets: int | None = None, bucket: Column | None = None) -> DataFrame:
+                       bucket: Column | None = None) -> DataFrame:
     """Add one column per ``aggs`` entry: the aggregate over the key's rows
     up to (inclusive) or before (exclusive) each row in ``order``.
 
@@ -134,7 +140,7 @@ def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, P
     elif carried:
         d = df
     else:
-        d = df.select("*", range_bucket(df, order[0], buckets))
+        d = with_range_bucket(df, order[0])
     if bucket is None and bucket_count(d) == 1:
         return _single_pass(d, df, keys, order_cols, aggs, carried)
     d, kcols = _non_null_keys(d, keys)

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.functions.text import tokenize_words
-from eventlens.operators.prefix import (BUCKET, Prefix, range_bucket, rows_per_bucket_default,
-                                        running_aggregates)
+from eventlens.operators.prefix import (BUCKET, Prefix, rows_per_bucket_default, running_aggregates,
+                                        with_range_bucket)
 
 
 def avg_half_up(sum_units: Column, n: Column, unit_places: int = 2, places: int = 4) -> Column:
@@ -47,8 +47,8 @@ def rolling_sum(docs: DataFrame, text_col: str = "text", doc_col: str = "doc_id"
     count follows the text volume (~6 characters per token).
     """
     d = docs.select(doc_col, text_col)
-    d = d.select("*", range_bucket(d, doc_col, rows_per_bucket=6 * rows_per_bucket_default(),
-                                   weight=F.length(text_col)))
+    d = with_range_bucket(d, doc_col, rows_per_bucket=6 * rows_per_bucket_default(),
+                          weight=F.length(text_col))
     words = tokenize_words(d, text_col, with_position=True)
     r = running_aggregates(words, ["word"], [doc_col, "pos"], {"cnt": Prefix("count")})
     return r.drop(BUCKET)

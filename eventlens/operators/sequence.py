@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.operators.prefix import BUCKET, Prefix, range_bucket, running_aggregates
+from eventlens.operators.prefix import BUCKET, Prefix, running_aggregates, with_range_bucket
 
 IDX = "_idx"
 
@@ -22,7 +22,7 @@ def with_index(df: DataFrame, keys, order, name: str = IDX) -> DataFrame:
     later prefix stages over the same order reuse it."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     if BUCKET not in df.columns:
-        df = df.select("*", range_bucket(df, order[0]))
+        df = with_range_bucket(df, order[0])
     return running_aggregates(df, keys, order, {name: Prefix("count")})
 
 

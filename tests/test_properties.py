@@ -118,3 +118,19 @@ def test_map_partitions_lifecycle(spark):
     out = U.map_partitions_with_setup(df, fn, "id string, len int", setup=lambda: {"offset": 0},
                                       teardown=lambda ctx: None)
     assert sorted(r.len for r in out.collect()) == [8, 9]
+
+
+def test_burst_is_split_across_buckets(spark, monkeypatch):
+    """A third of the rows in a narrow burst of the order column still spread
+    over buckets of about the target size."""
+    from eventlens.operators.prefix import BUCKET, Prefix, running_aggregates, with_range_bucket
+    monkeypatch.setenv("EVENTLENS_ROWS_PER_BUCKET", "100")
+    spread = spark.range(2000).select((F.col("id") * 500_000).alias("t"), F.lit("hot").alias("k"))
+    burst = spark.range(1000).select((F.lit(500_000_001) + F.col("id") * 1000).alias("t"), F.lit("hot").alias("k"))
+    df = spread.unionByName(burst)
+    b = with_range_bucket(df, "t")
+    sizes = [r["count"] for r in b.groupBy(BUCKET).count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 200 and len(sizes) >= 15
+    r = running_aggregates(df.withColumn("a", F.col("t")), ["k"], ["t"], {"n": Prefix("count")})
+    got = [x.n for x in r.orderBy("t").collect()]
+    assert got == list(range(1, 3001))
