@@ -36,26 +36,37 @@ def timer_alarms(df: DataFrame, key: str, ts: str, arrival: str, item: str, dela
                  min_items: int = 1) -> DataFrame:
     """Columns: key, first_ts, last_ts, n, fire_ts (= first_ts + delay)."""
     carry = [BUCKET] if BUCKET in df.columns else []
-    idx = with_index(df.select(key, ts, arrival, item, *carry), key, [ts, arrival])
+    base = df.select(key, ts, arrival, item, *carry)
+    idx = with_index(base, key, [ts, arrival])
     nb = with_offsets(idx, key, [item, ts], [-1, 1])
     return fold_segments(nb, key, ts, arrival, F.col(item), F.col(f"{item}_p1"), F.col(f"{item}_n1"),
-                         F.col(f"{ts}_p1"), F.col(f"{ts}_n1"), delay, min_items)
+                         F.col(f"{ts}_p1"), F.col(f"{ts}_n1"), delay, min_items, max_rows_per_key(base, key))
+
+
+def max_rows_per_key(df: DataFrame, key: str) -> int:
+    """Largest key's row count (a grouped count over the base input)."""
+    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
 
 
 def fold_segments(nb: DataFrame, key: str, ts: str, arrival: str, item, item_prev, item_next,
-                  ts_prev, ts_next, delay: int, min_items: int = 1) -> DataFrame:
+                  ts_prev, ts_next, delay: int, min_items: int = 1, max_rows_per_key: int | None = None) -> DataFrame:
     """The fold over rows that already carry their neighbours' item flag and
-    time (``item_prev``/``item_next`` NULL when there is no such row)."""
+    time (``item_prev``/``item_next`` NULL when there is no such row).
+    ``max_rows_per_key`` (an upper bound of any segment's length, read
+    cheaply from the base input) skips measuring segments when none can
+    exceed the fold chunk."""
     items = nb.select(key, ts, arrival, IDX, BUCKET, item_next.alias("_item_n"), ts_next.alias("_ts_n"),
                       (~F.coalesce(item_prev, F.lit(False))
                        | (F.col(ts) - ts_prev > F.lit(delay))).cast("int").alias("_start"),
                       item.alias("_item")).where(F.col("_item"))
     seg = running_aggregates(items, [key], [ts, arrival], {"_seg": Prefix("sum", "_start")})
-    seg = running_aggregates(seg, [key, "_seg"], [ts, arrival], {"_si": Prefix("count")})
     closer = F.struct(F.col("_item_n").alias("item"), F.col("_ts_n").alias("t"))
-    lens = seg.groupBy(key, "_seg").agg(F.max("_si").alias("_len"), F.max_by(closer, "_si").alias("_closer"))
     chunk = fold_chunk()
-    longest = lens.agg(F.max("_len")).first()[0] or 0  # one statistics row
+    longest = 0
+    if max_rows_per_key is None or max_rows_per_key > chunk:
+        seg = running_aggregates(seg, [key, "_seg"], [ts, arrival], {"_si": Prefix("count")})
+        lens = seg.groupBy(key, "_seg").agg(F.max("_si").alias("_len"), F.max_by(closer, "_si").alias("_closer"))
+        longest = lens.agg(F.max("_len")).first()[0] or 0  # one statistics row
     if longest > chunk:
         with_len = seg.join(lens.select(key, "_seg", "_len"), [key, "_seg"])
         short_rows = with_len.where(F.col("_len") <= chunk)
@@ -66,7 +77,7 @@ def fold_segments(nb: DataFrame, key: str, ts: str, arrival: str, item, item_pre
     # Segments of at most ``fold_chunk()`` items: sort and fold in one group.
     grouped = short_rows.groupBy(key, "_seg").agg(
         F.sort_array(F.collect_list(F.struct(F.col(ts).alias("t"), F.col(arrival).alias("a")))).alias("_its"),
-        F.max_by(closer, F.col("_si")).alias("_closer"))
+        F.max_by(closer, F.col(IDX)).alias("_closer"))
 
     zero = F.struct(F.lit(None).cast("bigint").alias("f"), F.lit(None).cast("bigint").alias("l"),
                     F.lit(0).alias("n"), F.array().cast(f"array<{_ALARM}>").alias("out"))
@@ -100,7 +111,7 @@ def fold_segments(nb: DataFrame, key: str, ts: str, arrival: str, item, item_pre
 def fold_chunk() -> int:
     """Largest segment folded in one group; longer segments take the exact
     parallel path. EVENTLENS_FOLD_CHUNK overrides it (tests)."""
-    return int(os.environ.get("EVENTLENS_FOLD_CHUNK", 10_000))
+    return int(os.environ.get("EVENTLENS_FOLD_CHUNK", 100_000))
 
 
 def _cut(df: DataFrame) -> DataFrame:
@@ -176,7 +187,8 @@ def rising_alarm(readings: DataFrame, interval_s: int = 10, key: str = "id", ts:
     """A rise (value > previous value of the key) with no timer arms one
     ``interval_s`` later; a non-rise cancels it; when it fires the key rose
     continuously. Columns: id, armed_ts, fired_ts, warning_msg."""
-    idx = with_index(readings.select(key, ts, arrival, value), key, [ts, arrival])
+    base = readings.select(key, ts, arrival, value)
+    idx = with_index(base, key, [ts, arrival])
     nb = with_offsets(idx, key, [value, ts], [-2, -1, 1])
     v, v_p1, v_p2, v_n1 = (F.col(value), F.col(f"{value}_p1"), F.col(f"{value}_p2"), F.col(f"{value}_n1"))
 
@@ -188,7 +200,7 @@ def rising_alarm(readings: DataFrame, interval_s: int = 10, key: str = "id", ts:
                       rise(v, v_p1, F.lit(True)),
                       rise(v_p1, v_p2, v_p1.isNotNull()),
                       rise(v_n1, v, v_n1.isNotNull()),
-                      F.col(f"{ts}_p1"), F.col(f"{ts}_n1"), interval_s, 1)
+                      F.col(f"{ts}_p1"), F.col(f"{ts}_n1"), interval_s, 1, max_rows_per_key(base, key))
     return a.select(key, F.col("first_ts").alias("armed_ts"), F.col("fire_ts").alias("fired_ts"),
                     F.concat(F.lit("sensor "), F.col(key), F.lit(f" rose continuously for {interval_s}s"))
                     .alias("warning_msg"))
