@@ -19,11 +19,20 @@ def with_watermark(df: DataFrame, ts: str = "ts", delay="0 seconds") -> DataFram
 
 
 def windowed_count_stream(df: DataFrame, keys, size, slide=None, ts: str = "ts", delay="0 seconds",
-                          count_col: str = "cnt") -> DataFrame:
-    """(keys, window_end, cnt) per closed window."""
+                          count_col: str = "cnt", allowed_lateness=0) -> DataFrame:
+    """(keys, window_end, cnt) per window.
+
+    Append mode emits each window once, when closed. With
+    ``allowed_lateness`` the watermark trails by delay + lateness, and in
+    ``update`` mode a window is emitted as soon as it changes and re-emitted
+    when later rows (within the lateness) correct it — the last emitted
+    count per window wins.
+    """
     w = F.window(F.col(ts), ms_to_spec(interval_ms(size)),
                  ms_to_spec(interval_ms(slide)) if slide else None)
-    g = with_watermark(df, ts, delay).groupBy(w.alias("window"), *keys).agg(F.count(F.lit(1)).alias(count_col))
+    trail = interval_ms(delay) + interval_ms(allowed_lateness)
+    g = with_watermark(df, ts, f"{trail} milliseconds").groupBy(w.alias("window"), *keys).agg(
+        F.count(F.lit(1)).alias(count_col))
     return g.select(*keys, window_end_ms("window").alias("window_end"), count_col)
 
 

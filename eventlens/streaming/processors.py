@@ -229,3 +229,177 @@ def apply(df, key: str, processor: StatefulProcessor, time_mode: str = "None", o
     return df.groupBy(key).transformWithState(
         statefulProcessor=processor, outputStructType=processor.OUTPUT,
         outputMode=output_mode, timeMode=time_mode)
+
+
+class _EventTimeReplay(StatefulProcessor):
+    """Buffer rows; once the watermark has passed them, replay them in
+    (event time, arrival) order through ``on_row`` — event-time order even
+    when rows arrive slightly out of order."""
+
+    def to_buffer(self, row) -> tuple:  # (t, a, v, s)
+        raise NotImplementedError
+
+    def on_row(self, key, x: tuple):
+        raise NotImplementedError
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buf = handle.getListState("buf", _BUF)
+        self.prev = handle.getListState("prev", _BUF)  # last rows already replayed (bounded)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new = [self.to_buffer(r) for r in rows]
+        if new:
+            self.buf.appendList(new)
+            for t in {x[0] for x in new}:
+                self.handle.registerTimer(t * 1000)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        wm = timerValues.getCurrentWatermarkInMs()
+        items = sorted(self.buf.get()) if self.buf.exists() else []
+        ready = [x for x in items if x[0] * 1000 <= wm]
+        rest = [x for x in items if x[0] * 1000 > wm]
+        out = [o for x in ready for o in self.on_row(key, x)]
+        if rest:
+            self.buf.put(rest)
+        else:
+            self.buf.clear()
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+class SequenceMatchProcessor(_EventTimeReplay):
+    """Strict contiguity ``begin.next…`` of n login states within ``within_s``
+    (stream form of ``patterns.match_sequence`` / ``login_fail_times``).
+    Keeps the last n − 1 replayed rows per user."""
+
+    OUTPUT = "user_id long, first_fail_time long, last_fail_time long, warning_msg string"
+
+    def __init__(self, states: list[str], within_s: float):
+        self.states, self.within = list(states), within_s
+
+    def to_buffer(self, r):
+        return (int(r["timestamp"]), int(r["event_id"]), 0.0, r["login_state"])
+
+    def on_row(self, key, x):
+        hist = (list(self.prev.get()) if self.prev.exists() else []) + [x]
+        hist = hist[-len(self.states):]
+        self.prev.put(hist[-(len(self.states) - 1):] if len(self.states) > 1 else [])
+        if len(hist) == len(self.states) and all(h[3] == s for h, s in zip(hist, self.states)) \
+                and hist[-1][0] - hist[0][0] < self.within:
+            yield Row(user_id=key[0], first_fail_time=hist[0][0], last_fail_time=hist[-1][0],
+                      warning_msg=f"login fail {len(hist)} times")
+
+
+class FailPairProcessor(_EventTimeReplay):
+    """Consecutive failures at most ``within_s`` apart (stream form of
+    ``rules.login_fail_pairs``)."""
+
+    OUTPUT = "user_id long, first_fail_time long, last_fail_time long, warning_msg string"
+
+    def __init__(self, within_s: int):
+        self.within = within_s
+
+    def to_buffer(self, r):
+        return (int(r["timestamp"]), int(r["event_id"]), 0.0, r["login_state"])
+
+    def on_row(self, key, x):
+        last = list(self.prev.get()) if self.prev.exists() else []
+        self.prev.put([x])
+        if last and last[0][3] == "fail" and x[3] == "fail" and x[0] - last[0][0] <= self.within:
+            yield Row(user_id=key[0], first_fail_time=last[0][0], last_fail_time=x[0], warning_msg="login fail")
+
+
+class KeyedHistoryProcessor(_ArrivalOrdered):
+    """Previous ≤ ``max_len`` items of the key per row (list state bounded to max_len)."""
+
+    OUTPUT = "id string, event_id long, history string"
+
+    def __init__(self, max_len: int = 5):
+        self.max_len = max_len
+
+    def init(self, handle):
+        self.hist = handle.getListState("hist", "x string")
+
+    def step(self, key, r):
+        h = [x[0] for x in self.hist.get()] if self.hist.exists() else []
+        yield Row(id=key[0], event_id=r["event_id"], history=",".join(h))
+        self.hist.put([(x,) for x in (h + [str(r["event_id"])])[-self.max_len:]])
+
+
+class LatestValueMapProcessor(_ArrivalOrdered):
+    """Map state per key: map key → (arrival, value); emits each update."""
+
+    OUTPUT = "user_id long, event_type string, value double, event_id long"
+
+    def init(self, handle):
+        self.state = handle.getMapState("latest", "k string", "a long, v double")
+
+    def step(self, key, r):
+        k = (r["event_type"],)
+        old = self.state.getValue(k) if self.state.containsKey(k) else None
+        if old is None or r["event_id"] > old[0]:
+            self.state.updateValue(k, (r["event_id"], r["value"]))
+            yield Row(user_id=key[0], event_type=r["event_type"], value=r["value"], event_id=r["event_id"])
+
+
+class UvRunningProcessor(_ArrivalOrdered):
+    """Per window: a row each time a new bitmap offset is seen (stream form of
+    ``distinct.uv_running``). Key = window_end; input has h and event_id."""
+
+    OUTPUT = "window_end long, event_id long, uv long"
+
+    def init(self, handle):
+        self.bits = handle.getMapState("bits", "h long", "a long")
+        self.count = handle.getValueState("count", "c long")
+
+    def step(self, key, r):
+        h = (int(r["h"]),)
+        if not self.bits.containsKey(h):
+            self.bits.updateValue(h, (int(r["event_id"]),))
+            c = (self.count.get()[0] if self.count.exists() else 0) + 1
+            self.count.update((c,))
+            yield Row(window_end=key[0], event_id=r["event_id"], uv=c)
+
+
+class RisingAlarmProcessingTime(StatefulProcessor):
+    """Rising alarm on the processing-time clock (timeMode='ProcessingTime'):
+    a rise with no timer arms one ``interval_s`` of wall-clock time later, a
+    non-rise deletes it. Results depend on the wall clock."""
+
+    OUTPUT = "id string, armed_ms long, fired_ms long, warning_msg string"
+
+    def __init__(self, interval_s: int, first_arms: bool = True):
+        self.interval_ms, self.first_arms = int(interval_s * 1000), first_arms
+
+    def init(self, handle):
+        self.handle = handle
+        self.last = handle.getValueState("last", "v double")
+        self.timer = handle.getValueState("timer", "t long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        for r in sorted(rows, key=lambda r: r["event_id"]):
+            v = float(r["temperature"])
+            prev = self.last.get()[0] if self.last.exists() else None
+            rise = self.first_arms if prev is None else v > prev
+            if rise and not self.timer.exists():
+                self.handle.registerTimer(now + self.interval_ms)
+                self.timer.update((now + self.interval_ms,))
+            elif not rise and self.timer.exists():
+                self.handle.deleteTimer(self.timer.get()[0])
+                self.timer.clear()
+            self.last.update((v,))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        t = expiredTimerInfo.getExpiryTimeInMs()
+        self.timer.clear()
+        return iter([Row(id=key[0], armed_ms=t - self.interval_ms, fired_ms=t,
+                         warning_msg=f"sensor {key[0]} rose continuously for {self.interval_ms // 1000}s")])
+
+    def close(self) -> None:
+        pass

@@ -112,3 +112,46 @@ def test_windowed_forms(spark, stream_dir):
     q.awaitTermination()
     top = spark.createDataFrame([r for r in got if r["window_end"] < end])
     same(top, N.hot_items(A.behaviour(batch_events(spark))), ["item_id", "window_end", "cnt", "rn"])
+
+
+def test_pattern_processors(spark, stream_dir):
+    from eventlens.operators import patterns as PT
+    lg = A.logins(events_stream(spark, stream_dir)).withWatermark("ts", "0 seconds")
+    blg = A.logins(batch_events(spark))
+    cols = ["user_id", "first_fail_time", "last_fail_time", "warning_msg"]
+    same(drain(PR.apply(lg, "user_id", PR.SequenceMatchProcessor(["fail"] * 3, 86400), "EventTime"), "s_seq"),
+         PT.login_fail_times(blg, 3, 86400), cols)
+    same(drain(PR.apply(lg, "user_id", PR.FailPairProcessor(3600), "EventTime"), "s_pair"),
+         RU.login_fail_pairs(blg, 3600), cols)
+
+
+def test_keyed_state_processors(spark, stream_dir):
+    ev = events_stream(spark, stream_dir).where(F.col("event_id") != SENTINEL_ID)
+    bev = batch_events(spark)
+    rd, brd = A.readings(ev), A.readings(bev)
+    same(drain(PR.apply(rd, "id", PR.KeyedHistoryProcessor(5)), "s_hist"),
+         R.keyed_history(brd.select("id", "event_id"), "id", "event_id", "event_id", 5),
+         ["id", "event_id", "history"])
+    upd = drain(PR.apply(ev, "user_id", PR.LatestValueMapProcessor()), "s_map")
+    last = upd.groupBy("user_id", "event_type").agg(F.max_by("value", "event_id").alias("value"),
+                                                    F.max("event_id").alias("event_id"))
+    same(last, R.latest_value_map(bev, "user_id", "event_type", "value", "event_id"),
+         ["user_id", "event_type", "value", "event_id"])
+    glob = drain(PR.apply(rd.withColumn("id", F.lit("all")), "id", PR.RunningCountProcessor()), "s_glob")
+    same(glob.select("event_id", F.col("cnt").alias("seq")),
+         R.global_sequence(bev.select("event_id"), "event_id"), ["event_id", "seq"])
+    from eventlens.functions.hashing import poly_hash
+    from eventlens.functions.time import window_end_ms
+    pv = A.behaviour(ev).where("behavior = 'pv'").select(
+        window_end_ms(F.window("ts", "1 hour")).alias("window_end"), poly_hash(F.col("user_id")).alias("h"),
+        "event_id")
+    same(drain(PR.apply(pv, "window_end", PR.UvRunningProcessor()), "s_uvrun"),
+         D.uv_running(A.behaviour(bev).where("behavior = 'pv'")), ["window_end", "event_id", "uv"])
+
+
+def test_update_mode_with_lateness(spark, stream_dir):
+    beh = A.behaviour(events_stream(spark, stream_dir)).where("behavior = 'pv'")
+    out = drain(SF.windowed_count_stream(beh, [], "1 hour", delay="10 minutes", allowed_lateness="10 minutes"),
+                "s_upd", mode="update")
+    final = out.groupBy("window_end").agg(F.max("cnt").alias("cnt")).where(F.col("window_end") < 1704067200000 + 40 * 86400000)
+    same(final, D.page_views(A.behaviour(batch_events(spark)).where("behavior = 'pv'")), ["window_end", "cnt"])
