@@ -19,8 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def behaviour(events: DataFrame) -> DataFrame:
-    """events → user behaviour: item = props.k, 'view' → 'pv', time in seconds."""
+def behaviour(events: DataFrame, pv_only: bool = False) -> DataFrame:
+    """events → user behaviour: item = props.k, 'view' → 'pv', time in seconds.
+
+    ``pv_only`` keeps only page views with a predicate on the raw column
+    (``event_type IN ('view', 'pv')`` — exactly the rows mapped to 'pv'),
+    which the parquet scan can evaluate, unlike a filter on the mapped value.
+    """
+    if pv_only:
+        events = events.where(F.col("event_type").isin("view", "pv"))
     item = F.get_json_object("props", "$.k").cast("bigint")
     ts_s = epoch_s("ts")
     return events.select(

@@ -29,7 +29,7 @@ def _events(spark, sf):
 
 
 def _views(spark, sf):
-    return A.behaviour(_events(spark, sf)).where(F.col("behavior") == "pv")
+    return A.behaviour(_events(spark, sf), pv_only=True).where(F.col("behavior") == "pv")
 
 
 def _log(spark, sf) -> DataFrame:
@@ -42,12 +42,12 @@ def _log(spark, sf) -> DataFrame:
 
 @query
 def hot_items(spark: SparkSession, sf: str) -> DataFrame:
-    return N.hot_items(A.behaviour(_events(spark, sf)), n=5, size="1 hour", slide="5 minutes")
+    return N.hot_items(A.behaviour(_events(spark, sf), pv_only=True), n=5, size="1 hour", slide="5 minutes")
 
 
 @query
 def hot_items_sql(spark: SparkSession, sf: str) -> DataFrame:
-    return N.hot_items_sql(spark, A.behaviour(_events(spark, sf)), n=5)
+    return N.hot_items_sql(spark, A.behaviour(_events(spark, sf), pv_only=True), n=5)
 
 
 @query
