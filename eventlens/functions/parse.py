@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.functions.time import to_col
 
 
 def _typed_fields(value: Column, sep: str, spec: list[tuple[int, str, str]], n_min: int):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def from_rows(spark: SparkSession, rows, schema: str, arrival: str | None = None) -> DataFrame:
