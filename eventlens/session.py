@@ -60,11 +60,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Uses the cluster's ``spark.checkpoint.dir`` when set; only when it is
     unset (local tests) a scratch folder is created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="eventlens-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        d = tempfile.mkdtemp(prefix="eventlens-ckpt-")  # local mode only (tests)
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
