@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from eventlens.functions.time import interval_ms, ms_to_spec, window_end_ms
 
+# window ends per block (in units of the window size) for the pane strategy
+BLOCK_WINDOWS = 8
+
 
 def _spec(x) -> str:
     return ms_to_spec(interval_ms(x))
@@ -59,9 +62,26 @@ def sliding_count(df: DataFrame, time_col: str, size, slide, keys=(), strategy:
     p_ms = F.col("_pane") * F.lit(pane_ms)
     lo = F.ceil((p_ms + F.lit(pane_ms - size_ms)).cast("double") / F.lit(float(slide_ms))).cast("bigint")
     hi = F.floor(p_ms.cast("double") / F.lit(float(slide_ms))).cast("bigint")
-    ends = panes.select(*keys, "_n", F.explode(F.sequence(lo, hi)).alias("_s"))
-    g = ends.groupBy(*keys, (F.col("_s") * F.lit(slide_ms) + F.lit(size_ms)).alias(end_col))
-    return g.agg(F.sum("_n").cast("bigint").alias(count_col))
+    if strategy == "panes_shuffle":
+        ends = panes.select(*keys, "_n", F.explode(F.sequence(lo, hi)).alias("_s"))
+        g = ends.groupBy(*keys, (F.col("_s") * F.lit(slide_ms) + F.lit(size_ms)).alias(end_col))
+        return g.agg(F.sum("_n").cast("bigint").alias(count_col))
+    # Window-end blocks: pane counts are copied to the (one or two) blocks of
+    # window ends they feed and shuffled by (key, block); the fan-out and the
+    # sum then run inside those partitions — hash(key, block) already
+    # clusters (key, block, end) — so the fanned-out rows are never
+    # shuffled. A hot key is spread over its blocks (≤ block/pane panes each).
+    block_ms = size_ms * BLOCK_WINDOWS
+    end_lo = lo * F.lit(slide_ms) + F.lit(size_ms)
+    end_hi = hi * F.lit(slide_ms) + F.lit(size_ms)
+    blocks = F.sequence(F.floor(end_lo / F.lit(block_ms)).cast("bigint"),
+                        F.floor(end_hi / F.lit(block_ms)).cast("bigint"))
+    copies = panes.select(*keys, "_pane", "_n", F.explode(blocks).alias("_blk")).repartition(*keys, "_blk")
+    ends = copies.select(*keys, "_blk", "_n", F.explode(F.sequence(lo, hi)).alias("_s")) \
+        .withColumn(end_col, F.col("_s") * F.lit(slide_ms) + F.lit(size_ms)) \
+        .where(F.floor(F.col(end_col) / F.lit(block_ms)) == F.col("_blk"))
+    g = ends.groupBy(*keys, "_blk", end_col).agg(F.sum("_n").cast("bigint").alias(count_col))
+    return g.select(*keys, end_col, count_col)
 
 
 def window_min_by(df: DataFrame, time_col: str, size, keys, value: str, arrival: str,
