@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.functions.text import tokenize_words
+from eventlens.operators.sequence import BLK, local_fan_out
 from eventlens.operators.prefix import (BUCKET, Prefix, rows_per_bucket_default, running_aggregates,
                                         with_range_bucket)
 
@@ -104,8 +105,9 @@ def count_window(df: DataFrame, key: str, arrival: str, value_units: str, size:
     idx = _indexed(df, key, arrival)
     fires = F.filter(F.sequence(F.col("_idx"), F.col("_idx") + F.lit(size - 1)),
                      lambda j: F.pmod(j, F.lit(slide)) == 0)
-    ex = idx.select(key, arrival, "_idx", F.col(value_units).alias("_v"), F.explode(fires).alias("n"))
-    g = ex.groupBy(key, "n").agg(
+    ex = local_fan_out(idx.select(key, arrival, "_idx", F.col(value_units).alias("_v")), [key],
+                       F.transform(fires, lambda j: F.struct(j.alias("_t"))))
+    g = ex.groupBy(key, BLK, F.col("_e._t").alias("n")).agg(
         F.max("_idx").alias("_last"),
         F.max_by(F.col(arrival), F.col("_idx")).alias(arrival),
         F.count(F.lit(1)).alias("cnt"),
@@ -123,9 +125,10 @@ def keyed_history(df: DataFrame, key: str, arrival: str, item: str, max_len: int
     per-key sequential pass.
     """
     idx = _indexed(df, key, arrival)
-    ex = idx.select(key, arrival, "_idx", F.col(item).cast("string").alias("_it"),
-                    F.explode(F.sequence(F.col("_idx"), F.col("_idx") + F.lit(max_len))).alias("_t"))
-    g = ex.groupBy(key, "_t").agg(
+    targets = F.transform(F.sequence(F.col("_idx"), F.col("_idx") + F.lit(max_len)), lambda t: F.struct(t.alias("_t")))
+    ex = local_fan_out(idx.select(key, arrival, "_idx", F.col(item).cast("string").alias("_it")), [key], targets)
+    ex = ex.withColumn("_t", F.col("_e._t"))
+    g = ex.groupBy(key, BLK, "_t").agg(
         F.max(F.when(F.col("_idx") == F.col("_t"), F.col(arrival))).alias(arrival),
         F.sort_array(F.collect_list(F.when(F.col("_idx") < F.col("_t"),
                                            F.struct("_idx", "_it")))).alias("_h"))

@@ -90,6 +90,8 @@ def test_late_router(spark):
     hour = 3_600_000
     write_lines(src, "1.csv", [f"1,{5 * hour + 10}"])                   # watermark becomes 5h+10 − 10min
     write_lines(src, "2.csv", [f"2,{3 * hour + 5}", f"3,{5 * hour - 1}"])  # 3h window purged; 4h window still open
+    os.utime(os.path.join(src, "1.csv"), (1_000_000, 1_000_000))  # files are taken oldest first
+    os.utime(os.path.join(src, "2.csv"), (2_000_000, 2_000_000))
     df = spark.readStream.schema("id long, ts_ms long").option("maxFilesPerTrigger", 1).csv(src)
     on_time, late = [], []
     route = SF.late_router("ts_ms", "1 hour", "10 minutes", "10 minutes",
