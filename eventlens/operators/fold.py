@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from eventlens.session import checkpoint_dir
 
-from eventlens.operators.prefix import BUCKET, Prefix, running_aggregates
+from eventlens.operators.prefix import BUCKET, Prefix, input_rows, running_aggregates
 from eventlens.operators.sequence import IDX, with_index, with_offsets
 
 _ALARM = "struct<f:bigint,l:bigint,n:int>"
@@ -40,7 +40,8 @@ def timer_alarms(df: DataFrame, key: str, ts: str, arrival: str, item: str, dela
     idx = with_index(base, key, [ts, arrival])
     nb = with_offsets(idx, key, [item, ts], [-1, 1])
     return fold_segments(nb, key, ts, arrival, F.col(item), F.col(f"{item}_p1"), F.col(f"{item}_n1"),
-                         F.col(f"{ts}_p1"), F.col(f"{ts}_n1"), delay, min_items, max_rows_per_key(base, key))
+                         F.col(f"{ts}_p1"), F.col(f"{ts}_n1"), delay, min_items,
+                         lambda: max_rows_per_key(base, key))
 
 
 def max_rows_per_key(df: DataFrame, key: str) -> int:
@@ -49,12 +50,13 @@ def max_rows_per_key(df: DataFrame, key: str) -> int:
 
 
 def fold_segments(nb: DataFrame, key: str, ts: str, arrival: str, item, item_prev, item_next,
-                  ts_prev, ts_next, delay: int, min_items: int = 1, max_rows_per_key: int | None = None) -> DataFrame:
+                  ts_prev, ts_next, delay: int, min_items: int = 1, max_rows_per_key=None) -> DataFrame:
     """The fold over rows that already carry their neighbours' item flag and
     time (``item_prev``/``item_next`` NULL when there is no such row).
-    ``max_rows_per_key`` (an upper bound of any segment's length, read
-    cheaply from the base input) skips measuring segments when none can
-    exceed the fold chunk."""
+    ``max_rows_per_key`` (a callable giving an upper bound of any segment's
+    length, read cheaply from the base input) skips measuring segments when
+    none can exceed the fold chunk; an input no larger than the chunk skips
+    both."""
     items = nb.select(key, ts, arrival, IDX, BUCKET, item_next.alias("_item_n"), ts_next.alias("_ts_n"),
                       (~F.coalesce(item_prev, F.lit(False))
                        | (F.col(ts) - ts_prev > F.lit(delay))).cast("int").alias("_start"),
@@ -63,7 +65,9 @@ def fold_segments(nb: DataFrame, key: str, ts: str, arrival: str, item, item_pre
     closer = F.struct(F.col("_item_n").alias("item"), F.col("_ts_n").alias("t"))
     chunk = fold_chunk()
     longest = 0
-    if max_rows_per_key is None or max_rows_per_key > chunk:
+    total = input_rows(nb)
+    small = total is not None and total <= chunk
+    if not small and (max_rows_per_key is None or max_rows_per_key() > chunk):
         seg = running_aggregates(seg, [key, "_seg"], [ts, arrival], {"_si": Prefix("count")})
         lens = seg.groupBy(key, "_seg").agg(F.max("_si").alias("_len"), F.max_by(closer, "_si").alias("_closer"))
         longest = lens.agg(F.max("_len")).first()[0] or 0  # one statistics row
@@ -200,7 +204,8 @@ def rising_alarm(readings: DataFrame, interval_s: int = 10, key: str = "id", ts:
                       rise(v, v_p1, F.lit(True)),
                       rise(v_p1, v_p2, v_p1.isNotNull()),
                       rise(v_n1, v, v_n1.isNotNull()),
-                      F.col(f"{ts}_p1"), F.col(f"{ts}_n1"), interval_s, 1, max_rows_per_key(base, key))
+                      F.col(f"{ts}_p1"), F.col(f"{ts}_n1"), interval_s, 1,
+                      lambda: max_rows_per_key(base, key))
     return a.select(key, F.col("first_ts").alias("armed_ts"), F.col("fire_ts").alias("fired_ts"),
                     F.concat(F.lit("sensor "), F.col(key), F.lit(f" rose continuously for {interval_s}s"))
                     .alias("warning_msg"))

@@ -39,6 +39,7 @@ MAX_BUCKETS = 1_000_000
 MAX_FINE = 1 << 20
 BUCKET = "_pb"
 BUCKETS_META = "eventlens.buckets"
+ROWS_META = "eventlens.rows"
 
 
 @dataclass(frozen=True)
@@ -99,7 +100,7 @@ def with_range_bucket(df: DataFrame, order_col, rows_per_bucket: int | None = No
     lo, hi, n = st["lo"], st["hi"], st["n"] or 0
     coarse = int(min(max(math.ceil(n / rows_per_bucket), 1), MAX_BUCKETS))
     if lo is None or coarse <= 1:
-        return df.select("*", F.lit(0).alias(BUCKET, metadata={BUCKETS_META: 1}))
+        return df.select("*", F.lit(0).alias(BUCKET, metadata={BUCKETS_META: 1, ROWS_META: int(n)}))
     fine_n = MAX_FINE
     width = (hi - lo + 1.0) / fine_n
     fine = F.coalesce(F.least(F.floor((o.cast("double") - F.lit(lo)) / F.lit(width)),
@@ -110,7 +111,14 @@ def with_range_bucket(df: DataFrame, order_col, rows_per_bucket: int | None = No
     to_coarse = hist.select("_fb", F.floor(F.coalesce(F.sum("_c").over(before), F.lit(0))
                                            / F.lit(float(rows_per_bucket))).cast("int").alias(BUCKET))
     out = d.join(F.broadcast(to_coarse), "_fb").drop("_fb")
-    return out.withMetadata(BUCKET, {BUCKETS_META: coarse})
+    return out.withMetadata(BUCKET, {BUCKETS_META: coarse, ROWS_META: int(n)})
+
+
+def input_rows(df: DataFrame) -> int | None:
+    """Row count (or weight) of the input the carried ``_pb`` was built on."""
+    if BUCKET not in df.columns:
+        return None
+    return df.schema[BUCKET].metadata.get(ROWS_META)
 
 
 def bucket_count(df: DataFrame) -> int | None:
