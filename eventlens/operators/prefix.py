@@ -108,8 +108,9 @@ def with_range_bucket(df: DataFrame, order_col, rows_per_bucket: int | None = No
     d = df.withColumn("_fb", fine)
     hist = d.groupBy("_fb").agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("_c"))
     before = Window.orderBy("_fb").rowsBetween(Window.unboundedPreceding, -1)  # ≤ 2^20 rows
-    to_coarse = hist.select("_fb", F.floor(F.coalesce(F.sum("_c").over(before), F.lit(0))
-                                           / F.lit(float(rows_per_bucket))).cast("int").alias(BUCKET))
+    to_coarse = hist.select("_fb", F.coalesce(F.floor(F.coalesce(F.sum("_c").over(before), F.lit(0))
+                                                      / F.lit(float(rows_per_bucket))).cast("int"),
+                                             F.lit(0)).alias(BUCKET))
     out = d.join(F.broadcast(to_coarse), "_fb").drop("_fb")
     return out.withMetadata(BUCKET, {BUCKETS_META: coarse, ROWS_META: int(n)})
 
