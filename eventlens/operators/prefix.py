@@ -5,16 +5,16 @@ to one task, so a key holding a third of the rows becomes a third of the
 job in a single task. Prefix aggregates that combine associatively
 (count, sum, max, min) are split in two phases instead:
 
-1. rows get a range bucket of the first order column (equal-width over the
-   column's span; span and row count from a scalar subquery; about one
-   bucket per million rows);
+1. rows get a range bucket of the first order column: 2^20 equal-width
+   fine buckets over its span, merged by a histogram into buckets of about
+   4M rows (inputs within one bucket take a plain single-pass window);
 2. a running aggregate inside each (key, bucket) — parallel over buckets;
 3. per-(key, bucket) totals (a grouped aggregate with map-side combine),
    then a running total over the buckets of a key — one row per bucket;
 4. an equi-join on (key, bucket) adds the earlier buckets' total to each row.
 
-The bucket is a pure function of the row, so re-running a lost task gives
-the same answer.
+The bucket is a pure function of the row (given the input's statistics),
+so re-running a lost task gives the same answer.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from eventlens.functions.time import to_col
 
-ROWS_PER_BUCKET = 1_000_000
+ROWS_PER_BUCKET = 4_000_000  # ≈ 128–256 MB of rows per (key, bucket) task
 
 
 def rows_per_bucket_default() -> int:
