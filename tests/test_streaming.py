@@ -155,3 +155,12 @@ def test_update_mode_with_lateness(spark, stream_dir):
                 "s_upd", mode="update")
     final = out.groupBy("window_end").agg(F.max("cnt").alias("cnt")).where(F.col("window_end") < 1704067200000 + 40 * 86400000)
     same(final, D.page_views(A.behaviour(batch_events(spark)).where("behavior = 'pv'")), ["window_end", "cnt"])
+
+
+def test_uv_approx_stream(spark, stream_dir):
+    beh = A.behaviour(events_stream(spark, stream_dir)).where("behavior = 'pv'")
+    end = 1704067200000 + 40 * 86400000
+    got = {r.window_end: r.uv for r in drain(SF.uv_approx_stream(beh), "s_hll").where(F.col("window_end") < end).collect()}
+    exact = {r.window_end: r.uv for r in D.unique_visitors(A.behaviour(batch_events(spark)).where("behavior = 'pv'")).collect()}
+    assert set(got) == set(exact)
+    assert all(abs(got[w] - exact[w]) <= max(1, 0.05 * exact[w]) for w in exact)
