@@ -11,7 +11,8 @@ from eventlens.plans.adapters import TABLES
 
 SF = "/root/testdata/sf0.001"
 SPLIT_SENSITIVE = ["rolling_sum", "rolling_max_by", "keyed_history", "global_sequence", "count_window_avg",
-                   "changelog_stats", "jump_alarm", "login_fail_timer", "rising_alarm", "late_rows", "uv_running"]
+                   "changelog_stats", "jump_alarm", "login_fail_timer", "rising_alarm", "late_rows", "uv_running",
+                   "login_fail_pairs", "match_times3", "match_sequence", "hot_pages", "hot_items"]
 
 
 @pytest.fixture(scope="module")
@@ -49,7 +50,10 @@ def test_query_matches_oracle(spark, con, name):
 
 @pytest.mark.parametrize("name", SPLIT_SENSITIVE)
 def test_split_plan_matches_oracle(spark, con, name, monkeypatch):
+    """Split prefix plan, tiny fan-out blocks and a tiny fold chunk together."""
     monkeypatch.setenv("EVENTLENS_ROWS_PER_BUCKET", "97")
+    monkeypatch.setenv("EVENTLENS_FAN_BLOCK", "5")
+    monkeypatch.setenv("EVENTLENS_FOLD_CHUNK", "3")
     check(spark, con, name)
 
 
