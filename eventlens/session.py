@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -55,17 +56,17 @@ def apply_sql_defaults(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for cutting lineage.
+    """Shared folder for written tables and streaming checkpoints.
 
-    Uses the cluster's ``spark.checkpoint.dir`` when set; only when it is
-    unset (local tests) a scratch folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
+    and the whole session is one process (``local[n]``, as in tests), a scratch
+    folder is made; on any cluster an unset folder is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        d = tempfile.mkdtemp(prefix="eventlens-ckpt-")  # local mode only (tests)
-        spark.conf.set("spark.checkpoint.dir", d)
+        d = tempfile.mkdtemp(prefix="eventlens-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
