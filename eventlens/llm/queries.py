@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from eventlens.llm import chat, language_id, line_dedup, packing, token_counts, warc
+from eventlens.llm import chat, decontaminate, language_id, line_dedup, packing, token_counts, topk, warc
 
 QUERIES = {f.__name__: f for f in (
-    line_dedup.op1_line_dedup, token_counts.op2_token_counts, packing.op3_packing, language_id.op8_language_id, chat.op9_chat_format,
+    line_dedup.op1_line_dedup, token_counts.op2_token_counts, packing.op3_packing, topk.op5_topk_search, decontaminate.op6_decontaminate,
+    language_id.op8_language_id, chat.op9_chat_format,
     warc.op10_warc_derivatives)}
 SQL = {"op1_line_dedup": line_dedup.OP1_SQL, "op9_chat_format": chat.OP9_SQL}
