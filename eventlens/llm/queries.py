@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from eventlens.llm import chat, decontaminate, language_id, line_dedup, near_dup, packing, token_counts, topk, warc
+from eventlens.llm import chat, decontaminate, language_id, line_dedup, near_dup, packing, substring_dedup, token_counts, topk, warc
 
 QUERIES = {f.__name__: f for f in (
-    line_dedup.op1_line_dedup, token_counts.op2_token_counts, packing.op3_packing, near_dup.op4_near_duplicates, topk.op5_topk_search, decontaminate.op6_decontaminate,
+    line_dedup.op1_line_dedup, token_counts.op2_token_counts, packing.op3_packing, near_dup.op4_near_duplicates, topk.op5_topk_search, decontaminate.op6_decontaminate, substring_dedup.op7_substring_dedup,
     language_id.op8_language_id, chat.op9_chat_format,
     warc.op10_warc_derivatives)}
-SQL = {"op1_line_dedup": line_dedup.OP1_SQL, "op4_near_duplicates": near_dup.OP4_SQL, "op9_chat_format": chat.OP9_SQL}
+SQL = {"op1_line_dedup": line_dedup.OP1_SQL, "op4_near_duplicates": near_dup.OP4_SQL, "op7_substring_dedup": substring_dedup.OP7_SQL, "op9_chat_format": chat.OP9_SQL}
