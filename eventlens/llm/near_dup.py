@@ -15,9 +15,9 @@ rounds, each on what the rounds before left in different components:
 1. every text against the smallest member it shares a bucket with;
 2. every text against the smallest member of each of its buckets;
 3. in buckets that still hold several components, all members across
-   components: blocks of at most about ``BLOCK`` members meet in pairs inside
-   the tasks, and only pairs whose signatures agree enough leave them. The
-   allowed shortfall is 6.5 standard errors, so this loses no link either.
+   components: blocks of bounded size meet inside the tasks with their sets as
+   32-bit codes. Codes can only overstate what two sets share, so the pairs that
+   leave a task are all links and hardly anything else.
 
 Any candidate is confirmed by comparing the full sets, built anew from the
 texts. Large groups of copies cost one comparison a member; no pairs of a group
@@ -38,12 +38,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import combine, mix, shingles, slices, small_batches, table, words, written
+from eventlens.llm.common import combine, shingles, slices, small_batches, table, words, written
 from eventlens.llm.components import components
 
 PERMS, PER_BAND = 80, 2
 BANDS = PERMS // PER_BAND
-BLOCK = 1024
+#: Members and codes of a block in round three, about.
+BLOCK, BLOCK_CODES = 1024, 1 << 20
+#: Codes are looked up by this many bits.
+PLACES = 20
 _RNG = np.random.default_rng(11)
 _MUL = _RNG.integers(0, 1 << 63, (PERMS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _XOR = _RNG.integers(0, 1 << 63, (PERMS, 1), dtype=np.uint64)
@@ -65,7 +68,7 @@ def band_keys(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return combine([np.arange(BANDS, dtype=np.uint64), *cols])
 
 
-_SIGNED = "id long, text_hash long, n long, f1 long, f2 long, bands array<long>, sig binary"
+_SIGNED = "id long, text_hash long, n long, f1 long, f2 long, bands array<long>"
 
 
 def _sign(shingle: int):
@@ -73,7 +76,7 @@ def _sign(shingle: int):
         for batch in batches:
             for part in slices(batch, "text"):
                 w = words(part.column("text"), lower=True)
-                n, f1, f2, bands, sigs = [], [], [], [], []
+                n, f1, f2, bands = [], [], [], []
                 for i in range(part.num_rows):
                     own = shingles(w.of(i), shingle)
                     print_ = xxhash.xxh3_128_intdigest(own.tobytes())
@@ -82,12 +85,11 @@ def _sign(shingle: int):
                     f1.append((print_ >> 64) - (1 << 63))
                     f2.append((print_ & (1 << 64) - 1) - (1 << 63))
                     bands.append(band_keys(low, high).view(np.int64) if own.size else np.empty(0, np.int64))
-                    sigs.append(mix(np.concatenate([low, high])).astype(np.uint16).tobytes())
                 offsets = np.concatenate([[0], np.cumsum([b.size for b in bands])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("text_hash"), *(pa.array(x, pa.int64()) for x in (n, f1, f2)),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(bands))), pa.array(sigs, pa.binary())],
-                    names=["id", "text_hash", "n", "f1", "f2", "bands", "sig"])
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(bands)))],
+                    names=["id", "text_hash", "n", "f1", "f2", "bands"])
     return signed
 
 
@@ -107,21 +109,34 @@ def _confirm(shingle: int, percent: int):
     return confirmed
 
 
+def _codes(shingle: int):
+    """Texts to their sets as codes of 32 bits, which travel in round three."""
+    def coded(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                w = words(part.column("text"), lower=True)
+                codes = [(shingles(w.of(i), shingle) >> np.uint64(32)).astype("<u4").tobytes() for i in range(part.num_rows)]
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(codes, pa.binary())], names=["id", "codes"])
+    return coded
+
+
 def _across(percent: int):
-    """Blocks of bucket members to the pairs across components whose signatures agree enough."""
-    j = percent / 100
-    least = 2 * PERMS * j - 6.5 * (2 * PERMS * j * (1 - j)) ** 0.5
+    """Blocks of bucket members to the pairs across components that may share enough."""
+    table_ = np.zeros(1 << PLACES, bool)
 
     def pairs(rows):
         ids, comps, n, side = (np.array([r[k] for r in rows]) for k in (1, 2, 3, 5))
-        sig = np.frombuffer(b"".join(r[4] for r in rows), np.uint16).reshape(-1, 2 * PERMS)
+        codes = [np.frombuffer(r[4], "<u4") >> np.uint32(32 - PLACES) for r in rows]
         left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
         for i in left.tolist():
             to = right[(comps[right] != comps[i]) & ((ids[right] > ids[i]) | (side[right] > 0))]
             to = to[100 * np.minimum(n[to], n[i]) >= percent * np.maximum(n[to], n[i])]
             if to.size:
-                to = to[(sig[to] == sig[i]).sum(axis=1) >= least]
-                for k in to.tolist():
+                table_[codes[i]] = True
+                hits = table_[np.concatenate([codes[k] for k in to.tolist()])]
+                shared = np.add.reduceat(hits, np.concatenate([[0], np.cumsum(n[to])[:-1]]), dtype=np.int64)
+                table_[codes[i]] = False
+                for k in to[100 * shared >= percent * (n[to] + n[i] - shared)].tolist():
                     yield min(ids[i], ids[k]), max(ids[i], ids[k])
 
     def made(batches):
@@ -189,15 +204,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     # Round three: a bucket's smallest member has met all others by now.
     left = labelled(members.where("id != a").select("bucket", "id", "n"), "id", "comp", comps)
-    mixed = (left.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("size"))
-             .where("c1 != c2").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    size = F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_CODES)
+    mixed = (left.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.ceil(size).cast("int").alias("blocks"))
+             .where("c1 != c2").select("bucket", "blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     dealt = (left.join(mixed, "bucket").withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select(F.struct("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("key"),
+             .select(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
                      "id", "comp", "n", F.signum(F.col("own") - F.col("other")).cast("int").alias("side")))
-    sigs = signed.join(reps, ["id", "text_hash"], "left_semi").select("id", "sig").dropDuplicates(["id"])
-    blocks = (dealt.join(sigs, "id").select(F.xxhash64("key").alias("key"), "id", "comp", "n", "sig", "side"))
+    codes = texts.join(dealt.select("id").distinct(), "id", "left_semi").mapInArrow(_codes(shingle), "id long, codes binary")
+    blocks = dealt.join(codes, "id").select("key", "id", "comp", "n", "codes", "side")
     found = (blocks.repartition("key").sortWithinPartitions("key").mapInArrow(_across(percent), "a long, b long").distinct())
     links = links.unionByName(confirm(found))
     comps = components(links)
