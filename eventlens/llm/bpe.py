@@ -58,7 +58,7 @@ def encoder(name: str) -> Encoder:
 class ChunkCache(dict):
     """Chunk without its leading space -> value of the chunk with it; at most ``limit`` entries."""
 
-    def __init__(self, value, known: dict | None = None, limit: int = 400_000):
+    def __init__(self, value, known: dict | None = None, limit: int = 150_000):
         super().__init__(known or {})
         self.value, self.known, self.limit = value, known or {}, limit
 

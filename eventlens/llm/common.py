@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from eventlens.session import checkpoint_dir
 
 #: Text bytes that a task turns into arrays at a time (one longer text is taken alone).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Rows of an Arrow batch: bounds what a Python worker holds of long texts.
 ARROW_ROWS = 512
 
@@ -37,6 +38,20 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def per_task(function: Callable) -> Callable:
+    """A batch function that, when its task ends, gives freed memory back to the
+    system: Spark keeps Python workers for later tasks, beside a growing heap."""
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            pa.default_memory_pool().release_unused()
+            if trim:
+                trim(0)
+    return run
+
+
 # --- words ------------------------------------------------------------------
 # A word is a maximal run of bytes other than 0x20 and 0x09-0x0D. Its 64-bit
 # hash is a polynomial over random byte values, taken from one prefix sum over

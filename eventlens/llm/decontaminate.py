@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import combine, slices, small_batches, table, words
+from eventlens.llm.common import combine, per_task, slices, small_batches, table, words
 
 WINDOW, ERRORS = 13, 2
 #: Fixed masks: 1 reads a word, 0 ignores it.
@@ -115,7 +115,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     small_batches(spark)
     kinds = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()
     items = (benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).cast("string").alias("text"))
-             .mapInArrow(_emit(["item_id"], lambda h: np.arange(h.size)), f"item_id {kinds[1]}, {SEEDS}")
+             .mapInArrow(per_task(_emit(["item_id"], lambda h: np.arange(h.size))), f"item_id {kinds[1]}, {SEEDS}")
              .groupBy("seed", F.col("around").alias("item_around")).agg(F.min("item_id").alias("item_id")))
     bits = spark.sparkContext.broadcast(_bitmap(items))
 
@@ -124,9 +124,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
         return np.flatnonzero(bits.value[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
 
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("text"))
-    seeds = rows.mapInArrow(_emit(["id", "text_hash"], in_bitmap), f"id {kinds[0]}, text_hash long, {SEEDS}")
-    found = (seeds.join(items, "seed").select("id", "text_hash", "item_id", "start", "around", "item_around")
-             .mapInArrow(_verify, f"id {kinds[0]}, text_hash long, item_id {kinds[1]}, first_word long, matched long"))
+    seeds = rows.mapInArrow(per_task(_emit(["id", "text_hash"], in_bitmap)), f"id {kinds[0]}, text_hash long, {SEEDS}")
+    # By shuffle, so that finding seeds and comparing words are stages, and Python workers, of their own.
+    found = (seeds.join(items.hint("merge"), "seed").select("id", "text_hash", "item_id", "start", "around", "item_around")
+             .mapInArrow(per_task(_verify), f"id {kinds[0]}, text_hash long, item_id {kinds[1]}, first_word long, matched long"))
     return found.groupBy("id", "text_hash").agg(F.min("item_id").alias("item_id"), F.min("first_word").alias("first_word"), F.max("matched").alias("matched"))
 
 

@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import mix, small_batches, table
+from eventlens.llm.common import mix, per_task, small_batches, table
 
 UNDETERMINED = "und"
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
@@ -109,7 +109,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", per_languag
             yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.binary())], names=["lang", "sets"])
 
     # Copies of one text have one hash: they count once.
-    sample = rows.where(place < share).distinct().mapInArrow(packed, "lang string, sets binary").collect()
+    sample = rows.where(place < share).distinct().mapInArrow(per_task(packed), "lang string, sets binary").collect()
     unpacked = [(r.lang, np.unpackbits(np.frombuffer(r.sets, np.uint8))[:width].reshape(len(ORDERS), -1).astype(np.float32))
                 for r in sorted(sample, key=lambda r: (r.lang, bytes(r.sets)))]
     return train(unpacked, landmarks, ridge, bits)
@@ -146,7 +146,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                              names=[*batch.schema.names, "lang_pred", "score"])
 
-    return docs.mapInArrow(predict, schema)
+    return docs.mapInArrow(per_task(predict), schema)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import combine, shingles, slices, small_batches, table, words, written
+from eventlens.llm.common import combine, per_task, shingles, slices, small_batches, table, words, written
 from eventlens.llm.components import components
 
 PERMS, PER_BAND = 80, 2
@@ -168,7 +168,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     small_batches(docs.sparkSession)
     rows = (docs.where(F.col(id_col).isNotNull())
             .select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("text")))
-    signed = written(rows.mapInArrow(_sign(shingle), _SIGNED))
+    signed = written(rows.mapInArrow(per_task(_sign(shingle)), _SIGNED))
     one = signed.groupBy("id").agg(F.min(F.struct("f1", "f2", "n", "text_hash")).alias("r")).select("id", "r.*")
     classes = one.where("n > 0").groupBy("f1", "f2").agg(F.min(F.struct("id", "text_hash")).alias("r"))
     reps = classes.select("r.*")
@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     def confirm(pairs: DataFrame) -> DataFrame:
         with_b = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
         with_ab = with_b.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-        return written(with_ab.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(shingle, percent), "a long, b long"))
+        return written(with_ab.select("a", "b", "text_a", "text_b").mapInArrow(per_task(_confirm(shingle, percent)), "a long, b long"))
 
     def labelled(df: DataFrame, ids: str, name: str, comps: DataFrame) -> DataFrame:
         of = comps.select(F.col("id").alias(ids), F.col("comp").alias(name))
@@ -212,9 +212,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
                      "id", "comp", "n", F.signum(F.col("own") - F.col("other")).cast("int").alias("side")))
-    codes = texts.join(dealt.select("id").distinct(), "id", "left_semi").mapInArrow(_codes(shingle), "id long, codes binary")
+    codes = texts.join(dealt.select("id").distinct(), "id", "left_semi").mapInArrow(per_task(_codes(shingle)), "id long, codes binary")
     blocks = dealt.join(codes, "id").select("key", "id", "comp", "n", "codes", "side")
-    found = (blocks.repartition("key").sortWithinPartitions("key").mapInArrow(_across(percent), "a long, b long").distinct())
+    found = (blocks.repartition("key").sortWithinPartitions("key").mapInArrow(per_task(_across(percent)), "a long, b long").distinct())
     links = links.unionByName(confirm(found))
     comps = components(links)
 

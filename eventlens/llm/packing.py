@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.llm import bpe
-from eventlens.llm.common import small_batches, table
+from eventlens.llm.common import per_task, small_batches, table
 
 #: How many of the cheapest sequences are asked for room before a rest is cut.
 LOOK = 8
@@ -135,7 +135,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", tokenizer:
 
     out = docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"))
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
-    return out.mapInArrow(packed, schema).withColumnRenamed("id", id_col)
+    return out.mapInArrow(per_task(packed), schema).withColumnRenamed("id", id_col)
 
 
 def op3_packing(spark, sf_dir) -> DataFrame:

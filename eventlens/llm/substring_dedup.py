@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import mix, slices, small_batches, table, words, written
+from eventlens.llm.common import mix, per_task, slices, small_batches, table, words, written
 
 WINDOW, GRAM, SHARD = 50, 25, 20_000
 _BASE = 0xD6E8FEB86659FD93
@@ -226,7 +226,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     joined by blanks where any word went, else null (the text is as it was)."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("text_hash"), F.col(text).cast("string").alias("text"))
-    signed = written(rows.mapInArrow(_sign, _SIGNED))
+    signed = written(rows.mapInArrow(per_task(_sign), _SIGNED))
     long_ones = signed.where(F.col("id").isNotNull() & (F.col("n") >= WINDOW))
     firsts = long_ones.groupBy("f1", "f2").agg(F.min("id").alias("rep"))
     copies = long_ones.join(firsts, ["f1", "f2"]).select("id", "text_hash", "n", (F.col("id") != F.col("rep")).alias("copy"))
@@ -242,11 +242,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     texts = written(rows.join(wanted, "id", "left_semi").dropDuplicates(["id", "text_hash"]))
 
     stretches = texts.join(routes, ["id", "text_hash"]).select("id", "text_hash", "text", "routes").mapInArrow(
-        _stretches, "id long, text_hash long, ref long, start long, stretch string")
+        per_task(_stretches), "id long, text_hash long, ref long, start long, stretch string")
     ref_texts = texts.select(F.col("id").alias("ref"), F.col("text_hash").alias("ref_hash"), F.col("text").alias("ref_text"))
     met = stretches.join(ref_texts, "ref").sortWithinPartitions("ref", "ref_hash")
     found = written(met.select("id", "text_hash", "ref", "ref_hash", "start", "stretch", "ref_text").mapInArrow(
-        _match, "id long, text_hash long, first long, last long, u1 long, u2 long"))
+        per_task(_match), "id long, text_hash long, first long, last long, u1 long, u2 long"))
     open_ones = found.where("u1 is not null")
     shared = open_ones.groupBy("u1", "u2").agg(F.min("id").alias("m"), F.max("id").alias("z")).where("m != z")
     decided = open_ones.join(shared, ["u1", "u2"]).where("id != m")
@@ -254,7 +254,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
              .unionByName(decided.select("id", "text_hash", "first", "last"))
              .groupBy("id", "text_hash").agg(F.collect_set(F.struct("first", "last")).alias("spans")))
     changed = (texts.join(spans, ["id", "text_hash"]).select("id", "text_hash", "text", "spans")
-               .mapInArrow(_cut, "id long, text_hash long, n_removed long, kept string"))
+               .mapInArrow(per_task(_cut), "id long, text_hash long, n_removed long, kept string"))
     whole = copies.where("copy").select("id", "text_hash", F.col("n").alias("n_removed"), F.lit("").alias("kept")).distinct()
     gone = changed.unionByName(whole)
     out = signed.select("id", "text_hash", F.col("n").alias("n_words"), "words_sha256").join(gone, ["id", "text_hash"], "left")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.llm import bpe
-from eventlens.llm.common import small_batches, table
+from eventlens.llm.common import per_task, small_batches, table
 
 
 def frequent_lengths(docs: DataFrame, text: str, tokenizer: str, frequent: int, sample_rows: int) -> dict[str, int]:
@@ -42,7 +42,7 @@ def frequent_lengths(docs: DataFrame, text: str, tokenizer: str, frequent: int,
                                              names=["chunk", "n"])
 
     part = docs.select(text).sample(fraction=min(1.0, sample_rows / rows), seed=1)
-    top = (part.mapInArrow(tally, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
+    top = (part.mapInArrow(per_task(tally), "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "chunk").limit(frequent).collect())
     enc = bpe.encoder(tokenizer)
     return {r.chunk: len(enc.chunk(" " + r.chunk)) for r in top}
@@ -66,7 +66,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", to
     kind = docs.schema[id_col].dataType.simpleString()
     size = F.coalesce(F.octet_length(F.col(text)).cast("long"), F.lit(0).cast("long"))
     out = docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"), size.alias("n_bytes"))
-    return (out.mapInArrow(counted, f"id {kind}, n_bytes long, n_tokens long")
+    return (out.mapInArrow(per_task(counted), f"id {kind}, n_bytes long, n_tokens long")
             .select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import table
+from eventlens.llm.common import per_task, table
 
 #: Integers up to this sum of products are exact in doubles.
 _EXACT = 1 << 52
@@ -123,7 +123,7 @@ def top_k(vectors: DataFrame, is_query, id_col: str = "vec_id", vector: str = "e
                 yield pa.RecordBatch.from_arrays([pa.array([o[j] for o in out], pa.int64()) for j in range(3)], names=["query_id", "id", "score"])
 
     joined = sent.join(data, ["dim", "shard"]).select("dim", "shard", "data", "queries").sortWithinPartitions("dim", "shard")
-    best = joined.mapInArrow(search, "query_id long, id long, score long")
+    best = joined.mapInArrow(per_task(search), "query_id long, id long, score long")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")  # a row holds a whole shard
     return (best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import small_batches, table
+from eventlens.llm.common import per_task, small_batches, table
 
 SCHEMA = "warc_type string, record_id string, headers array<struct<name:string,value:string>>, block binary"
 _ARROW = [("warc_type", pa.string()), ("record_id", pa.string()),
@@ -119,7 +119,7 @@ def responses(pages: DataFrame, id_col: str = "page_id", url: str = "url", body:
 
     kind = pages.schema[id_col].dataType.simpleString()
     return (pages.select(F.col(id_col).alias("id"), F.col(url).cast("string").alias("url"), F.col(body).cast("string").alias("body"))
-            .mapInArrow(made, f"id {kind}, {SCHEMA}").withColumnRenamed("id", id_col))
+            .mapInArrow(per_task(made), f"id {kind}, {SCHEMA}").withColumnRenamed("id", id_col))
 
 
 def derive(records: DataFrame, id_col: str = "page_id") -> DataFrame:
@@ -136,7 +136,7 @@ def derive(records: DataFrame, id_col: str = "page_id") -> DataFrame:
 
     kind = records.schema[id_col].dataType.simpleString()
     out = records.where("warc_type = 'response'").select(F.col(id_col).alias("id"), "record_id", "headers", "block")
-    return out.mapInArrow(made, f"id {kind}, {SCHEMA}").withColumnRenamed("id", id_col)
+    return out.mapInArrow(per_task(made), f"id {kind}, {SCHEMA}").withColumnRenamed("id", id_col)
 
 
 def header(name: str) -> F.Column:
@@ -178,7 +178,7 @@ def write(records: DataFrame, path: str, records_per_file: int = 1000) -> None:
                                                   pa.array([len(part)], pa.int64())], names=["warc", "n_records"])
 
     small_batches(records.sparkSession)
-    records.select("headers", "block").mapInArrow(made, "warc binary, n_records long").write.parquet(path)
+    records.select("headers", "block").mapInArrow(per_task(made), "warc binary, n_records long").write.parquet(path)
 
 
 def read(spark, path: str) -> DataFrame:
@@ -188,7 +188,7 @@ def read(spark, path: str) -> DataFrame:
             for raw in b.column(0).to_pylist():
                 yield _batch(list(parse(raw)), [])
 
-    return spark.read.parquet(path).select("warc").mapInArrow(made, SCHEMA)
+    return spark.read.parquet(path).select("warc").mapInArrow(per_task(made), SCHEMA)
 
 
 def op10_warc_derivatives(spark, sf_dir) -> DataFrame:
