@@ -38,6 +38,12 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shielded(df: DataFrame, names: set[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns that bear an operator's own names renamed, and how to rename them back."""
+    away = {c: f"{c}__{i}__own" for i, c in enumerate(df.columns) if c.lower() in names}
+    return df.withColumnsRenamed(away), {v: k for k, v in away.items()}
+
+
 def per_task(function: Callable) -> Callable:
     """A batch function that, when its task ends, gives freed memory back to the
     system: Spark keeps Python workers for later tasks, beside a growing heap."""

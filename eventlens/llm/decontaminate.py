@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import combine, per_task, slices, small_batches, table, words
+from eventlens.llm.common import combine, per_task, shielded, slices, small_batches, table, words
 
 WINDOW, ERRORS = 13, 2
 #: Fixed masks: 1 reads a word, 0 ignores it.
@@ -134,8 +134,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs`` without any overlap."""
     found = overlaps(docs, benchmark, id_col, text).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"))
+    docs, back = shielded(docs, {"_text_hash", "_id", "_hash"})
     rows = docs.withColumn("_text_hash", F.xxhash64(text))
-    return rows.join(found, rows[id_col].eqNullSafe(found["_id"]) & (rows["_text_hash"] == found["_hash"]), "left_anti").drop("_text_hash")
+    return rows.join(found, rows[id_col].eqNullSafe(found["_id"]) & (rows["_text_hash"] == found["_hash"]), "left_anti").drop("_text_hash").withColumnsRenamed(back)
 
 
 def op6_decontaminate(spark, sf_dir) -> DataFrame:

@@ -15,7 +15,8 @@ Prediction reads every whole text and nothing but the text.
 
 Defined results: null text, or one without any letter, is ``und`` with score 0;
 rows of null language are not learned from; with no training rows at all every
-text is ``und``; repeated rows are predicted alike; other columns are ignored.
+text is ``und``; repeated rows are predicted alike; other columns pass through
+(``lang_pred`` and ``score`` are replaced).
 """
 
 from __future__ import annotations
@@ -120,6 +121,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
+    docs = docs.drop("lang_pred", "score")
     schema = docs.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
 
     def predict(batches):

@@ -17,7 +17,8 @@ Defined results: null text stays null with 0 lines; a null site counts as one
 site; blank lines are never removed; a line repeated inside a document is
 judged once and removed at each place; repeated ids count as one document (a
 line is removed from each of its rows or none); rows of null id keep all lines
-and lend none; other columns pass through; an empty table gives no rows.
+and lend none; other columns pass through (``_n_lines`` and ``_n_removed`` are
+replaced); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import table, written
+from eventlens.llm.common import shielded, table, written
 
 #: log2 of the sketch's registers; the relative error of an estimate is about 1.04 / 2^(LG_K / 2).
 LG_K = 10
@@ -34,6 +35,7 @@ LG_K = 10
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = 10) -> DataFrame:
     """``docs`` with ``text`` cleaned, and the further columns ``_n_lines`` and ``_n_removed``."""
     key = ["_h1", "_h2"]
+    docs, back = shielded(docs.drop("_n_lines", "_n_removed"), {"_text_hash", "_gone_id", "_gone_hash", "_gone", "_lines", "_kept"})
     # A row is known by its id and the hash of its text: rows of one id may differ.
     rows = docs.withColumn("_text_hash", F.xxhash64(F.col(text)))
     lines = (rows.where(F.col(id_col).isNotNull())
@@ -65,7 +67,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", site
             .withColumn("_n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.size("_lines")).cast("long"))
             .withColumn("_n_removed", F.coalesce(F.col("_n_lines") - F.size("_kept"), F.lit(0)).cast("long"))
             .withColumn(text, cleaned)
-            .drop("_text_hash", "_gone_id", "_gone_hash", "_gone", "_lines", "_kept"))
+            .drop("_text_hash", "_gone_id", "_gone_hash", "_gone", "_lines", "_kept").withColumnsRenamed(back))
 
 
 def op1_line_dedup(spark, sf_dir) -> DataFrame:
