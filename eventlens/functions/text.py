@@ -29,8 +29,6 @@ def _re_escape(sep: str) -> str:
 def tokenize_words(df: DataFrame, text_col: str = "value", sep: str = " ",
                    with_position: bool = False) -> DataFrame:
     """One row per token: ``word`` (and ``pos``, 0-based), other columns kept."""
-    from eventlens.operators.partition import ensure_parallelism
-    df = ensure_parallelism(df)
     keep = [c for c in df.columns if c != text_col]
     toks = split_dropping_trailing(F.col(text_col), sep)
     if with_position:
@@ -40,8 +38,6 @@ def tokenize_words(df: DataFrame, text_col: str = "value", sep: str = " ",
 
 def field_lengths(df: DataFrame, col: str = "value", sep: str = ",") -> DataFrame:
     """One row per separated field, holding the field's length."""
-    from eventlens.operators.partition import ensure_parallelism
-    df = ensure_parallelism(df)
     keep = [c for c in df.columns if c != col]
     lens = F.transform(split_dropping_trailing(F.col(col), sep), lambda x: F.length(x))
     return df.select(*keep, F.posexplode(lens).alias("pos", "len"))

@@ -31,19 +31,3 @@ def partition_by(df: DataFrame, strategy: str, n: int, key=None, seed: int = 42)
 
 def with_partition_id(df: DataFrame, col: str = "part") -> DataFrame:
     return df.withColumn(col, F.spark_partition_id())
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread an input that arrives in fewer partitions than the cluster has
-    cores (e.g. one large row group) before heavy per-row work such as
-    tokenizing texts. Large inputs already have more partitions than
-    cores and pass through unchanged, so this never adds a shuffle at scale.
-    """
-    if df.isStreaming:
-        return df
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 — sessions without RDD access: leave the plan as is
-        return df
-    return df if have >= want else df.repartition(want)

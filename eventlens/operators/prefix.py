@@ -35,7 +35,6 @@ def rows_per_bucket_default() -> int:
     """Target rows per (key, bucket) task; EVENTLENS_ROWS_PER_BUCKET overrides it
     (tests set it low to run the split plan on small fixtures)."""
     return int(os.environ.get("EVENTLENS_ROWS_PER_BUCKET", ROWS_PER_BUCKET))
-MAX_BUCKETS = 1_000_000
 MAX_FINE = 1 << 20
 BUCKET = "_pb"
 BUCKETS_META = "eventlens.buckets"
@@ -73,11 +72,6 @@ def _merge(kind: str, prev: Column, local: Column) -> Column:
     return F.least(prev, local)
 
 
-def order_number(c) -> Column:
-    """Numeric view of an order column (timestamps → epoch µs)."""
-    return to_col(c)
-
-
 def with_range_bucket(df: DataFrame, order_col, rows_per_bucket: int | None = None,
                       weight: Column | None = None) -> DataFrame:
     """Add ``_pb``: a bucket of ``order_col``, monotone in it, holding about
@@ -95,23 +89,26 @@ def with_range_bucket(df: DataFrame, order_col, rows_per_bucket: int | None = No
     rows_per_bucket = rows_per_bucket or rows_per_bucket_default()
     o = to_col(order_col)
     size = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    st = df.agg(F.min(o).cast("double").alias("lo"), F.max(o).cast("double").alias("hi"),
-                size.alias("n")).first()
+    x = o.cast("double")
+    finite = F.when(F.abs(x) < float("inf"), x)
+    st = df.agg(F.min(finite).alias("lo"), F.max(finite).alias("hi"), size.alias("n")).first()
     lo, hi, n = st["lo"], st["hi"], st["n"] or 0
-    coarse = int(min(max(math.ceil(n / rows_per_bucket), 1), MAX_BUCKETS))
+    coarse = max(math.ceil(n / rows_per_bucket), 1)
     if lo is None or coarse <= 1:
         return df.select("*", F.lit(0).alias(BUCKET, metadata={BUCKETS_META: 1, ROWS_META: int(n)}))
     fine_n = MAX_FINE
     width = (hi - lo + 1.0) / fine_n
-    fine = F.coalesce(F.least(F.floor((o.cast("double") - F.lit(lo)) / F.lit(width)),
-                              F.lit(fine_n - 1)).cast("int"), F.lit(0))  # NULL order → first bucket
+    # As the window sorts: NULL below all, infinities at their ends, NaN last.
+    fine = (F.when(x.isNull(), 0).when(x == float("-inf"), 1).when(finite.isNull(), fine_n)
+            .otherwise(F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(fine_n - 1)) + 1).cast("int"))
     d = df.withColumn("_fb", fine)
     hist = d.groupBy("_fb").agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("_c"))
     before = Window.orderBy("_fb").rowsBetween(Window.unboundedPreceding, -1)  # ≤ 2^20 rows
     to_coarse = hist.select("_fb", F.coalesce(F.floor(F.coalesce(F.sum("_c").over(before), F.lit(0))
                                                       / F.lit(float(rows_per_bucket))).cast("int"),
                                              F.lit(0)).alias(BUCKET))
-    out = d.join(F.broadcast(to_coarse), "_fb").drop("_fb")
+    # Left join: a fine bucket that the histogram lacks (an input that does not repeat) loses no row.
+    out = d.join(F.broadcast(to_coarse), "_fb", "left").withColumn(BUCKET, F.coalesce(F.col(BUCKET), F.lit(0))).drop("_fb")
     return out.withMetadata(BUCKET, {BUCKETS_META: coarse, ROWS_META: int(n)})
 
 

@@ -30,8 +30,9 @@ def avg_half_up(sum_units: Column, n: Column, unit_places: int = 2, places: int
 
 
 def _int_div(a: Column, b: Column) -> Column:
-    """Integral division of longs (SQL ``div``), exact for any magnitude."""
-    return F.call_function("div", a.cast("bigint"), b.cast("bigint"))
+    """Floor of the quotient of longs (``b`` > 0), also below zero, exact for any magnitude."""
+    a, b = a.cast("bigint"), b.cast("bigint")
+    return F.call_function("div", a - F.pmod(a, b), b)
 
 
 def word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -117,6 +118,13 @@ def count_window(df: DataFrame, key: str, arrival: str, value_units: str, size:
         avg_half_up(F.col("_s"), F.col("cnt"), unit_places, places).alias("avg_temp"))
 
 
+def keyed_list(df: DataFrame, key: str, arrival: str, item: str) -> DataFrame:
+    """The key's whole list state, uncut and linear: one row per item with its
+    1-based ``position``. A row's history is the key's rows of lower position."""
+    return _indexed(df.select(key, arrival, F.col(item).alias("item")), key, arrival).select(
+        key, arrival, F.col("_idx").cast("bigint").alias("position"), "item")
+
+
 def keyed_history(df: DataFrame, key: str, arrival: str, item: str, max_len: int = 5) -> DataFrame:
     """Per row: the previous ≤ ``max_len`` items of its key, oldest first, as text.
 

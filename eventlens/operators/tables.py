@@ -28,6 +28,6 @@ def sensor_stats(readings: DataFrame) -> DataFrame:
 def sensor_stats_sql(spark: SparkSession, readings: DataFrame, view: str = "sensor") -> DataFrame:
     readings.select("id", "temperature", "temp_cents").createOrReplaceTempView(view)
     return spark.sql(f"""
-        SELECT id, cnt, CAST((2 * s * 100 + cnt) div (2 * cnt) AS DOUBLE) / 10000.0D AS avg_temp
-        FROM (SELECT id, count(id) AS cnt, sum(temp_cents) AS s FROM {view} GROUP BY id)
+        SELECT id, cnt, CAST((v - pmod(v, 2 * cnt)) div (2 * cnt) AS DOUBLE) / 10000.0D AS avg_temp
+        FROM (SELECT *, 2 * s * 100 + cnt AS v FROM (SELECT id, count(id) AS cnt, sum(temp_cents) AS s FROM {view} GROUP BY id))
     """)

@@ -48,9 +48,11 @@ def sliding_count(df: DataFrame, time_col: str, size, slide, keys=(), strategy:
     (gcd(size, slide)) first — a combinable partial aggregate, so the
     fan-out applies to pane counts rather than rows — then sum the panes
     of each window. Same result; the pane form shuffles at most one row
-    per (key, pane) into the windowing step.
+    per (key, pane) into the windowing step. With slide > size the windows
+    leave gaps, and rows in a gap count nowhere (panes only: Spark's
+    assigner has no such windows).
     """
-    if strategy == "direct":
+    if strategy == "direct" and interval_ms(slide) <= interval_ms(size):
         return sliding(df, time_col, size, slide, keys, [F.count(F.lit(1)).alias(count_col)], end_col)
     size_ms, slide_ms = interval_ms(size), interval_ms(slide)
     pane_ms = math.gcd(size_ms, slide_ms)
@@ -62,6 +64,7 @@ def sliding_count(df: DataFrame, time_col: str, size, slide, keys=(), strategy:
     p_ms = F.col("_pane") * F.lit(pane_ms)
     lo = F.ceil((p_ms + F.lit(pane_ms - size_ms)).cast("double") / F.lit(float(slide_ms))).cast("bigint")
     hi = F.floor(p_ms.cast("double") / F.lit(float(slide_ms))).cast("bigint")
+    panes = panes.where(lo <= hi)  # a pane in the gap between windows (slide > size) is in none
     if strategy == "panes_shuffle":
         ends = panes.select(*keys, "_n", F.explode(F.sequence(lo, hi)).alias("_s"))
         g = ends.groupBy(*keys, (F.col("_s") * F.lit(slide_ms) + F.lit(size_ms)).alias(end_col))

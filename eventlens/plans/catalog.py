@@ -148,7 +148,7 @@ def rolling_latest_max(spark, sf):
 @query
 def keyed_history(spark, sf):
     r = _readings(spark, sf).select("id", "event_id")
-    return R.keyed_history(r, "id", "event_id", "event_id", max_len=5)
+    return R.keyed_list(r, "id", "event_id", "event_id")
 
 
 @query
@@ -357,9 +357,9 @@ def hot_items_report(spark, sf):
 @query
 def id_length(spark, sf):
     def lengths(pdf, ctx):
-        return pdf.assign(len=pdf["id"].str.len().astype("int32"))[["id", "event_id", "len"]]
+        return pdf.assign(len=pdf["id"].map(ctx, na_action="ignore").astype("Int32"))[["id", "event_id", "len"]]
     return U.map_partitions_with_setup(_sensor(spark, sf).select("id", "event_id"), lengths,
-                                       "id string, event_id bigint, len int")
+                                       "id string, event_id bigint, len int", setup=lambda: len, teardown=lambda ctx: None)
 
 
 # --- lateness ----------------------------------------------------------------

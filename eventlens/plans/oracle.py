@@ -115,8 +115,8 @@ words AS (SELECT doc_id, unnest(range(len(arr))) AS pos, unnest(arr) AS word FRO
 
 
 def avg4(s: str, n: str) -> str:
-    """Half-up average to 4 places of a cents sum (integer arithmetic)."""
-    return f"(CAST(((2 * ({s}) * 100 + ({n})) // (2 * ({n}))) AS BIGINT) / 10000.0)"
+    """Half-up average to 4 places of a cents sum, in decimals."""
+    return f"CAST(floor(CAST(({s}) AS DECIMAL(28, 0)) * 100 / ({n}) + 0.5) / 10000.0 AS DOUBLE)"
 
 
 SQL["word_count"] = f"""
@@ -158,9 +158,7 @@ FROM rd
 
 SQL["keyed_history"] = f"""
 WITH {READ}
-SELECT id, event_id,
-       coalesce(array_to_string(list(event_id) OVER (PARTITION BY id ORDER BY event_id
-                ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), ','), '') AS history
+SELECT id, event_id, row_number() OVER (PARTITION BY id ORDER BY event_id) AS position, event_id AS item
 FROM rd
 """
 
