@@ -64,7 +64,8 @@ def sliding_count(df: DataFrame, time_col: str, size, slide, keys=(), strategy:
     p_ms = F.col("_pane") * F.lit(pane_ms)
     lo = F.ceil((p_ms + F.lit(pane_ms - size_ms)).cast("double") / F.lit(float(slide_ms))).cast("bigint")
     hi = F.floor(p_ms.cast("double") / F.lit(float(slide_ms))).cast("bigint")
-    panes = panes.where(lo <= hi)  # a pane in the gap between windows (slide > size) is in none
+    if slide_ms > size_ms:  # a pane in the gap between two windows is in none
+        panes = panes.where(lo <= hi)
     if strategy == "panes_shuffle":
         ends = panes.select(*keys, "_n", F.explode(F.sequence(lo, hi)).alias("_s"))
         g = ends.groupBy(*keys, (F.col("_s") * F.lit(slide_ms) + F.lit(size_ms)).alias(end_col))

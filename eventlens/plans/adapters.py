@@ -42,7 +42,7 @@ def behaviour(events: DataFrame, pv_only: bool = False) -> DataFrame:
 
 
 def readings(events: DataFrame) -> DataFrame:
-    """events → sensor readings: 10 sensors, temperature = value, arrival = event_id.
+    """events → sensor readings: 12 sensors, temperature = value, arrival = event_id.
 
     ``temp_cents`` keeps the two-decimal measure as an exact integer so
     sums and averages are exact (no float re-association differences).
@@ -50,7 +50,7 @@ def readings(events: DataFrame) -> DataFrame:
     ts_s = epoch_s("ts")
     return events.select(
         "event_id",
-        F.concat(F.lit("sensor_"), F.pmod(F.col("user_id"), F.lit(10)).cast("string")).alias("id"),
+        F.concat(F.lit("sensor_"), F.pmod(F.col("user_id"), F.lit(12)).cast("string")).alias("id"),
         ts_s.alias("timestamp"),
         F.col("value").alias("temperature"),
         F.round(F.col("value") * 100).cast("bigint").alias("temp_cents"),

@@ -84,7 +84,12 @@ def uv_running(spark, sf):
 
 @query
 def uv_approx(spark, sf):
-    return D.uv_approx(_views(spark, sf))
+    """Exact visitors, and whether the sketch is within five standard errors (or one)."""
+    views, rsd = _views(spark, sf), 0.01
+    sketch = D.uv_approx(views, rsd=rsd).withColumnRenamed("uv", "sketch")
+    j = D.unique_visitors(views).join(sketch, "window_end")
+    off = F.abs(F.col("sketch") - F.col("uv"))
+    return j.select("window_end", "uv", (off <= F.greatest(F.lit(1.0), 5 * rsd * F.col("uv"))).alias("within"))
 
 
 @query

@@ -14,7 +14,7 @@ BEH = """beh AS (
   FROM events)"""
 
 READ = """rd AS (
-  SELECT event_id, 'sensor_' || CAST(user_id % 10 AS VARCHAR) AS id,
+  SELECT event_id, 'sensor_' || CAST(user_id % 12 AS VARCHAR) AS id,
          epoch_us(ts) // 1000000 AS timestamp, value AS temperature,
          CAST(round(value * 100) AS BIGINT) AS temp_cents
   FROM events)"""
@@ -66,6 +66,8 @@ SELECT (t // 3600 + 1) * 3600000 AS window_end, count(DISTINCT user_id) AS uv
 FROM beh WHERE behavior = 'pv' GROUP BY 1
 """
 
+SQL["uv_approx"] = SQL["unique_visitors"].replace("AS uv\n", "AS uv, TRUE AS within\n")
+
 UVH = """list_reduce(list_transform(string_split(CAST(user_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
                  lambda a, b: (a * 25 + b) % 536870912, CAST(0 AS BIGINT))"""
 
