@@ -11,8 +11,8 @@ row is handled before the timer. The end of input fires open timers.
 A reset, or an item more than ``delay`` after the previous item, closes
 every open state, so the rows split into independent *segments*: maximal
 chains of items with gaps ≤ delay and no reset in between. Segment ids
-come from a two-phase prefix sum; each segment is folded with the SQL
-``aggregate`` higher-order function; the row right after the segment
+come from a two-phase prefix sum; segments are sorted and folded in one
+linear pass a task; the row right after the segment
 (its closer) decides whether the last alarm fires or is cancelled.
 """
 
@@ -21,16 +21,15 @@ from __future__ import annotations
 import math
 import os
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.session import checkpoint_dir
 
-from eventlens.operators.prefix import BUCKET, Prefix, input_rows, running_aggregates
+from eventlens.operators.prefix import BUCKET, ROWS_PER_BUCKET, Prefix, input_rows, running_aggregates
 from eventlens.operators.sequence import IDX, with_index, with_offsets
 
-_ALARM = "struct<f:bigint,l:bigint,n:int>"
-
 
 def timer_alarms(df: DataFrame, key: str, ts: str, arrival: str, item: str, delay: int,
                  min_items: int = 1) -> DataFrame:
@@ -62,13 +61,13 @@ def fold_segments(nb: DataFrame, key: str, ts: str, arrival: str, item, item_pre
                        | (F.col(ts) - ts_prev > F.lit(delay))).cast("int").alias("_start"),
                       item.alias("_item")).where(F.col("_item"))
     seg = running_aggregates(items, [key], [ts, arrival], {"_seg": Prefix("sum", "_start")})
-    closer = F.struct(F.col("_item_n").alias("item"), F.col("_ts_n").alias("t"))
     chunk = fold_chunk()
     longest = 0
     total = input_rows(nb)
     small = total is not None and total <= chunk
     if not small and (max_rows_per_key is None or max_rows_per_key() > chunk):
         seg = running_aggregates(seg, [key, "_seg"], [ts, arrival], {"_si": Prefix("count")})
+        closer = F.struct(F.col("_item_n").alias("item"), F.col("_ts_n").alias("t"))
         lens = seg.groupBy(key, "_seg").agg(F.max("_si").alias("_len"), F.max_by(closer, "_si").alias("_closer"))
         longest = lens.agg(F.max("_len")).first()[0] or 0  # one statistics row
     if longest > chunk:
@@ -78,44 +77,53 @@ def fold_segments(nb: DataFrame, key: str, ts: str, arrival: str, item, item_pre
                                            key, ts, delay)
     else:
         short_rows, long_alarms = seg, None
-    # Segments of at most ``fold_chunk()`` items: sort and fold in one group.
-    grouped = short_rows.groupBy(key, "_seg").agg(
-        F.sort_array(F.collect_list(F.struct(F.col(ts).alias("t"), F.col(arrival).alias("a")))).alias("_its"),
-        F.max_by(closer, F.col(IDX)).alias("_closer"))
-
-    zero = F.struct(F.lit(None).cast("bigint").alias("f"), F.lit(None).cast("bigint").alias("l"),
-                    F.lit(0).alias("n"), F.array().cast(f"array<{_ALARM}>").alias("out"))
-
-    def step(acc, x):
-        t = x["t"]
-        opened = F.struct(t.alias("f"), t.alias("l"), F.lit(1).alias("n"))
-        closed = F.struct(acc["f"].alias("f"), acc["l"].alias("l"), acc["n"].alias("n"))
-        joins = acc["f"].isNotNull() & (t <= acc["f"] + F.lit(delay))
-        return (F.when(acc["f"].isNull(),
-                       F.struct(t.alias("f"), t.alias("l"), F.lit(1).alias("n"), acc["out"].alias("out")))
-                .when(joins, F.struct(acc["f"].alias("f"), t.alias("l"), (acc["n"] + 1).alias("n"),
-                                      acc["out"].alias("out")))
-                .otherwise(F.struct(t.alias("f"), t.alias("l"), F.lit(1).alias("n"),
-                                    F.concat(acc["out"], F.array(closed)).alias("out"))))
-
-    def finish(acc):
-        c = F.col("_closer")
-        fires = (c["t"].isNull() | F.coalesce(c["item"], F.lit(False))
-                 | (c["t"] > acc["f"] + F.lit(delay)))
-        last = F.struct(acc["f"].alias("f"), acc["l"].alias("l"), acc["n"].alias("n"))
-        return F.when(fires, F.concat(acc["out"], F.array(last))).otherwise(acc["out"])
-
-    folded = grouped.select(key, F.explode(F.aggregate("_its", zero, step, finish)).alias("_a")).select(
-        key, F.col("_a.f").alias("first_ts"), F.col("_a.l").alias("last_ts"), F.col("_a.n").alias("n"))
+    # Segments pass in order through a fold that holds one open alarm: linear, and nothing is gathered.
+    rows = (short_rows.select(F.col(key).alias("k"), "_seg", F.col(ts).cast("long").alias("t"), F.col(arrival).alias("a"),
+                              F.coalesce("_item_n", F.lit(False)).alias("item_n"), F.col("_ts_n").cast("long").alias("t_n"))
+            .repartition("k", "_seg").sortWithinPartitions("k", "_seg", "t", "a").drop("a"))
+    kind = short_rows.schema[key].dataType.simpleString()
+    folded = rows.mapInArrow(_fold_sorted(delay), f"k {kind}, first_ts long, last_ts long, n int").withColumnRenamed("k", key)
     if long_alarms is not None:
         folded = folded.unionByName(long_alarms)
     return folded.where(F.col("n") >= min_items).withColumn("fire_ts", F.col("first_ts") + F.lit(delay))
 
 
+def _fold_sorted(delay: int):
+    """mapInArrow function over rows sorted by (key, segment, time) to the alarms that fire."""
+    def run(batches):
+        at = first = last = key = kind = None
+        n, fires, out = 0, False, []
+        for b in batches:
+            kind = b.column(0).type
+            for k, seg, t, item_n, t_n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if at != (k, seg):
+                    if n and fires:
+                        out.append((key, first, last, n))
+                    at, key, first, n = (k, seg), k, t, 0
+                elif t > first + delay:  # the timer goes off before this item
+                    out.append((key, first, last, n))
+                    first, n = t, 0
+                last, n = t, n + 1
+                # Whether the alarm fires if the segment ends here: the next row closes it.
+                fires = t_n is None or item_n or t_n > first + delay
+            yield _alarm_batch(out, kind)
+            out = []
+        if n and fires:
+            yield _alarm_batch([(key, first, last, n)], kind)
+    return run
+
+
+def _alarm_batch(rows, kind) -> pa.RecordBatch:
+    types = [kind, pa.int64(), pa.int64(), pa.int32()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
+                                      names=["k", "first_ts", "last_ts", "n"])
+
+
 def fold_chunk() -> int:
-    """Largest segment folded in one group; longer segments take the exact
-    parallel path. EVENTLENS_FOLD_CHUNK overrides it (tests)."""
-    return int(os.environ.get("EVENTLENS_FOLD_CHUNK", 100_000))
+    """Longest segment that one task folds (a task's share of rows, see
+    ``prefix``); longer segments take the exact parallel path.
+    EVENTLENS_FOLD_CHUNK overrides it (tests)."""
+    return int(os.environ.get("EVENTLENS_FOLD_CHUNK", ROWS_PER_BUCKET))
 
 
 def _cut(df: DataFrame) -> DataFrame:
@@ -194,16 +202,17 @@ def rising_alarm(readings: DataFrame, interval_s: int = 10, key: str = "id", ts:
     base = readings.select(key, ts, arrival, value)
     idx = with_index(base, key, [ts, arrival])
     nb = with_offsets(idx, key, [value, ts], [-2, -1, 1])
+    t_p1 = F.col(f"{ts}_p1")
     v, v_p1, v_p2, v_n1 = (F.col(value), F.col(f"{value}_p1"), F.col(f"{value}_p2"), F.col(f"{value}_n1"))
 
-    def rise(cur, prev, exists):
-        # the first reading of a key compares with "no previous value"
-        return F.when(~exists, F.lit(None)).when(prev.isNull(), F.lit(bool(first_arms))).otherwise(cur > prev)
+    def rise(cur, prev, exists, has_prev):
+        # the first reading of a key compares with "no previous value"; a NULL reading is no rise, nor is the one after it
+        return F.when(~exists, F.lit(None)).when(~has_prev, F.lit(bool(first_arms))).otherwise(F.coalesce(cur > prev, F.lit(False)))
 
     a = fold_segments(nb, key, ts, arrival,
-                      rise(v, v_p1, F.lit(True)),
-                      rise(v_p1, v_p2, v_p1.isNotNull()),
-                      rise(v_n1, v, v_n1.isNotNull()),
+                      rise(v, v_p1, F.lit(True), t_p1.isNotNull()),
+                      rise(v_p1, v_p2, t_p1.isNotNull(), F.col(f"{ts}_p2").isNotNull()),
+                      rise(v_n1, v, F.col(f"{ts}_n1").isNotNull(), F.lit(True)),
                       F.col(f"{ts}_p1"), F.col(f"{ts}_n1"), interval_s, 1,
                       lambda: max_rows_per_key(base, key))
     return a.select(key, F.col("first_ts").alias("armed_ts"), F.col("fire_ts").alias("fired_ts"),

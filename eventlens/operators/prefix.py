@@ -5,28 +5,33 @@ to one task, so a key holding a third of the rows becomes a third of the
 job in a single task. Prefix aggregates that combine associatively
 (count, sum, max, min) are split in two phases instead:
 
-1. rows get a range bucket of the first order column: 2^20 equal-width
-   fine buckets over its span, merged by a histogram into buckets of about
-   4M rows (inputs within one bucket take a plain single-pass window);
+1. rows are range-partitioned by the whole order tuple into buckets of about
+   4M rows (inputs within one bucket take a plain single-pass window) and
+   written once, with their bucket, to the shared checkpoint folder;
 2. a running aggregate inside each (key, bucket) — parallel over buckets;
 3. per-(key, bucket) totals (a grouped aggregate with map-side combine),
    then a running total over the buckets of a key — one row per bucket;
 4. an equi-join on (key, bucket) adds the earlier buckets' total to each row.
 
-The bucket is a pure function of the row (given the input's statistics),
-so re-running a lost task gives the same answer.
+The buckets' bounds are Spark's own sampled range bounds, in the sort order of
+the tuple: NULLs, infinities, texts and dates fall where the window sorts them,
+outliers take no space, and equal first columns are split by the tie-breaker.
+Sampling moves bounds, never rows. The written table fixes every row's bucket,
+so both branches and re-run tasks see the same ones, and the input is read once.
 """
 
 from __future__ import annotations
 
 import math
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlens.functions.time import to_col
+from eventlens.session import checkpoint_dir
 
 ROWS_PER_BUCKET = 4_000_000  # ≈ 128–256 MB of rows per (key, bucket) task
 
@@ -35,7 +40,6 @@ def rows_per_bucket_default() -> int:
     """Target rows per (key, bucket) task; EVENTLENS_ROWS_PER_BUCKET overrides it
     (tests set it low to run the split plan on small fixtures)."""
     return int(os.environ.get("EVENTLENS_ROWS_PER_BUCKET", ROWS_PER_BUCKET))
-MAX_FINE = 1 << 20
 BUCKET = "_pb"
 BUCKETS_META = "eventlens.buckets"
 ROWS_META = "eventlens.rows"
@@ -72,44 +76,26 @@ def _merge(kind: str, prev: Column, local: Column) -> Column:
     return F.least(prev, local)
 
 
-def with_range_bucket(df: DataFrame, order_col, rows_per_bucket: int | None = None,
-                      weight: Column | None = None) -> DataFrame:
-    """Add ``_pb``: a bucket of ``order_col``, monotone in it, holding about
-    ``rows_per_bucket`` rows (or ``weight`` units), with the bucket count in
-    the column metadata.
+def with_range_bucket(df: DataFrame, order, rows_per_bucket: int | None = None) -> DataFrame:
+    """Add ``_pb``: a bucket, monotone in the ``order`` columns, of about
+    ``rows_per_bucket`` rows, with the bucket count in the column metadata.
 
-    The span is cut into 2^20 equal-width *fine* buckets; a histogram of the fine buckets (≤ 2^20 rows, so its
-    broadcast has a proven bound) is turned into *coarse* buckets by
-    cumulative count. A burst — many rows in a short range of the order
-    column — therefore spreads over several buckets instead of filling one;
-    only rows sharing one fine bucket stay together. Inputs within one
-    target bucket get the constant 0 and the plain single-pass plan. The
-    span and size are one statistics row read by the driver.
+    Inputs within one target bucket get the constant 0. Rows of equal order
+    tuples share a bucket.
     """
     rows_per_bucket = rows_per_bucket or rows_per_bucket_default()
-    o = to_col(order_col)
-    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    x = o.cast("double")
-    finite = F.when(F.abs(x) < float("inf"), x)
-    st = df.agg(F.min(finite).alias("lo"), F.max(finite).alias("hi"), size.alias("n")).first()
-    lo, hi, n = st["lo"], st["hi"], st["n"] or 0
-    coarse = max(math.ceil(n / rows_per_bucket), 1)
-    if lo is None or coarse <= 1:
-        return df.select("*", F.lit(0).alias(BUCKET, metadata={BUCKETS_META: 1, ROWS_META: int(n)}))
-    fine_n = MAX_FINE
-    width = (hi - lo + 1.0) / fine_n
-    # As the window sorts: NULL below all, infinities at their ends, NaN last.
-    fine = (F.when(x.isNull(), 0).when(x == float("-inf"), 1).when(finite.isNull(), fine_n)
-            .otherwise(F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(fine_n - 1)) + 1).cast("int"))
-    d = df.withColumn("_fb", fine)
-    hist = d.groupBy("_fb").agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("_c"))
-    before = Window.orderBy("_fb").rowsBetween(Window.unboundedPreceding, -1)  # ≤ 2^20 rows
-    to_coarse = hist.select("_fb", F.coalesce(F.floor(F.coalesce(F.sum("_c").over(before), F.lit(0))
-                                                      / F.lit(float(rows_per_bucket))).cast("int"),
-                                             F.lit(0)).alias(BUCKET))
-    # Left join: a fine bucket that the histogram lacks (an input that does not repeat) loses no row.
-    out = d.join(F.broadcast(to_coarse), "_fb", "left").withColumn(BUCKET, F.coalesce(F.col(BUCKET), F.lit(0))).drop("_fb")
-    return out.withMetadata(BUCKET, {BUCKETS_META: coarse, ROWS_META: int(n)})
+    order = list(order) if isinstance(order, (list, tuple)) else [order]
+    n = df.count()
+    buckets = max(math.ceil(n / rows_per_bucket), 1)
+    meta = {BUCKETS_META: buckets, ROWS_META: n}
+    if buckets == 1:
+        return df.select("*", F.lit(0).alias(BUCKET, metadata=meta))
+    d = df.repartitionByRange(buckets, *[to_col(o) for o in order]).withColumn(BUCKET, F.spark_partition_id())
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/eventlens-buckets-{uuid.uuid4().hex}"
+    d.write.parquet(path)
+    # The table has no NULL bucket; files read back as nullable.
+    out = df.sparkSession.read.schema(d.schema).parquet(path)
+    return out.withColumn(BUCKET, F.coalesce(BUCKET, F.lit(0))).withMetadata(BUCKET, meta)
 
 
 def input_rows(df: DataFrame) -> int | None:
@@ -134,7 +120,7 @@ def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, P
     ``order`` must be a total order within a key (carry a tie-breaker).
     ``bucket`` may be given when a monotone coarse order column exists.
     A ``_pb`` column already present (left by an earlier prefix stage over
-    the same first order column) is reused, so chained stages do not
+    the same order columns) is reused, so chained stages do not
     re-run their upstream plan to find the span; the result keeps ``_pb``
     when it was present in the input.
     """
@@ -146,7 +132,7 @@ def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, P
     elif carried:
         d = df
     else:
-        d = with_range_bucket(df, order[0])
+        d = with_range_bucket(df, order)
     if bucket is None and bucket_count(d) == 1:
         return _single_pass(d, df, keys, order_cols, aggs, carried)
     d, kcols = _non_null_keys(d, keys)

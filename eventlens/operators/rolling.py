@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from eventlens.functions.text import tokenize_words
 from eventlens.operators.sequence import BLK, local_fan_out
-from eventlens.operators.prefix import (BUCKET, Prefix, rows_per_bucket_default, running_aggregates,
-                                        with_range_bucket)
+from eventlens.operators.prefix import Prefix, running_aggregates
 
 
 def avg_half_up(sum_units: Column, n: Column, unit_places: int = 2, places: int = 4) -> Column:
@@ -44,16 +43,16 @@ def word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def rolling_sum(docs: DataFrame, text_col: str = "text", doc_col: str = "doc_id") -> DataFrame:
     """Running count of each word in arrival order (document, then position).
 
-    The arrival bucket is taken on the documents before tokenizing, so the
-    span subquery reads lengths instead of splitting every text; bucket
-    count follows the text volume (~6 characters per token).
+    A document's positions of a word are gathered on the map side first, so one
+    row per distinct word of a document is shuffled and numbered, not one per
+    token; a position's count is the earlier documents' total plus its rank.
     """
-    d = docs.select(doc_col, text_col)
-    d = with_range_bucket(d, doc_col, rows_per_bucket=6 * rows_per_bucket_default(),
-                          weight=F.length(text_col))
-    words = tokenize_words(d, text_col, with_position=True)
-    r = running_aggregates(words, ["word"], [doc_col, "pos"], {"cnt": Prefix("count")})
-    return r.drop(BUCKET)
+    words = tokenize_words(docs.select(doc_col, text_col), text_col, with_position=True)
+    held = words.groupBy("word", doc_col).agg(F.sort_array(F.collect_list("pos")).alias("_at"))
+    r = running_aggregates(held.withColumn("_n", F.size("_at").cast("bigint")), ["word"], [doc_col],
+                           {"_before": Prefix("sum", "_n", inclusive=False)})
+    return r.select(doc_col, "word", F.coalesce("_before", F.lit(0)).alias("_before"), F.posexplode("_at").alias("_k", "pos")).select(
+        doc_col, "pos", "word", (F.col("_before") + F.col("_k") + 1).alias("cnt"))
 
 
 def rolling_count(df: DataFrame, key: str, arrival: str, name: str = "cnt") -> DataFrame:
@@ -61,6 +60,16 @@ def rolling_count(df: DataFrame, key: str, arrival: str, name: str = "cnt") -> D
     return running_aggregates(df, [key], [arrival], {name: Prefix("count")})
 
 
+def rolling_min_by(df: DataFrame, key: str, arrival: str, value: str, carry=()) -> DataFrame:
+    """Per row: the row holding the smallest ``value`` so far (earliest on ties);
+    columns as in ``rolling_max_by``, prefixed ``min_``. NULL values hold no minimum."""
+    st = F.when(F.col(value).isNotNull(), F.struct(F.col(value).alias("v"), F.col(arrival).alias("a"),
+                                                   *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]))
+    r = running_aggregates(df.withColumn("_st", st), [key], [arrival], {"_best": Prefix("min", "_st")})
+    return r.select(*df.columns, F.col("_best.a").alias(f"min_{arrival}"),
+                    *[F.col(f"_best.c{i}").alias(f"min_{c}") for i, c in enumerate(carry)], F.col("_best.v").alias(f"min_{value}"))
+
+
 def rolling_max_by(df: DataFrame, key: str, arrival: str, value: str, carry=()) -> DataFrame:
     """Per row: the row holding the largest ``value`` so far (earliest on ties).
 

@@ -48,7 +48,7 @@ def with_index(df: DataFrame, keys, order, name: str = IDX) -> DataFrame:
     later prefix stages over the same order reuse it."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     if BUCKET not in df.columns:
-        df = with_range_bucket(df, order[0])
+        df = with_range_bucket(df, order)
     return running_aggregates(df, keys, order, {name: Prefix("count")})
 
 
