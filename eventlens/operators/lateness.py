@@ -10,6 +10,10 @@ still update their window (the window re-fires with the corrected count).
 The running max over the global arrival order is computed in two phases
 (per-arrival-bucket max, prefix over buckets, local running max), never
 as one unpartitioned window.
+
+Sliding windows: a row belongs to several windows and is late only if all of
+them are purged; otherwise it counts in those still open. These are the later
+ones, so a row's open windows are one range.
 """
 
 from __future__ import annotations
@@ -33,6 +37,33 @@ def mark_late(df: DataFrame, ts_ms: str, arrival: list, size, delay, allowed_lat
                     F.coalesce(end - 1 + F.lit(late_ms) <= wm, F.lit(False)).alias("late"))
 
 
+def mark_late_sliding(df: DataFrame, ts_ms: str, arrival: list, size, slide, delay, allowed_lateness=0) -> DataFrame:
+    """Adds ``open_from`` and ``open_to`` (ms, first and last window end the row still counts in; equal to its
+    windows' range if none is purged) and ``late`` (all its windows are purged). ``slide`` ≤ ``size``."""
+    size_ms, slide_ms = interval_ms(size), interval_ms(slide)
+    delay_ms, late_ms = interval_ms(delay), interval_ms(allowed_lateness)
+    if slide_ms > size_ms:
+        raise ValueError("slide must not exceed size")
+    r = running_aggregates(df, [], arrival, {"_maxts": Prefix("max", ts_ms, inclusive=False)})
+    up = lambda x: F.ceil(x.cast("double") / float(slide_ms)).cast("bigint") * slide_ms
+    t = F.col(ts_ms)
+    last = F.floor(t.cast("double") / float(slide_ms)).cast("bigint") * slide_ms + size_ms
+    first = up(t + 1 - size_ms) + size_ms
+    # Open means end - 1 + allowed > watermark; window ends are size past a multiple of slide.
+    still = up(F.col("_maxts") - delay_ms - late_ms + 2 - size_ms) + size_ms
+    return r.select(*df.columns, F.greatest(first, still).alias("open_from"), last.alias("open_to"),
+                    F.coalesce(still > last, F.lit(False)).alias("late"))
+
+
+def corrected_counts(marked: DataFrame, keys: list, slide, count_col: str = "cnt") -> DataFrame:
+    """Final count per (keys, sliding window) of rows marked by ``mark_late_sliding``: what the last
+    correction of each window says. Rows combine by their range of windows before the fan-out."""
+    step = interval_ms(slide)
+    ranges = marked.where(~F.col("late")).groupBy(*keys, "open_from", "open_to").agg(F.count(F.lit(1)).alias("_n"))
+    ends = ranges.select(*keys, "_n", F.explode(F.sequence("open_from", "open_to", F.lit(step))).alias("window_end"))
+    return ends.groupBy(*keys, "window_end").agg(F.sum("_n").alias(count_col))
+
+
 def split_late(df: DataFrame, ts_ms: str, arrival: list, size, delay, allowed_lateness=0):
     """(on_time, late) outputs of a tumbling-window aggregation input."""
     m = mark_late(df, ts_ms, arrival, size, delay, allowed_lateness)

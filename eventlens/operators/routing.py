@@ -39,3 +39,12 @@ def co_map(a: DataFrame, fa, b: DataFrame, fb) -> DataFrame:
 def union_all(*dfs: DataFrame) -> DataFrame:
     """UNION ALL of same-typed inputs (duplicates kept)."""
     return reduce(lambda x, y: x.unionByName(y), dfs)
+
+
+def map_routes(df: DataFrame, routes: dict[str, tuple[Column, list[Column]]]) -> DataFrame:
+    """UNION ALL of mapped parts of one input, in a single pass: a row gives one
+    output row for every route whose condition holds (two overlapping routes:
+    two rows). ``routes`` maps a name to (condition, output columns); all routes
+    name their columns alike, and types must match."""
+    made = F.array(*[F.when(cond, F.struct(*cols)) for cond, cols in routes.values()])
+    return df.select(F.explode(F.filter(made, lambda r: r.isNotNull())).alias("_r")).select("_r.*")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.functions.time import epoch_s
+from eventlens.operators.rolling import global_sequence
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -78,18 +79,31 @@ def ip_of(user_id) -> F.Column:
                        F.pmod(user_id, F.lit(256)).cast("string"))
 
 
+# Every 11th page is rendered as a static asset of one of these kinds.
+ASSETS = ("css", "js", "png", "ico")
+
+
+def visited_pages(events: DataFrame, pages: DataFrame) -> DataFrame:
+    """events ⋈ pages: event columns and ``url``. The page is the one numbered
+    event_id mod #pages, pages numbered from 0 by page_id, so any ids do. The
+    URL of the pages numbered 0, 11, 22, … ends as a static asset. The page
+    count is a scalar subquery; the equi-join broadcasts only a pages side under
+    the threshold."""
+    n_pages = pages.select(F.nullif(F.count(F.lit(1)), F.lit(0))).scalar()
+    no = global_sequence(pages.select("page_id", "url"), "page_id").select((F.col("seq") - 1).alias("_no"), "url")
+    kind = F.element_at(F.array(*map(F.lit, ASSETS)), (F.pmod(F.floor(F.col("_no") / 11), F.lit(len(ASSETS))) + 1).cast("int"))
+    url = F.when(F.col("_no") % 11 == 0, F.concat("url", F.lit("."), kind)).otherwise(F.col("url"))
+    ev = events.withColumn("_no", F.pmod(F.col("event_id"), n_pages))
+    return ev.join(no.select("_no", url.alias("url")), "_no").drop("_no")
+
+
 def access_log_lines(events: DataFrame, pages: DataFrame) -> DataFrame:
-    """events ⋈ pages (page = event_id mod #pages) rendered as access-log lines.
+    """Visited pages rendered as access-log lines.
 
     Line: ``ip - - dd/MM/yyyy:HH:mm:ss +0000 METHOD url``; purchases and
-    signups are POSTs. The page count is a scalar subquery; the join is an
-    equi-join that Spark broadcasts only when the pages side is under the
-    broadcast threshold, else shuffles.
+    signups are POSTs.
     """
-    n_pages = pages.select(F.count(F.lit(1))).scalar()
-    ev = events.select("event_id", "user_id", "event_type", "ts",
-                       F.pmod(F.col("event_id"), n_pages).alias("page_id"))
-    j = ev.join(pages.select("page_id", "url"), "page_id")
+    j = visited_pages(events.select("event_id", "user_id", "event_type", "ts"), pages)
     method = F.when(F.col("event_type").isin("purchase", "signup"), F.lit("POST")).otherwise(F.lit("GET"))
     t = F.date_format(F.col("ts").cast("timestamp"), "dd/MM/yyyy:HH:mm:ss")
     line = F.concat_ws(" ", ip_of(F.col("user_id")), F.lit("-"), F.lit("-"), t, F.lit("+0000"),
@@ -97,8 +111,18 @@ def access_log_lines(events: DataFrame, pages: DataFrame) -> DataFrame:
     return j.select("event_id", line.alias("value"))
 
 
+def broken_lines(records: DataFrame, fields: list, every: int = 17) -> DataFrame:
+    """Records as comma-separated lines (``event_id``, ``value``); every 17th event's
+    line lacks its first field, every other 19th has a word for its last."""
+    line = F.concat_ws(",", *[F.col(c).cast("string") for c in fields])
+    short = F.concat_ws(",", *[F.col(c).cast("string") for c in fields[1:]])
+    word = F.concat_ws(",", *[F.col(c).cast("string") for c in fields[:-1]], F.lit("soon"))
+    e = F.col("event_id")
+    return records.select("event_id", F.when(e % every == 0, short).when(e % (every + 2) == 0, word).otherwise(line).alias("value"))
+
+
 def arrivals(events: DataFrame, spread_s: int = 5400) -> DataFrame:
-    """Out-of-order arrival order for lateness models: arrival = ts + (id·7919 mod spread) s."""
+    """A synthetic out-of-order arrival order for lateness models (the tables hold none): arrival = ts + (id·7919 mod spread) s."""
     ts_s = epoch_s("ts")
     return events.select(
         "event_id", "user_id", "event_type",

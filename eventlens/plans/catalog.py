@@ -52,7 +52,7 @@ def hot_items_sql(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def hot_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return N.hot_pages(_log(spark, sf), n=3, size="10 minutes", slide="5 seconds", exts=["html"])
+    return N.hot_pages(_log(spark, sf), n=3, size="10 minutes", slide="5 seconds")
 
 
 # --- windows and counts --------------------------------------------------
@@ -144,6 +144,12 @@ def rolling_max_by(spark, sf):
     return R.rolling_max_by(r, "id", "event_id", "temperature", carry=["timestamp"])
 
 
+@query
+def rolling_min_by(spark, sf):
+    r = _readings(spark, sf).select("id", "event_id", "timestamp", "temperature")
+    return R.rolling_min_by(r, "id", "event_id", "temperature", carry=["timestamp"])
+
+
 @query
 def rolling_latest_max(spark, sf):
     r = _readings(spark, sf).select("id", "event_id", "timestamp", "temperature")
@@ -274,17 +280,17 @@ def side_output_low(spark, sf):
 
 @query
 def co_map(spark, sf):
-    parts = _high_low(spark, sf)
-    return RT.co_map(
-        parts["high"], lambda d: d.select("id", "event_id", "temperature", F.lit("high warning").alias("status")),
-        parts["low"], lambda d: d.select("id", "event_id", "temperature", F.lit("normal").alias("status")))
+    cols = [F.col(c) for c in ("id", "event_id", "temperature")]
+    return RT.map_routes(_sensor(spark, sf), {
+        "high": (F.col("temperature") > 30, [*cols, F.lit("high warning").alias("status")]),
+        "low": (F.col("temperature") <= 30, [*cols, F.lit("normal").alias("status")])})
 
 
 @query
 def union_all(spark, sf):
-    parts = _high_low(spark, sf)
-    every = RT.split_by(_sensor(spark, sf), {"all": F.col("temperature").isNotNull()})["all"]
-    return RT.union_all(parts["high"], parts["low"], every)
+    cols = [F.col(c) for c in SENSOR_COLS]
+    t = F.col("temperature")
+    return RT.map_routes(_sensor(spark, sf), {"high": (t > 30, cols), "low": (t <= 30, cols), "all": (t.isNotNull(), cols)})
 
 
 @query
@@ -327,6 +333,55 @@ def parse_sensor_lines(spark, sf):
     return P.valid_rows(P.parse_sensor(_sensor_lines(spark, sf)))
 
 
+def _behaviour_lines(spark, sf):
+    return A.broken_lines(A.behaviour(_events(spark, sf)), ["user_id", "item_id", "category_id", "behavior", "timestamp"])
+
+
+def _login_lines(spark, sf):
+    return A.broken_lines(_logins(spark, sf), ["user_id", "ip", "login_state", "timestamp"])
+
+
+@query
+def parse_behavior_lines(spark, sf):
+    return P.valid_rows(P.parse_behavior(_behaviour_lines(spark, sf)))
+
+
+@query
+def parse_behavior_corrupt(spark, sf):
+    return P.corrupt_rows(P.parse_behavior(_behaviour_lines(spark, sf))).withColumnRenamed("_line", "line")
+
+
+@query
+def parse_login_lines(spark, sf):
+    return P.valid_rows(P.parse_login(_login_lines(spark, sf)))
+
+
+@query
+def parse_login_corrupt(spark, sf):
+    return P.corrupt_rows(P.parse_login(_login_lines(spark, sf))).withColumnRenamed("_line", "line")
+
+
+@query
+def user_aggregate(spark, sf):
+    """User aggregate function: count and sum of cents per sensor."""
+    zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("s"))
+    made = lambda n, s: F.struct(n.cast("bigint").alias("n"), s.cast("bigint").alias("s"))
+    r = _readings(spark, sf).select("event_id", "id", "temp_cents")
+    a = U.keyed_aggregate(r, "id", F.col("temp_cents"), zero, lambda acc, v: made(acc["n"] + 1, acc["s"] + v),
+                          lambda x, y: made(x["n"] + y["n"], x["s"] + y["s"]), order=["event_id"])
+    return a.select("id", F.col("result.n").alias("cnt"), F.col("result.s").alias("sum_cents"))
+
+
+@query
+def user_reduce(spark, sf):
+    """User reduce function: the later reading's time with the larger value."""
+    r = _readings(spark, sf).select("event_id", "id", "timestamp", "temp_cents")
+    value = F.struct("timestamp", "temp_cents")
+    a = U.keyed_reduce(r, "id", ["event_id"], value, lambda x, y: F.struct(
+        y["timestamp"].alias("timestamp"), F.greatest(x["temp_cents"], y["temp_cents"]).alias("temp_cents")))
+    return a.select("id", "result.timestamp", "result.temp_cents")
+
+
 @query
 def stamp_records(spark, sf):
     return TX.stamp_records(_sensor_lines(spark, sf), now_ms=1700000000000)
@@ -340,7 +395,7 @@ def parse_access_log(spark, sf):
 
 @query
 def static_filter(spark, sf):
-    return TX.drop_static_assets(parse_access_log(spark, sf), "url", ["html"]).select("event_id", "url")
+    return TX.drop_static_assets(parse_access_log(spark, sf), "url").select("event_id", "url")
 
 
 @query
@@ -382,8 +437,25 @@ def late_rows(spark, sf):
     return _late_marked(spark, sf).where("late").select("event_id", "timestamp", "arrival", "window_end")
 
 
+PAGE_SIZE, PAGE_SLIDE, PAGE_DELAY, PAGE_LATENESS = "10 minutes", "5 seconds", "1 second", "1 minute"
+
+
+def _late_pages(spark, sf):
+    """Page visits in a synthetic arrival order (up to 15 minutes behind), marked per range of open windows."""
+    visits = A.visited_pages(A.arrivals(_events(spark, sf), 900), A.table(spark, sf, "pages"))
+    visits = TX.drop_static_assets(visits, "url").withColumn("ts_ms", F.col("timestamp") * 1000)
+    return LT.mark_late_sliding(visits.select("event_id", "url", "arrival", "ts_ms"), "ts_ms", ["arrival", "event_id"],
+                                PAGE_SIZE, PAGE_SLIDE, PAGE_DELAY, PAGE_LATENESS)
+
+
 @query
 def hot_pages_late(spark, sf):
-    on_time = _late_marked(spark, sf).where(~F.col("late"))
-    counts = on_time.groupBy("window_end", "event_type").agg(F.count(F.lit(1)).alias("cnt"))
-    return N.top_n_per_group(counts, ["window_end"], [F.col("cnt").desc(), F.col("event_type").asc()], 3)
+    """Top 3 pages per sliding window after all corrections by late rows within the allowed lateness."""
+    counts = LT.corrected_counts(_late_pages(spark, sf), ["url"], PAGE_SLIDE)
+    return N.top_n_per_group(counts, ["window_end"], [F.col("cnt").desc(), F.col("url").asc()], 3)
+
+
+@query
+def late_pages(spark, sf):
+    """Side output of the hot pages: visits all of whose windows are purged."""
+    return _late_pages(spark, sf).where("late").select("event_id", "url", "ts_ms", "arrival")

@@ -25,12 +25,17 @@ LOGIN = """lg AS (
          epoch_us(ts) // 1000000 AS timestamp
   FROM events)"""
 
-LOG = """np AS (SELECT count(*) AS n FROM pages),
+PAGES = """np AS (SELECT count(*) AS n FROM pages),
+pg AS (
+  SELECT no, CASE WHEN no % 11 = 0 THEN url || '.' || ['css', 'js', 'png', 'ico'][(no // 11) % 4 + 1] ELSE url END AS url
+  FROM (SELECT url, row_number() OVER (ORDER BY page_id) - 1 AS no FROM pages))"""
+
+LOG = f"""{PAGES},
 acc AS (
   SELECT e.event_id, p.url,
          CASE WHEN e.event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END AS method,
          epoch_us(e.ts) // 1000000 AS t
-  FROM events e, np JOIN pages p ON p.page_id = e.event_id % np.n)"""
+  FROM events e, np JOIN pg p ON p.no = e.event_id % np.n)"""
 
 SQL: dict[str, str] = {}
 
@@ -46,7 +51,7 @@ SQL["hot_items_sql"] = SQL["hot_items"]
 
 SQL["hot_pages"] = f"""
 WITH {LOG},
-g AS (SELECT url, t FROM acc WHERE method = 'GET' AND NOT regexp_matches(url, '\\.(html)$')),
+g AS (SELECT url, t FROM acc WHERE method = 'GET' AND NOT regexp_matches(url, '\\.(css|js|png|ico)$')),
 w AS (SELECT url, ((t // 5) + 1 + k) * 5000 AS window_end FROM g, range(120) r(k)),
 c AS (SELECT url, window_end, count(*) AS cnt FROM w GROUP BY url, window_end),
 r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS rn FROM c)
@@ -319,7 +324,7 @@ FROM acc JOIN u ON u.event_id = acc.event_id
 """
 SQL["static_filter"] = f"""
 WITH {LOG}
-SELECT event_id, url FROM acc WHERE NOT regexp_matches(url, '\\.(html)$')
+SELECT event_id, url FROM acc WHERE NOT regexp_matches(url, '\\.(css|js|png|ico)$')
 """
 SQL["field_lengths"] = """
 WITH f AS (
@@ -359,10 +364,69 @@ SQL["late_rows"] = f"""
 WITH {ARR}
 SELECT event_id, timestamp, arrival, window_end FROM m WHERE window_end - 1 + 600000 <= wm
 """
+PAGES_LATE = f"""{PAGES},
+ar AS (
+  SELECT e.event_id, p.url, epoch_us(e.ts) // 1000000 * 1000 AS ts_ms,
+         epoch_us(e.ts) // 1000000 + (e.event_id * 7919) % 900 AS arrival
+  FROM events e, np JOIN pg p ON p.no = e.event_id % np.n
+  WHERE NOT regexp_matches(p.url, '\\.(css|js|png|ico)$')),
+m AS (
+  SELECT *, max(ts_ms) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1000 AS wm
+  FROM ar),
+w AS (
+  SELECT event_id, url, ts_ms, arrival, (ts_ms // 5000 + 1 + k) * 5000 AS window_end,
+         coalesce((ts_ms // 5000 + 1 + k) * 5000 - 1 + 60000 <= wm, false) AS purged
+  FROM m, range(120) r(k))"""
+
 SQL["hot_pages_late"] = f"""
-WITH {ARR},
-c AS (SELECT window_end, event_type, count(*) AS cnt FROM m
-      WHERE NOT coalesce(window_end - 1 + 600000 <= wm, false) GROUP BY 1, 2),
-r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, event_type) AS rn FROM c)
-SELECT window_end, event_type, cnt, CAST(rn AS INTEGER) AS rn FROM r WHERE rn <= 3
+WITH {PAGES_LATE},
+c AS (SELECT url, window_end, count(*) AS cnt FROM w WHERE NOT purged GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS rn FROM c)
+SELECT url, window_end, cnt, CAST(rn AS INTEGER) AS rn FROM r WHERE rn <= 3
+"""
+SQL["late_pages"] = f"""
+WITH {PAGES_LATE}
+SELECT event_id, any_value(url) AS url, any_value(ts_ms) AS ts_ms, any_value(arrival) AS arrival
+FROM w GROUP BY event_id HAVING bool_and(purged)
+"""
+
+SQL["rolling_min_by"] = f"""
+WITH {READ},
+p AS (SELECT *, min(temperature) OVER (PARTITION BY id ORDER BY event_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_min FROM rd),
+q AS (SELECT *, max(CASE WHEN prev_min IS NULL OR temperature < prev_min THEN event_id END)
+                 OVER (PARTITION BY id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rec
+      FROM p)
+SELECT q.id, q.event_id, q.timestamp, q.temperature, q.rec AS min_event_id,
+       b.timestamp AS min_timestamp, b.temperature AS min_temperature
+FROM q JOIN rd b ON b.event_id = q.rec
+"""
+SQL["user_aggregate"] = f"""
+WITH {READ} SELECT id, count(*) AS cnt, CAST(sum(temp_cents) AS BIGINT) AS sum_cents FROM rd GROUP BY id
+"""
+SQL["user_reduce"] = f"""
+WITH {READ} SELECT id, arg_max(timestamp, event_id) AS timestamp, max(temp_cents) AS temp_cents FROM rd GROUP BY id
+"""
+
+IP = """'10.' || CAST((user_id // 65536) % 256 AS VARCHAR) || '.' || CAST((user_id // 256) % 256 AS VARCHAR) || '.' || CAST(user_id % 256 AS VARCHAR)"""
+GOOD, SHORT = "event_id % 17 <> 0 AND event_id % 19 <> 0", "event_id % 17 = 0"
+SQL["parse_behavior_lines"] = f"""
+WITH {BEH}
+SELECT event_id, user_id, item_id, CAST(item_id % 10 AS INTEGER) AS category_id, behavior, t AS timestamp FROM beh WHERE {GOOD}
+"""
+SQL["parse_behavior_corrupt"] = f"""
+WITH {BEH}
+SELECT CASE WHEN {SHORT} THEN concat_ws(',', item_id, item_id % 10, behavior, t)
+            ELSE concat_ws(',', user_id, item_id, item_id % 10, behavior, 'soon') END AS line
+FROM beh WHERE NOT ({GOOD})
+"""
+SQL["parse_login_lines"] = f"""
+WITH {LOGIN}
+SELECT event_id, user_id, {IP} AS ip, login_state, timestamp FROM lg WHERE {GOOD}
+"""
+SQL["parse_login_corrupt"] = f"""
+WITH {LOGIN}
+SELECT CASE WHEN {SHORT} THEN concat_ws(',', {IP}, login_state, timestamp)
+            ELSE concat_ws(',', user_id, {IP}, login_state, 'soon') END AS line
+FROM lg WHERE NOT ({GOOD})
 """
