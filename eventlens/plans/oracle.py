@@ -261,7 +261,7 @@ FROM alarms WHERE n >= 2
 SQL["rising_alarm"] = f"""
 WITH RECURSIVE {READ},
 r AS (SELECT id, timestamp AS t,
-             coalesce(temperature > lag(temperature) OVER w, true) AS rise,
+             CASE WHEN row_number() OVER w = 1 THEN true ELSE coalesce(temperature > lag(temperature) OVER w, false) END AS rise,
              row_number() OVER w AS i, count(*) OVER (PARTITION BY id) AS m
       FROM rd WINDOW w AS (PARTITION BY id ORDER BY timestamp, event_id)),
 s(id, i, m, a, fired) AS (

@@ -7,6 +7,7 @@ passed (append mode).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,29 +70,35 @@ def late_router(ts_ms: str, size, delay, allowed_lateness, on_time_sink, late_si
     The watermark of a micro-batch is the max event time of all earlier
     batches minus ``delay`` (Spark's per-batch watermark). Rows whose window
     ended more than ``allowed_lateness`` before it go to ``late_sink``. The
-    max is kept in a small table under ``state_path`` so a restarted query
-    continues from it.
+    max is kept under ``state_path`` so a restarted query continues from it: a
+    micro-batch writes one of two slots in turn, after its sinks, and reads the
+    other one, so a repeated batch sees what it saw before. Only a missing slot
+    means "no state yet"; any other read error fails the batch.
     """
     size_ms, delay_ms, late_ms = interval_ms(size), interval_ms(delay), interval_ms(allowed_lateness)
 
+    def slot(epoch: int) -> str:
+        return f"{state_path.rstrip('/')}/slot={epoch % 2}"
+
     def route(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         try:
-            prev = spark.read.parquet(state_path).where(F.col("epoch") < epoch_id) \
-                .agg(F.max("max_ts")).first()[0]
-        except Exception:  # noqa: BLE001 — first batch: no state yet
-            prev = None
+            row = spark.read.schema("epoch long, max_ts long").parquet(slot(epoch_id + 1)).where(F.col("epoch") < epoch_id).first()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            row = None
+        prev = row.max_ts if row else None
         end = (F.floor(F.col(ts_ms) / size_ms) + 1).cast("bigint") * size_ms
-        marked = batch.withColumn("window_end", end)
-        if prev is None:
-            late = F.lit(False)
-        else:
-            late = end - 1 + F.lit(late_ms) <= F.lit(prev - delay_ms)
-        marked = marked.withColumn("late", late)
-        on_time_sink(marked.where(~F.col("late")).drop("late"), epoch_id)
-        late_sink(marked.where(F.col("late")).drop("late"), epoch_id)
-        batch_max = batch.agg(F.max(ts_ms)).first()[0]
-        if batch_max is not None:
-            spark.createDataFrame([(epoch_id, int(batch_max))], "epoch long, max_ts long") \
-                .write.mode("append").parquet(state_path)
+        late = F.lit(False) if prev is None else F.coalesce(end - 1 + F.lit(late_ms) <= F.lit(prev - delay_ms), F.lit(False))
+        marked = batch.withColumn("window_end", end).withColumn("late", late).persist()
+        try:
+            on_time_sink(marked.where(~F.col("late")).drop("late"), epoch_id)
+            late_sink(marked.where(F.col("late")).drop("late"), epoch_id)
+            newest = marked.agg(F.max(ts_ms)).first()[0]
+        finally:
+            marked.unpersist()
+        known = [int(x) for x in (prev, newest) if x is not None]
+        spark.createDataFrame([(epoch_id, max(known) if known else None)], "epoch long, max_ts long") \
+            .coalesce(1).write.mode("overwrite").parquet(slot(epoch_id))
     return route

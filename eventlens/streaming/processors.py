@@ -125,12 +125,15 @@ class RisingAlarmProcessor(_EventTimeRule):
         self.first_arms = first_arms
 
     def to_buffer(self, r):
-        return (int(r["timestamp"]), int(r["event_id"]), float(r["temperature"]), "")
+        v = r["temperature"]
+        return (int(r["timestamp"]), int(r["event_id"]), None if v is None else float(v), "")
 
     def is_item(self, x):
-        prev = self.last.get()[0] if self.last.exists() else None
+        # A NULL reading is no rise, nor is the one after it.
+        first = not self.last.exists()
+        prev = None if first else self.last.get()[0]
         self.last.update((x[2],))
-        return self.first_arms if prev is None else x[2] > prev
+        return self.first_arms if first else None not in (prev, x[2]) and x[2] > prev
 
     def emit(self, key, f, l, n):
         return Row(id=key[0], armed_ts=f, fired_ts=f + self.delay,
@@ -150,17 +153,19 @@ class _ArrivalOrdered(StatefulProcessor):
 
 
 class RunningCountProcessor(_ArrivalOrdered):
-    """Keyed value state with default 0, +1 per row: (id, event_id, cnt)."""
+    """Keyed value state with default 0, +1 per row: (id, event_id, cnt). State
+    is read and written once per key and micro-batch."""
 
     OUTPUT = "id string, event_id long, cnt long"
 
     def init(self, handle):
         self.count = handle.getValueState("count", "c long")
 
-    def step(self, key, r):
-        c = (self.count.get()[0] if self.count.exists() else 0) + 1
-        self.count.update((c,))
-        yield Row(id=key[0], event_id=r["event_id"], cnt=c)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        c = self.count.get()[0] if self.count.exists() else 0
+        ids = sorted(r[self.arrival] for r in rows)
+        self.count.update((c + len(ids),))
+        return iter([Row(id=key[0], event_id=e, cnt=c + i) for i, e in enumerate(ids, 1)])
 
 
 class JumpAlarmProcessor(_ArrivalOrdered):
@@ -346,23 +351,42 @@ class LatestValueMapProcessor(_ArrivalOrdered):
             yield Row(user_id=key[0], event_type=r["event_type"], value=r["value"], event_id=r["event_id"])
 
 
-class UvRunningProcessor(_ArrivalOrdered):
+class UvRunningProcessor(StatefulProcessor):
     """Per window: a row each time a new bitmap offset is seen (stream form of
-    ``distinct.uv_running``). Key = window_end; input has h and event_id."""
+    ``distinct.uv_running``). Key = window_end (ms); input has h, event_id and a
+    watermarked time column. Apply with ``time_mode="EventTime"``: a window's
+    bits are dropped once the watermark passes its end, after which Spark drops
+    its late rows too."""
 
     OUTPUT = "window_end long, event_id long, uv long"
 
     def init(self, handle):
+        self.handle = handle
         self.bits = handle.getMapState("bits", "h long", "a long")
         self.count = handle.getValueState("count", "c long")
 
-    def step(self, key, r):
-        h = (int(r["h"]),)
-        if not self.bits.containsKey(h):
-            self.bits.updateValue(h, (int(r["event_id"]),))
-            c = (self.count.get()[0] if self.count.exists() else 0) + 1
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        seen = self.count.get()[0] if self.count.exists() else 0
+        if not seen:
+            self.handle.registerTimer(int(key[0]))
+        c, out = seen, []
+        for r in sorted(rows, key=lambda r: r["event_id"]):
+            h = (int(r["h"]),)
+            if not self.bits.containsKey(h):
+                self.bits.updateValue(h, (int(r["event_id"]),))
+                c += 1
+                out.append(Row(window_end=key[0], event_id=r["event_id"], uv=c))
+        if c != seen:
             self.count.update((c,))
-            yield Row(window_end=key[0], event_id=r["event_id"], uv=c)
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.bits.clear()
+        self.count.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
 
 
 class RisingAlarmProcessingTime(StatefulProcessor):

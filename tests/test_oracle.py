@@ -14,6 +14,7 @@ from eventlens.plans.oracle import SQL
 SF = "/root/testdata/sf0.001"
 SPLIT_SENSITIVE = ["rolling_sum", "rolling_max_by", "keyed_history", "global_sequence", "count_window_avg",
                    "changelog_stats", "jump_alarm", "login_fail_timer", "rising_alarm", "late_rows", "uv_running",
+                   "hot_pages_late", "late_pages", "rolling_min_by",
                    "login_fail_pairs", "match_times3", "match_sequence", "hot_pages", "hot_items"]
 
 

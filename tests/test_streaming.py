@@ -144,8 +144,9 @@ def test_keyed_state_processors(spark, stream_dir):
     from eventlens.functions.time import window_end_ms
     pv = A.behaviour(ev).where("behavior = 'pv'").select(
         window_end_ms(F.window("ts", "1 hour")).alias("window_end"), poly_hash(F.col("user_id")).alias("h"),
-        "event_id")
-    same(drain(PR.apply(pv, "window_end", PR.UvRunningProcessor()), "s_uvrun"),
+        "event_id", "ts")
+    pv = SF.with_watermark(pv)
+    same(drain(PR.apply(pv, "window_end", PR.UvRunningProcessor(), time_mode="EventTime"), "s_uvrun").where("event_id < 1000000000000"),
          D.uv_running(A.behaviour(bev).where("behavior = 'pv'")), ["window_end", "event_id", "uv"])
 
 
