@@ -11,22 +11,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.operators.prefix import Prefix, running_aggregates
-from eventlens.operators.rolling import avg_half_up
+from eventlens.operators.rolling import avg_half_up, exact
 
 
-def changelog_count_avg(df: DataFrame, key: str, arrival: str, value_units: str,
-                        unit_places: int = 2, places: int = 4) -> DataFrame:
-    """Changelog of (count, avg) per key. Columns: key, arrival, op, cnt, avg_temp, seq
+def changelog_count_avg(df: DataFrame, key: str, arrival: str, value: str) -> DataFrame:
+    """Changelog of (count, avg) per key; ``value`` is any numeric column, NULLs count
+    as rows but not in the average. Columns: key, arrival, op, cnt, avg_temp, seq
     (seq orders the two rows of one input: 0 retract, 1 insert)."""
+    df = df.withColumn("_v", F.coalesce(exact(F.col(value)), F.lit(0))).withColumn("_has", exact(F.col(value)).isNotNull().cast("bigint"))
     r = running_aggregates(df, [key], [arrival],
-                           {"_n": Prefix("count"), "_s": Prefix("sum", value_units)})
-    old_n = F.col("_n") - 1
-    old_s = F.col("_s") - F.col(value_units)
+                           {"_n": Prefix("count"), "_k": Prefix("sum", "_has"), "_s": Prefix("sum", "_v")})
+    old_n, old_k = F.col("_n") - 1, F.col("_k") - F.col("_has")
+    old_s = F.col("_s").cast("decimal(34,8)") - F.col("_v")
     retract = F.when(old_n > 0, F.struct(F.lit("-").alias("op"), old_n.alias("cnt"),
-                                         avg_half_up(old_s, old_n, unit_places, places).alias("avg_temp"),
+                                         avg_half_up(old_s, old_k).alias("avg_temp"),
                                          F.lit(0).alias("seq")))
     insert = F.struct(F.lit("+").alias("op"), F.col("_n").alias("cnt"),
-                      avg_half_up(F.col("_s"), F.col("_n"), unit_places, places).alias("avg_temp"),
+                      avg_half_up(F.col("_s"), F.col("_k")).alias("avg_temp"),
                       F.lit(1).alias("seq"))
     ex = r.select(key, arrival, F.explode(F.array(retract, insert)).alias("_c"))
     return ex.where(F.col("_c").isNotNull()).select(key, arrival, "_c.op", "_c.cnt", "_c.avg_temp", "_c.seq")

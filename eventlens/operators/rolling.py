@@ -18,20 +18,22 @@ from eventlens.operators.sequence import BLK, local_fan_out
 from eventlens.operators.prefix import Prefix, running_aggregates
 
 
-def avg_half_up(sum_units: Column, n: Column, unit_places: int = 2, places: int = 4) -> Column:
-    """Exact average of integer ``sum_units`` (value · 10^unit_places) over ``n``,
-    rounded half-up to ``places`` decimals, returned as DOUBLE."""
-    scale = 10 ** (places - unit_places)
-    num = F.lit(2) * sum_units * F.lit(scale) + n
-    den = F.lit(2) * n
-    q = _int_div(num, den)
-    return F.when(n > 0, q / F.lit(float(10 ** places)))
+def exact(value: Column) -> Column:
+    """A numeric value as DECIMAL with eight places, whose sums do not depend on
+    the order; NaN, infinities and values of more than 16 digits before the
+    point are NULL."""
+    return value.try_cast("decimal(24,8)")
 
 
-def _int_div(a: Column, b: Column) -> Column:
-    """Floor of the quotient of longs (``b`` > 0), also below zero, exact for any magnitude."""
-    a, b = a.cast("bigint"), b.cast("bigint")
-    return F.call_function("div", a - F.pmod(a, b), b)
+def avg_half_up(total: Column, n: Column) -> Column:
+    """Exact average of ``n`` values with the ``exact`` sum ``total``, rounded
+    half-up to four places, as DOUBLE; NULL for no values. Whole part and rest are
+    divided apart, so no intermediate decimal is rounded."""
+    total, n = total.cast("decimal(34,8)"), n.cast("decimal(19,0)")
+    rest = F.pmod(total, n)
+    whole = F.call_function("div", total - rest, n)
+    places = F.call_function("div", rest * F.lit(20_000) + n, n * F.lit(2))
+    return F.when(n > 0, (whole.cast("double") * 10_000 + places) / 10_000)
 
 
 def word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -103,10 +105,10 @@ def _indexed(df: DataFrame, key: str, arrival: str) -> DataFrame:
     return rolling_count(df, key, arrival, "_idx")
 
 
-def count_window(df: DataFrame, key: str, arrival: str, value_units: str, size: int = 10,
-                 slide: int = 2, unit_places: int = 2, places: int = 4) -> DataFrame:
+def count_window(df: DataFrame, key: str, arrival: str, value: str, size: int = 10, slide: int = 2) -> DataFrame:
     """Count window per key: fires at every ``slide``-th element of a key over
-    its last ≤ ``size`` elements, emitting the average.
+    its last ≤ ``size`` elements, emitting the average of any numeric ``value``
+    (of those that are not NULL).
 
     Element i (1-based per key) belongs to the windows firing at j ∈ [i, i+size-1]
     with j % slide == 0; a window exists once its j-th element arrived.
@@ -115,16 +117,16 @@ def count_window(df: DataFrame, key: str, arrival: str, value_units: str, size:
     idx = _indexed(df, key, arrival)
     fires = F.filter(F.sequence(F.col("_idx"), F.col("_idx") + F.lit(size - 1)),
                      lambda j: F.pmod(j, F.lit(slide)) == 0)
-    ex = local_fan_out(idx.select(key, arrival, "_idx", F.col(value_units).alias("_v")), [key],
+    ex = local_fan_out(idx.select(key, arrival, "_idx", exact(F.col(value)).alias("_v")), [key],
                        F.transform(fires, lambda j: F.struct(j.alias("_t"))))
     g = ex.groupBy(key, BLK, F.col("_e._t").alias("n")).agg(
         F.max("_idx").alias("_last"),
         F.max_by(F.col(arrival), F.col("_idx")).alias(arrival),
         F.count(F.lit(1)).alias("cnt"),
-        F.sum("_v").alias("_s"))
+        F.sum("_v").alias("_s"), F.count("_v").alias("_k"))
     return g.where(F.col("_last") == F.col("n")).select(
         key, F.col("n").cast("bigint").alias("n"), arrival, "cnt",
-        avg_half_up(F.col("_s"), F.col("cnt"), unit_places, places).alias("avg_temp"))
+        avg_half_up(F.col("_s"), F.col("_k")).alias("avg_temp"))
 
 
 def keyed_list(df: DataFrame, key: str, arrival: str, item: str) -> DataFrame:
@@ -153,10 +155,15 @@ def keyed_history(df: DataFrame, key: str, arrival: str, item: str, max_len: int
         key, arrival, F.array_join(F.transform("_h", lambda s: s["_it"]), ",").alias("history"))
 
 
-def latest_value_map(df: DataFrame, key: str, map_key: str, value: str, arrival: str) -> DataFrame:
+def latest_value_map(df: DataFrame, key: str, map_key: str, value: str, arrival: str, removes: bool = False) -> DataFrame:
     """Keyed map state, last write wins: one row per (key, map key) with the
-    latest value and the arrival that wrote it."""
+    latest value and the arrival that wrote it. With ``removes`` a NULL value
+    removes its map key, and a row of NULL map key clears the key's map."""
     g = df.groupBy(key, map_key).agg(F.max(F.struct(F.col(arrival), F.col(value))).alias("_l"))
+    if removes:
+        cleared = g.where(F.col(map_key).isNull()).select(key, F.col("_l").getField(arrival).alias("_cleared"))
+        g = g.where(F.col(map_key).isNotNull() & F.col("_l").getField(value).isNotNull()).join(cleared, key, "left")
+        g = g.where(F.col("_cleared").isNull() | (F.col("_l").getField(arrival) > F.col("_cleared")))
     return g.select(key, map_key, F.col("_l").getField(value).alias(value),
                     F.col("_l").getField(arrival).alias(arrival))
 

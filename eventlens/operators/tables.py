@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.operators.rolling import avg_half_up
+from eventlens.operators.rolling import avg_half_up, exact
 
 
 def as_event_table(df: DataFrame, name: str, cols, time_col: str | None = None,
@@ -20,14 +20,19 @@ def as_event_table(df: DataFrame, name: str, cols, time_col: str | None = None,
 
 
 def sensor_stats(readings: DataFrame) -> DataFrame:
-    """groupBy(id): cnt = count(id), avg_temp = exact average (half-up, 4 places)."""
-    g = readings.groupBy("id").agg(F.count("id").alias("cnt"), F.sum("temp_cents").alias("_s"))
-    return g.select("id", "cnt", avg_half_up(F.col("_s"), F.col("cnt")).alias("avg_temp"))
+    """groupBy(id): cnt = count(id), avg_temp = exact average of ``temperature``, any
+    numeric column (half-up, 4 places; NULLs are left out)."""
+    v = exact(F.col("temperature"))
+    g = readings.groupBy("id").agg(F.count("id").alias("cnt"), F.sum(v).alias("_s"), F.count(v).alias("_k"))
+    return g.select("id", "cnt", avg_half_up(F.col("_s"), F.col("_k")).alias("avg_temp"))
 
 
 def sensor_stats_sql(spark: SparkSession, readings: DataFrame, view: str = "sensor") -> DataFrame:
-    readings.select("id", "temperature", "temp_cents").createOrReplaceTempView(view)
+    readings.select("id", "temperature").createOrReplaceTempView(view)
     return spark.sql(f"""
-        SELECT id, cnt, CAST((v - pmod(v, 2 * cnt)) div (2 * cnt) AS DOUBLE) / 10000.0D AS avg_temp
-        FROM (SELECT *, 2 * s * 100 + cnt AS v FROM (SELECT id, count(id) AS cnt, sum(temp_cents) AS s FROM {view} GROUP BY id))
+        WITH sums AS (
+          SELECT id, count(id) AS cnt, CAST(sum(v) AS DECIMAL(34, 8)) AS s, CAST(nullif(count(v), 0) AS DECIMAL(19, 0)) AS n
+          FROM (SELECT id, try_cast(temperature AS DECIMAL(24, 8)) AS v FROM {view}) GROUP BY id)
+        SELECT id, cnt, (CAST((s - pmod(s, n)) div n AS DOUBLE) * 10000 + (pmod(s, n) * 20000 + n) div (n * 2)) / 10000 AS avg_temp
+        FROM sums
     """)

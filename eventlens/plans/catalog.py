@@ -101,10 +101,8 @@ def tumbling_min_by(spark, sf):
 @query
 def tumbling_sum_keep_first(spark, sf):
     r = A.readings(_events(spark, sf))
-    s = W.window_sum_keep_first(r, "ts", "1 hour", ["id"], "temp_cents", "event_id",
-                                carry=["timestamp"], sum_col="sum_cents")
-    return s.select("id", "window_end", "event_id", "timestamp",
-                    (F.col("sum_cents") / 100.0).alias("temperature"))
+    s = W.window_sum_keep_first(r, "ts", "1 hour", ["id"], "temperature", "event_id", carry=["timestamp"])
+    return s.select("id", "window_end", "event_id", "timestamp", "temperature")
 
 
 @query
@@ -175,14 +173,14 @@ def global_sequence(spark, sf):
 
 @query
 def count_window_avg(spark, sf):
-    r = _readings(spark, sf).select("id", "event_id", "temp_cents")
-    return R.count_window(r, "id", "event_id", "temp_cents", size=10, slide=2)
+    r = _readings(spark, sf).select("id", "event_id", "temperature")
+    return R.count_window(r, "id", "event_id", "temperature", size=10, slide=2)
 
 
 @query
 def changelog_stats(spark, sf):
-    r = _readings(spark, sf).select("id", "event_id", "temp_cents")
-    return C.changelog_count_avg(r, "id", "event_id", "temp_cents")
+    r = _readings(spark, sf).select("id", "event_id", "temperature")
+    return C.changelog_count_avg(r, "id", "event_id", "temperature")
 
 
 # --- rules, patterns, timer folds -------------------------------------------

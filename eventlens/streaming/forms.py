@@ -49,6 +49,53 @@ def top_n_batch_writer(n: int, group_col: str, order_cols, sink):
     return write
 
 
+def _slot(path: str, epoch: int) -> str:
+    return f"{path.rstrip('/')}/slot={epoch % 2}"
+
+
+def _read_slot(spark, path: str, epoch: int, schema) -> DataFrame | None:
+    """What an earlier batch wrote; None only if there is no such folder yet."""
+    try:
+        return spark.read.schema(schema).parquet(_slot(path, epoch))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def top_n_update_writer(n: int, keys, count_cols, order_cols, sink, state_path: str, open_for, end_col: str = "window_end"):
+    """foreachBatch function for ``update`` mode: the last count per (window,
+    keys) wins, and every window that a micro-batch changes is ranked anew over
+    all its counts, changed in this batch or not.
+
+    The counts of open windows are a table under ``state_path`` (the shared
+    checkpoint folder), in two slots written in turn, so a repeated batch reads
+    what it read before. ``open_for`` is window size + delay + allowed lateness:
+    a window that ended so long before the newest one cannot change any more and
+    leaves the table. ``sink`` gets whole rankings; the last one of a window counts.
+    """
+    open_ms, group = interval_ms(open_for), [end_col, *keys]
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.select(*group, *count_cols)
+        old = _read_slot(spark, state_path, epoch_id + 1, rows.withColumn("epoch", F.lit(0).cast("long")).schema)
+        both = rows.withColumn("_new", F.lit(1))
+        if old is not None:
+            both = both.unionByName(old.where(F.col("epoch") == epoch_id - 1).drop("epoch").withColumn("_new", F.lit(0)))
+        last = F.max_by(F.struct(*count_cols), "_new").alias("_l")
+        latest = both.groupBy(*group).agg(last, F.max("_new").alias("_new")).select(*group, "_l.*", "_new").persist()
+        try:
+            changed = latest.where("_new = 1").select(end_col).distinct()
+            sink(top_n_per_group(latest.drop("_new").join(changed, end_col, "left_semi"), [end_col], order_cols, n), epoch_id)
+            newest = latest.agg(F.max(end_col)).first()[0]
+            still = latest.drop("_new").where(F.col(end_col) > F.lit(newest) - open_ms)
+            still.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite").parquet(_slot(state_path, epoch_id))
+        finally:
+            latest.unpersist()
+    return write
+
+
 def unique_visitors_stream(df: DataFrame, user: str = "user_id", size="1 hour", ts: str = "ts",
                            delay="0 seconds") -> DataFrame:
     """Exact visitors per window: deduplicate (window, user), then count."""
@@ -77,17 +124,10 @@ def late_router(ts_ms: str, size, delay, allowed_lateness, on_time_sink, late_si
     """
     size_ms, delay_ms, late_ms = interval_ms(size), interval_ms(delay), interval_ms(allowed_lateness)
 
-    def slot(epoch: int) -> str:
-        return f"{state_path.rstrip('/')}/slot={epoch % 2}"
-
     def route(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            row = spark.read.schema("epoch long, max_ts long").parquet(slot(epoch_id + 1)).where(F.col("epoch") < epoch_id).first()
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            row = None
+        kept = _read_slot(spark, state_path, epoch_id + 1, "epoch long, max_ts long")
+        row = kept.where(F.col("epoch") < epoch_id).first() if kept is not None else None
         prev = row.max_ts if row else None
         end = (F.floor(F.col(ts_ms) / size_ms) + 1).cast("bigint") * size_ms
         late = F.lit(False) if prev is None else F.coalesce(end - 1 + F.lit(late_ms) <= F.lit(prev - delay_ms), F.lit(False))
@@ -100,5 +140,5 @@ def late_router(ts_ms: str, size, delay, allowed_lateness, on_time_sink, late_si
             marked.unpersist()
         known = [int(x) for x in (prev, newest) if x is not None]
         spark.createDataFrame([(epoch_id, max(known) if known else None)], "epoch long, max_ts long") \
-            .coalesce(1).write.mode("overwrite").parquet(slot(epoch_id))
+            .coalesce(1).write.mode("overwrite").parquet(_slot(state_path, epoch_id))
     return route

@@ -10,6 +10,7 @@ alarm; it is cleared as the watermark moves.
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
 from typing import Iterator
 
 from pyspark.sql import Row
@@ -18,9 +19,20 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 _BUF = "t long, a long, v double, s string"
 
 
-def _avg_half_up(sum_units: int, n: int, unit_places: int = 2, places: int = 4) -> float:
-    scale = 10 ** (places - unit_places)
-    return ((2 * sum_units * scale + n) // (2 * n)) / float(10 ** places)
+_UNITS = 10 ** 8
+
+
+def _exact(value) -> Decimal | None:
+    """As ``rolling.exact``: eight places, or None."""
+    v = None if value is None else Decimal(str(value))
+    if v is None or not v.is_finite() or abs(v) >= 10 ** 16:
+        return None
+    return v.quantize(Decimal(1) / _UNITS, rounding=ROUND_HALF_UP)
+
+
+def _avg_half_up(total: Decimal, n: int) -> float | None:
+    """As ``rolling.avg_half_up``."""
+    return ((2 * int(total * _UNITS) * 10_000 + n * _UNITS) // (2 * n * _UNITS)) / 10_000 if n else None
 
 
 class _EventTimeRule(StatefulProcessor):
@@ -198,18 +210,18 @@ class CountWindowProcessor(_ArrivalOrdered):
         self.size, self.slide = size, slide
 
     def init(self, handle):
-        self.window = handle.getListState("window", "u long")
+        self.window = handle.getListState("window", "v double")
         self.count = handle.getValueState("count", "c long")
 
     def step(self, key, r):
         n = (self.count.get()[0] if self.count.exists() else 0) + 1
         self.count.update((n,))
         vals = [x[0] for x in self.window.get()] if self.window.exists() else []
-        vals = (vals + [int(r["temp_cents"])])[-self.size:]
+        vals = (vals + [None if r["temperature"] is None else float(r["temperature"])])[-self.size:]
         self.window.put([(x,) for x in vals])
         if n % self.slide == 0:
-            yield Row(id=key[0], n=n, event_id=r["event_id"], cnt=len(vals),
-                      avg_temp=_avg_half_up(sum(vals), len(vals)))
+            known = [x for x in map(_exact, vals) if x is not None]
+            yield Row(id=key[0], n=n, event_id=r["event_id"], cnt=len(vals), avg_temp=_avg_half_up(sum(known, Decimal(0)), len(known)))
 
 
 class ChangelogProcessor(_ArrivalOrdered):
@@ -218,15 +230,16 @@ class ChangelogProcessor(_ArrivalOrdered):
     OUTPUT = "id string, event_id long, op string, cnt long, avg_temp double, seq int"
 
     def init(self, handle):
-        self.acc = handle.getValueState("acc", "n long, s long")
+        self.acc = handle.getValueState("acc", "n long, k long, s decimal(34,8)")
 
     def step(self, key, r):
-        n, s = self.acc.get() if self.acc.exists() else (0, 0)
+        n, k, s = self.acc.get() if self.acc.exists() else (0, 0, Decimal(0))
         if n:
-            yield Row(id=key[0], event_id=r["event_id"], op="-", cnt=n, avg_temp=_avg_half_up(s, n), seq=0)
-        n, s = n + 1, s + int(r["temp_cents"])
-        self.acc.update((n, s))
-        yield Row(id=key[0], event_id=r["event_id"], op="+", cnt=n, avg_temp=_avg_half_up(s, n), seq=1)
+            yield Row(id=key[0], event_id=r["event_id"], op="-", cnt=n, avg_temp=_avg_half_up(s, k), seq=0)
+        v = _exact(r["temperature"])
+        n, k, s = n + 1, k + (v is not None), s + (v or 0)
+        self.acc.update((n, k, s))
+        yield Row(id=key[0], event_id=r["event_id"], op="+", cnt=n, avg_temp=_avg_half_up(s, k), seq=1)
 
 
 def apply(df, key: str, processor: StatefulProcessor, time_mode: str = "None", output_mode: str = "Append"):
@@ -336,7 +349,9 @@ class KeyedHistoryProcessor(_ArrivalOrdered):
 
 
 class LatestValueMapProcessor(_ArrivalOrdered):
-    """Map state per key: map key → (arrival, value); emits each update."""
+    """Map state per key: map key → (arrival, value); emits each update. A NULL
+    value removes its map key and a NULL map key clears the key's map (neither
+    emits): what they free is gone from the state."""
 
     OUTPUT = "user_id long, event_type string, value double, event_id long"
 
@@ -345,6 +360,13 @@ class LatestValueMapProcessor(_ArrivalOrdered):
 
     def step(self, key, r):
         k = (r["event_type"],)
+        if k[0] is None:
+            self.state.clear()
+            return
+        if r["value"] is None:
+            if self.state.containsKey(k):
+                self.state.removeKey(k)
+            return
         old = self.state.getValue(k) if self.state.containsKey(k) else None
         if old is None or r["event_id"] > old[0]:
             self.state.updateValue(k, (r["event_id"], r["value"]))

@@ -77,7 +77,7 @@ def test_sliding_count_groups(spark, strategy):
 
 
 def test_count_window_avg(spark, plan):
-    out = R.count_window(sensors(spark), "id", "arrival", "temp_cents", size=10, slide=2)
+    out = R.count_window(sensors(spark), "id", "arrival", "temperature", size=10, slide=2)
     got = sorted(rows(out, "id", "n", "avg_temp"))
     assert got == [("sensor_1", 2, 36.05), ("sensor_1", 4, 35.5)]
 
@@ -125,7 +125,7 @@ def test_sensor_stats(spark):
 
 
 def test_changelog(spark, plan):
-    out = C.changelog_count_avg(sensors(spark), "id", "arrival", "temp_cents")
+    out = C.changelog_count_avg(sensors(spark), "id", "arrival", "temperature")
     got = sorted(rows(out.where("id = 'sensor_1'"), "arrival", "seq", "op", "cnt", "avg_temp"))
     assert [(o, c, a) for _, _, o, c, a in got] == [
         ("+", 1, 35.8), ("-", 1, 35.8), ("+", 2, 36.05), ("-", 2, 36.05), ("+", 3, 34.9667),

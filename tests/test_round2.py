@@ -11,11 +11,30 @@ from eventlens.operators import windows as W
 
 
 def test_averages_below_zero(spark):
-    rows = spark.createDataFrame([("a", -3555), ("b", -100), ("b", 0), ("b", 0), ("c", -1), ("c", 2)], "id string, temp_cents long")
-    rows = rows.withColumn("temperature", F.col("temp_cents") / 100)
-    want = {("a", 1, -35.55), ("b", 3, -0.3333), ("c", 2, 0.005)}
+    rows = spark.createDataFrame([("a", -35.55), ("b", -1.0), ("b", 0.0), ("b", 0.0), ("c", -0.01), ("c", 0.02), ("d", 0.00025), ("d", 0.00004),
+                                  ("e", 1.0), ("e", None), ("e", float("nan")), ("f", None), ("g", 1e15), ("g", 1e15)], "id string, temperature double")
+    want = {("a", 1, -35.55), ("b", 3, -0.3333), ("c", 2, 0.005), ("d", 2, 0.0001), ("e", 3, 1.0), ("f", 1, None), ("g", 2, 1e15)}
     assert {tuple(r) for r in T.sensor_stats(rows).collect()} == want
     assert {tuple(r) for r in T.sensor_stats_sql(spark, rows).collect()} == want
+    assert {tuple(r) for r in T.sensor_stats(rows.withColumn("temperature", F.col("temperature").cast("float"))).where("id = 'b'").collect()} == {("b", 3, -0.3333)}
+
+
+def test_averages_of_plain_doubles_in_count_windows_changelog_and_sums(spark):
+    from eventlens.operators import changelog as C
+    values = [-250.125, 0.333, None, 7.5, -1e-5, 3.0]
+    rows = spark.createDataFrame([("k", i, v) for i, v in enumerate(values)], "id string, at long, t double")
+    rows = rows.withColumn("ts", F.timestamp_seconds("at"))
+
+    def avg(part):
+        known = [round(v * 10 ** 8) for v in part if v is not None]
+        return ((2 * sum(known) * 10_000 + len(known) * 10 ** 8) // (2 * len(known) * 10 ** 8)) / 10_000
+
+    got = {r.n: r.avg_temp for r in R.count_window(rows, "id", "at", "t", size=3, slide=2).collect()}
+    assert got == {n: avg(values[max(0, n - 3):n]) for n in (2, 4, 6)}
+    log = C.changelog_count_avg(rows, "id", "at", "t")
+    assert {r.cnt: r.avg_temp for r in log.where("op = '+'").collect()} == {n: avg(values[:n]) for n in range(1, 7)}
+    assert {r.cnt: r.avg_temp for r in log.where("op = '-'").collect()} == {n: avg(values[:n]) for n in range(1, 6)}
+    assert W.window_sum_keep_first(rows, "ts", "1 hour", ["id"], "t", "at").first()["t"] == -239.29201
 
 
 @pytest.mark.parametrize("split", [False, True])

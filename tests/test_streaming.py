@@ -86,9 +86,9 @@ def test_per_row_processors(spark, stream_dir):
     same(drain(PR.apply(rd, "id", PR.RunningCountProcessor()), "s_count"),
          R.rolling_count(brd.select("id", "event_id"), "id", "event_id"), ["id", "event_id", "cnt"])
     same(drain(PR.apply(rd, "id", PR.CountWindowProcessor(10, 2)), "s_cw"),
-         R.count_window(brd, "id", "event_id", "temp_cents", 10, 2), ["id", "n", "event_id", "cnt", "avg_temp"])
+         R.count_window(brd, "id", "event_id", "temperature", 10, 2), ["id", "n", "event_id", "cnt", "avg_temp"])
     same(drain(PR.apply(rd, "id", PR.ChangelogProcessor()), "s_chg"),
-         C.changelog_count_avg(brd, "id", "event_id", "temp_cents"), ["id", "event_id", "op", "cnt", "avg_temp"])
+         C.changelog_count_avg(brd, "id", "event_id", "temperature"), ["id", "event_id", "op", "cnt", "avg_temp"])
 
 
 def test_windowed_forms(spark, stream_dir):
@@ -158,6 +158,42 @@ def test_update_mode_with_lateness(spark, stream_dir):
     same(final, D.page_views(A.behaviour(batch_events(spark)).where("behavior = 'pv'")), ["window_end", "cnt"])
 
 
+def test_update_mode_top_n_ranks_corrected_windows(spark, tmp_path):
+    """Out-of-order files: a later file changes one item of a window ranked before."""
+    schema = "item_id string, at long"
+    for i, part in enumerate([[("a", 10), ("a", 20), ("b", 30)], [("b", 40), ("b", 50), ("c", 3700)], [("c", 60), (None, 61), ("c", 9000)]]):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(tmp_path / f"in/part{i}"))
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+    counts = SF.windowed_count_stream(src.withColumn("ts", F.timestamp_seconds("at")), ["item_id"], "1 hour", allowed_lateness="2 hours")
+    got = {}
+
+    def sink(df, epoch):
+        new = {}
+        for r in df.collect():
+            new.setdefault(r.window_end // 3_600_000, {})[r.rn] = (r.item_id, r.cnt)
+        got.update(new)
+
+    writer = SF.top_n_update_writer(2, ["item_id"], ["cnt"], [F.col("cnt").desc(), F.col("item_id").asc()], sink,
+                                    str(tmp_path / "state"), "3 hours")
+    run_stream(counts, "s_top_upd", mode="update", foreach_batch=writer, checkpoint=str(tmp_path / "ckpt")).awaitTermination()
+    assert got == {1: {1: ("b", 3), 2: ("a", 2)}, 2: {1: ("c", 1)}, 3: {1: ("c", 1)}}
+    kept = spark.read.parquet(str(tmp_path / "state")).where("epoch = 2")
+    assert sorted((r.window_end // 3_600_000, r.item_id or "", r.cnt) for r in kept.collect()) == [
+        (1, "", 1), (1, "a", 2), (1, "b", 3), (1, "c", 1), (2, "c", 1), (3, "c", 1)]
+
+
+def test_map_state_removes_and_clears(spark, tmp_path):
+    schema = "user_id long, event_type string, value double, event_id long"
+    rows = [(1, "x", 1.0, 1), (1, "y", 2.0, 2), (1, "x", None, 3), (2, "x", 5.0, 4), (2, None, 0.0, 5), (2, "z", 6.0, 6), (1, "x", 7.0, 7), (1, "y", None, 8)]
+    src = spark.createDataFrame(rows, schema)
+    src.coalesce(1).write.parquet(str(tmp_path / "in"))
+    st = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    upd = drain(PR.apply(st, "user_id", PR.LatestValueMapProcessor()), "s_map_rm")
+    assert sorted(r.event_id for r in upd.collect()) == [1, 2, 4, 6, 7]
+    want = R.latest_value_map(src, "user_id", "event_type", "value", "event_id", removes=True)
+    assert sorted(tuple(r) for r in want.collect()) == [(1, "x", 7.0, 7), (2, "z", 6.0, 6)]
+
+
 def test_uv_approx_stream(spark, stream_dir):
     beh = A.behaviour(events_stream(spark, stream_dir)).where("behavior = 'pv'")
     end = 1704067200000 + 40 * 86400000
