@@ -6,7 +6,9 @@ so a signature of ``2 * PERMS`` values costs ``PERMS`` hash evaluations a
 shingle. Each value agrees between two texts with probability J (their
 similarity), and the pair of one permutation agrees or not with a lower variance
 than two permutations would. Bands of four values (two permutations) are
-buckets: a pair of J = 0.8 shares none of the 40 with a probability below 1e-8.
+buckets: a pair of J = 0.8 shares none of the 40 with a probability below 1e-8
+(1.8e-8 if the pair has only five shingles in all: minimum and maximum of few
+members agree less often together).
 
 Texts of equal sets form a class first, by a 128-bit fingerprint; only one
 representative of a class goes on. In the buckets, links are sought in three
