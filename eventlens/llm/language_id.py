@@ -8,10 +8,11 @@ kernels with them, whitened by the landmarks' own kernel matrix; one ridge
 regression per language (one versus rest) is solved in that space. Whitening
 and weights fold into one matrix, so a text is scored by two matrix products.
 
-Fitting reads a bounded sample: at most about ``per_language`` rows of each
-learned language, chosen by a hash of the row, of which about ``landmarks`` in
-all become landmarks. What reaches the driver are their packed presence sets.
-Prediction reads every whole text and nothing but the text.
+Fitting reads a bounded sample: about ``per_language`` distinct texts with a
+letter of each learned language (all, if it has fewer), chosen by a hash of
+the text, of which about ``landmarks`` in all become landmarks. Copies count
+once, in the share that is taken as in the sample. What reaches the driver are
+their packed presence sets. Prediction reads every whole text and nothing but the text.
 
 Defined results: null text, or one without any letter, is ``und`` with score 0;
 rows of null language are not learned from; with no training rows at all every
@@ -92,15 +93,18 @@ def train(rows: list[tuple[str, np.ndarray]], landmarks: int, ridge: float, bits
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 300, landmarks: int = 256,
         ridge: float = 1e-3, bits: int = 12) -> Model:
-    """Fits on about ``per_language`` rows of every language of ``labelled``."""
+    """Fits on about ``per_language`` distinct texts of every language of ``labelled``."""
     small_batches(labelled.sparkSession)
-    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = (labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+            .select(F.col(text).alias("text"), F.col(lang).alias("lang")))
+    # Copies of one text have one hash: they count once, here and in the sample.
+    own = F.xxhash64("text", "lang")
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count_distinct(own).alias("n")).collect()}
     if not sizes:
         return train([], landmarks, ridge, bits)
-    # A hash of the row in [0, 1) against the share of its language.
+    # The hash as a number in [0, 1) against the share of its language.
     share = F.element_at(F.create_map(*(F.lit(v) for k, n in sizes.items() for v in (k, min(1.0, per_language / n)))), F.col("lang"))
-    place = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 20)) / float(1 << 20)
+    place = F.pmod(own, F.lit(1 << 52)) / float(1 << 52)
     width = len(ORDERS) << bits
 
     def packed(batches):
@@ -109,7 +113,6 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", per_languag
                    if (s := presence(t, bits)) is not None]
             yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.binary())], names=["lang", "sets"])
 
-    # Copies of one text have one hash: they count once.
     sample = rows.where(place < share).distinct().mapInArrow(per_task(packed), "lang string, sets binary").collect()
     unpacked = [(r.lang, np.unpackbits(np.frombuffer(r.sets, np.uint8))[:width].reshape(len(ORDERS), -1).astype(np.float32))
                 for r in sorted(sample, key=lambda r: (r.lang, bytes(r.sets)))]

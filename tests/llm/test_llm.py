@@ -234,6 +234,24 @@ def test_language_id_without_letters_or_training(spark, edge):
     assert {r.lang_pred for r in language_id.identify(spark.createDataFrame([("abc", 1.0)], "text string, score double"), none).collect()} == {"und"}
 
 
+def test_language_id_learns_languages_of_copies(spark):
+    F = chat.F
+    texts = {"aa": ["lorem ipsum dolor " + w for w in VOCAB[:8]], "bb": ["zyx wvut zrqp " + w for w in VOCAB[:8]]}
+    # 20,000 rows of eight texts, and as many of eight texts among blanks and digits; a share of the rows learns neither.
+    rows = (spark.range(40_000).withColumn("lang", F.when(F.col("id") % 2 == 0, "aa").otherwise("bb")).withColumn("k", F.expr("int(id / 2)"))
+            .withColumn("text", F.when(F.col("lang") == "aa", F.element_at(F.lit(texts["aa"]), F.expr("int(k % 8) + 1")))
+                        .when(F.col("k") % 100 < 8, F.element_at(F.lit(texts["bb"]), F.expr("int(k % 100) + 1"))).otherwise(F.concat(F.lit("1 "), F.col("id")))))
+    model = language_id.fit(rows.select("text", "lang"))
+    assert model.languages == ("aa", "bb") and len(model.landmarks) == 16
+    df = spark.createDataFrame([(t, lang) for lang, ts in texts.items() for t in ts], "text string, lang string")
+    assert all(r.lang_pred == r.lang for r in language_id.identify(df, model).collect())
+
+
+def test_language_id_sample_is_bounded(spark):
+    rows = spark.range(6000).selectExpr("concat('text ', translate(string(id), '0123456789', 'abcdefghij')) AS text", "'aa' AS lang")
+    assert 240 < len(language_id.fit(rows.unionByName(rows), landmarks=1000).landmarks) < 360
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = spark.createDataFrame([(1, "http://x/é", "<html lang=de><head><title>T &amp; t</title></head><p>a<br>b &lt;<script>x</script><a href='/u'>u</a>"),
                                    (2, None, None), (2, None, None), (3, "http://y", "plain \x00 text")], "page_id long, url string, html string")
