@@ -44,8 +44,8 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents with passages of the benchmark."""
-    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    """Drops documents with passages of the benchmark, or with a whole item of few words."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

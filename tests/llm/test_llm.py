@@ -184,6 +184,30 @@ def test_decontamination_brute_force(spark):
     assert decontaminate.decontaminate(df, bench.limit(0)).count() == len(docs)
 
 
+def test_decontamination_by_short_items(spark, tmp_path):
+    import corpus_pipeline
+    r = random.Random(8)
+    items = [(i, " ".join(f"w{r.randint(0, 3)}" for _ in range(1 + i % 12))) for i in range(24)][1:] + [(99, ""), (98, " \n"), (97, prose(30, 77))]
+    items = [(i, t) for i, t in items if len(t.split()) != 1] + [(100, "Solo")]
+    docs = [(i, " ".join([prose(20, 500 + i), *(f"W{r.randint(0, 3)}" for _ in range(r.randint(1, 14))), prose(i % 20, 600 + i)])) for i in range(60)]
+    docs += [(100, items[5][1]), (101, "solo"), (102, "a solo b solo"), (103, None), (104, ""), (105, "so lo"), (106, " ".join(prose(30, 77).split()[3:20]))]
+    want = {}
+    for d, text in docs:
+        words = (text or "").lower().split()
+        hits = [(i, at, len(w)) for i, t in items if 0 < len(w := t.lower().split()) < decontaminate.WINDOW
+                for at in range(len(words) - len(w) + 1) if words[at:at + len(w)] == w]
+        if hits:
+            want[d] = (min(h[0] for h in hits), min(h[1] for h in hits), max(h[2] for h in hits))
+    want[106] = (97, 0, 13)
+    pd.DataFrame(docs, columns=["doc_id", "text"]).to_parquet(tmp_path / "documents.parquet")
+    pd.DataFrame(items, columns=["item_id", "text"]).to_parquet(tmp_path / "benchmark.parquet")
+    got = decontaminate.op6_decontaminate(spark, str(tmp_path)).collect()
+    assert {x.doc_id: (x.item_id, x.first_word, x.matched) for x in got} == want
+    assert 20 < len(want) < 64 and want[102] == (100, 1, 1)
+    kept = corpus_pipeline.drop_contaminated(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path))
+    assert {x.doc_id for x in kept.collect()} == {d for d, _ in docs} - set(want)
+
+
 def test_suffix_automaton_against_search():
     r = random.Random(2)
     for _ in range(50):
