@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from eventlens.functions.time import interval_ms
 from eventlens.operators.prefix import Prefix, running_aggregates
+from eventlens.operators.windows import BLOCK_WINDOWS
+from eventlens.session import materialized
 
 
 def mark_late(df: DataFrame, ts_ms: str, arrival: list, size, delay, allowed_lateness=0) -> DataFrame:
@@ -39,7 +41,8 @@ def mark_late(df: DataFrame, ts_ms: str, arrival: list, size, delay, allowed_lat
 
 def mark_late_sliding(df: DataFrame, ts_ms: str, arrival: list, size, slide, delay, allowed_lateness=0) -> DataFrame:
     """Adds ``open_from`` and ``open_to`` (ms, first and last window end the row still counts in; equal to its
-    windows' range if none is purged) and ``late`` (all its windows are purged). ``slide`` ≤ ``size``."""
+    windows' range if none is purged), ``due_from`` (ms, first window end that has not fired before the row),
+    ``late`` (all its windows are purged) and ``newest`` (its time is above all before it). ``slide`` ≤ ``size``."""
     size_ms, slide_ms = interval_ms(size), interval_ms(slide)
     delay_ms, late_ms = interval_ms(delay), interval_ms(allowed_lateness)
     if slide_ms > size_ms:
@@ -51,17 +54,61 @@ def mark_late_sliding(df: DataFrame, ts_ms: str, arrival: list, size, slide, del
     first = up(t + 1 - size_ms) + size_ms
     # Open means end - 1 + allowed > watermark; window ends are size past a multiple of slide.
     still = up(F.col("_maxts") - delay_ms - late_ms + 2 - size_ms) + size_ms
+    due = up(F.col("_maxts") - delay_ms + 2 - size_ms) + size_ms
     return r.select(*df.columns, F.greatest(first, still).alias("open_from"), last.alias("open_to"),
-                    F.coalesce(still > last, F.lit(False)).alias("late"))
+                    F.greatest(first, due).alias("due_from"), F.coalesce(still > last, F.lit(False)).alias("late"),
+                    F.coalesce(t > F.col("_maxts"), F.lit(True)).alias("newest"))
 
 
-def corrected_counts(marked: DataFrame, keys: list, slide, count_col: str = "cnt") -> DataFrame:
+def _counts_of_ranges(ranges: DataFrame, keys: list, lo: str, hi: str, size, slide, count_col: str) -> DataFrame:
+    """Sum of ``_n`` per (keys, window end) over ranges of window ends. A range is sent to the one or two
+    blocks of ends that it touches, and laid out and summed there, so laid-out rows are never shuffled."""
+    step, block = interval_ms(slide), interval_ms(size) * BLOCK_WINDOWS
+    of = lambda c: F.floor(F.col(c).cast("double") / float(block)).cast("bigint")
+    sent = ranges.select(*keys, "_n", F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), F.explode(F.sequence(of(lo), of(hi))).alias("_blk"))
+    ends = sent.repartition(*keys, "_blk").select(*keys, "_blk", "_n", F.explode(F.sequence("_lo", "_hi", F.lit(step))).alias("window_end"))
+    own = ends.where(of("window_end") == F.col("_blk"))
+    return own.groupBy(*keys, "_blk", "window_end").agg(F.sum("_n").alias(count_col)).select(*keys, "window_end", count_col)
+
+
+def corrected_counts(marked: DataFrame, keys: list, size, slide, count_col: str = "cnt") -> DataFrame:
     """Final count per (keys, sliding window) of rows marked by ``mark_late_sliding``: what the last
     correction of each window says. Rows combine by their range of windows before the fan-out."""
-    step = interval_ms(slide)
     ranges = marked.where(~F.col("late")).groupBy(*keys, "open_from", "open_to").agg(F.count(F.lit(1)).alias("_n"))
-    ends = ranges.select(*keys, "_n", F.explode(F.sequence("open_from", "open_to", F.lit(step))).alias("window_end"))
-    return ends.groupBy(*keys, "window_end").agg(F.sum("_n").alias(count_col))
+    return _counts_of_ranges(ranges, keys, "open_from", "open_to", size, slide, count_col)
+
+
+def first_reaching(instants: DataFrame, at: str, rows: DataFrame, value: str, carry: list) -> DataFrame:
+    """``instants`` with the ``carry`` columns of the row of the smallest ``value`` that is ``at`` or more
+    (NULL if there is none): one merge of both sides in descending order, and a running minimum over it."""
+    hit = F.struct(F.col(value).alias("v"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
+    known = rows.select((-F.col(value)).alias("_desc"), F.lit(0).alias("_side"), hit.alias("_row"), *[F.lit(None).cast(instants.schema[c].dataType).alias(c) for c in instants.columns])
+    asked = instants.select((-F.col(at)).alias("_desc"), F.lit(1).alias("_side"), F.lit(None).cast(known.schema["_row"].dataType).alias("_row"), *instants.columns)
+    merged = running_aggregates(known.unionByName(asked), [], ["_desc", "_side"], {"_hit": Prefix("min", "_row")})
+    return merged.where("_side = 1").select(*instants.columns, *[F.col("_hit").getField(f"c{i}").alias(c) for i, c in enumerate(carry)])
+
+
+def window_firings(df: DataFrame, marked: DataFrame, keys: list, ts_ms: str, arrival: list, size, slide, delay, count_col: str = "cnt") -> DataFrame:
+    """Every firing of every (keys, sliding window): the row whose arrival fires it, the count it emits then and its number.
+
+    ``df`` are all rows, marked by ``mark_late_sliding``, which move the watermark; ``marked`` those of them that
+    are counted. A window fires when the watermark passes its end, and again at every later row it still takes.
+    Windows that are open at the end of the input fire there (NULL arrival). Columns: keys, window_end, arrival, cnt, firing.
+    """
+    step = interval_ms(slide)
+    newest = materialized(df.where("newest").select(ts_ms, *arrival))
+    counted = materialized(marked.where(~F.col("late")).select(*keys, *arrival, "open_from", "open_to", "due_from"))
+    in_time = counted.where("due_from <= open_to").groupBy(*keys, "due_from", "open_to").agg(F.count(F.lit(1)).alias("_n"))
+    first = _counts_of_ranges(in_time, keys, "due_from", "open_to", size, slide, "_n")
+    ends = in_time.select("due_from", "open_to").distinct().select(F.explode(F.sequence("due_from", "open_to", F.lit(step))).alias("window_end")).distinct()
+    asked = ends.withColumn("_at", F.col("window_end") - 1 + interval_ms(delay))
+    fired = first_reaching(materialized(asked), "_at", newest, ts_ms, arrival).drop("_at")
+    first = first.join(fired, "window_end")
+    behind = counted.withColumn("_to", F.least("open_to", F.col("due_from") - step)).where("open_from <= _to")
+    again = behind.select(*keys, *arrival, F.explode(F.sequence("open_from", "_to", F.lit(step))).alias("window_end"), F.lit(1).cast("bigint").alias("_n"))
+    both = materialized(first.select(*again.columns).unionByName(again))
+    out = running_aggregates(both, [*keys, "window_end"], arrival, {count_col: Prefix("sum", "_n"), "firing": Prefix("count")})
+    return out.select(*keys, "window_end", *arrival, count_col, "firing")
 
 
 def split_late(df: DataFrame, ts_ms: str, arrival: list, size, delay, allowed_lateness=0):

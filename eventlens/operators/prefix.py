@@ -6,8 +6,10 @@ job in a single task. Prefix aggregates that combine associatively
 (count, sum, max, min) are split in two phases instead:
 
 1. rows are range-partitioned by the whole order tuple into buckets of about
-   4M rows (inputs within one bucket take a plain single-pass window) and
-   written once, with their bucket, to the shared checkpoint folder;
+   4M rows (inputs within one bucket take a plain single-pass window; without
+   a key, where that would be one task, a bucket is a task's share from a few
+   thousand rows on) and written once, with their bucket, to the shared
+   checkpoint folder;
 2. a running aggregate inside each (key, bucket) — parallel over buckets;
 3. per-(key, bucket) totals (a grouped aggregate with map-side combine),
    then a running total over the buckets of a key — one row per bucket;
@@ -34,12 +36,15 @@ from eventlens.functions.time import to_col
 from eventlens.session import checkpoint_dir
 
 ROWS_PER_BUCKET = 4_000_000  # ≈ 128–256 MB of rows per (key, bucket) task
+KEYLESS_ROWS = 8192  # rows without a key that one task may take
 
 
 def rows_per_bucket_default() -> int:
     """Target rows per (key, bucket) task; EVENTLENS_ROWS_PER_BUCKET overrides it
     (tests set it low to run the split plan on small fixtures)."""
     return int(os.environ.get("EVENTLENS_ROWS_PER_BUCKET", ROWS_PER_BUCKET))
+
+
 BUCKET = "_pb"
 BUCKETS_META = "eventlens.buckets"
 ROWS_META = "eventlens.rows"
@@ -76,16 +81,19 @@ def _merge(kind: str, prev: Column, local: Column) -> Column:
     return F.least(prev, local)
 
 
-def with_range_bucket(df: DataFrame, order, rows_per_bucket: int | None = None) -> DataFrame:
+def with_range_bucket(df: DataFrame, order, rows_per_bucket: int | None = None, keyless: bool = False) -> DataFrame:
     """Add ``_pb``: a bucket, monotone in the ``order`` columns, of about
     ``rows_per_bucket`` rows, with the bucket count in the column metadata.
 
     Inputs within one target bucket get the constant 0. Rows of equal order
-    tuples share a bucket.
+    tuples share a bucket. ``keyless`` deals the rows over all tasks.
     """
     rows_per_bucket = rows_per_bucket or rows_per_bucket_default()
     order = list(order) if isinstance(order, (list, tuple)) else [order]
     n = df.count()
+    if keyless:
+        share = math.ceil(n / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        rows_per_bucket = min(rows_per_bucket, max(KEYLESS_ROWS, share))
     buckets = max(math.ceil(n / rows_per_bucket), 1)
     meta = {BUCKETS_META: buckets, ROWS_META: n}
     if buckets == 1:
@@ -132,7 +140,7 @@ def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, P
     elif carried:
         d = df
     else:
-        d = with_range_bucket(df, order)
+        d = with_range_bucket(df, order, keyless=not keys)
     if bucket is None and bucket_count(d) == 1:
         return _single_pass(d, df, keys, order_cols, aggs, carried)
     d, kcols = _non_null_keys(d, keys)

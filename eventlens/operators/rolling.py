@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from eventlens.functions.text import tokenize_words
 from eventlens.operators.sequence import BLK, local_fan_out
-from eventlens.operators.prefix import Prefix, running_aggregates
+from eventlens.operators.prefix import Prefix, running_aggregates, with_range_bucket
 
 
 def exact(value: Column) -> Column:
@@ -167,3 +167,31 @@ def latest_value_map(df: DataFrame, key: str, map_key: str, value: str, arrival:
     return g.select(key, map_key, F.col("_l").getField(value).alias(value),
                     F.col("_l").getField(arrival).alias(arrival))
 
+
+
+def map_state_intervals(df: DataFrame, key: str, map_key: str, value: str, arrival: str) -> DataFrame:
+    """Keyed map state over time: one row per entry of the map while it holds one value.
+
+    A row puts ``value`` under its map key; a NULL value removes the map key, a NULL map key clears the key's
+    map. Columns: key, map_key, value, ``valid_from`` (the arrival that put it) and ``valid_to`` (the
+    arrival that replaced, removed or cleared it; NULL while it stands). The state after any arrival is the rows with
+    valid_from ≤ arrival < valid_to. An entry's end is the smaller of two running minima from the end:
+    the next row of its map key and the next clear of its key.
+    """
+    d = df.select(key, map_key, value, arrival, (-F.col(arrival)).alias("_back"))
+    clears = F.when(F.col(map_key).isNull(), F.col(arrival))
+    d = running_aggregates(with_range_bucket(d, ["_back"]), [key], ["_back"], {"_clear": Prefix("min", clears, inclusive=False)})
+    d = running_aggregates(d, [key, map_key], ["_back"], {"_next": Prefix("min", arrival, inclusive=False)})
+    puts = d.where(F.col(map_key).isNotNull() & F.col(value).isNotNull())
+    return puts.select(key, map_key, value, F.col(arrival).alias("valid_from"), F.least("_next", "_clear").alias("valid_to"))
+
+
+def map_state_sizes(df: DataFrame, key: str, map_key: str, value: str, arrival: str) -> DataFrame:
+    """Number of entries in the key's map after every row: entries begun minus entries ended, as a running sum."""
+    held = map_state_intervals(df, key, map_key, value, arrival)
+    turns = held.select(key, F.explode(F.array(F.struct(F.col("valid_from").alias("at"), F.lit(1).alias("d")),
+                                               F.struct(F.col("valid_to").alias("at"), F.lit(-1).alias("d")))).alias("_t"))
+    turns = turns.where("_t.at IS NOT NULL").select(key, F.col("_t.at").alias(arrival), F.col("_t.d").alias("_d"), F.lit(0).alias("_row"))
+    rows = df.select(key, arrival, F.lit(0).alias("_d"), F.lit(1).alias("_row")).unionByName(turns)
+    at = rows.groupBy(key, arrival).agg(F.sum("_d").alias("_d"))
+    return running_aggregates(at, [key], [arrival], {"entries": Prefix("sum", "_d")}).select(key, arrival, "entries")

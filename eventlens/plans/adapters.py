@@ -97,6 +97,10 @@ def visited_pages(events: DataFrame, pages: DataFrame) -> DataFrame:
     return ev.join(no.select("_no", url.alias("url")), "_no").drop("_no")
 
 
+def method_of(event_type) -> F.Column:
+    return F.when(event_type.isin("purchase", "signup"), F.lit("POST")).otherwise(F.lit("GET"))
+
+
 def access_log_lines(events: DataFrame, pages: DataFrame) -> DataFrame:
     """Visited pages rendered as access-log lines.
 
@@ -104,7 +108,7 @@ def access_log_lines(events: DataFrame, pages: DataFrame) -> DataFrame:
     signups are POSTs.
     """
     j = visited_pages(events.select("event_id", "user_id", "event_type", "ts"), pages)
-    method = F.when(F.col("event_type").isin("purchase", "signup"), F.lit("POST")).otherwise(F.lit("GET"))
+    method = method_of(F.col("event_type"))
     t = F.date_format(F.col("ts").cast("timestamp"), "dd/MM/yyyy:HH:mm:ss")
     line = F.concat_ws(" ", ip_of(F.col("user_id")), F.lit("-"), F.lit("-"), t, F.lit("+0000"),
                        method, F.col("url"))

@@ -438,22 +438,78 @@ def late_rows(spark, sf):
 PAGE_SIZE, PAGE_SLIDE, PAGE_DELAY, PAGE_LATENESS = "10 minutes", "5 seconds", "1 second", "1 minute"
 
 
-def _late_pages(spark, sf):
-    """Page visits in a synthetic arrival order (up to 15 minutes behind), marked per range of open windows."""
-    visits = A.visited_pages(A.arrivals(_events(spark, sf), 900), A.table(spark, sf, "pages"))
-    visits = TX.drop_static_assets(visits, "url").withColumn("ts_ms", F.col("timestamp") * 1000)
-    return LT.mark_late_sliding(visits.select("event_id", "url", "arrival", "ts_ms"), "ts_ms", ["arrival", "event_id"],
-                                PAGE_SIZE, PAGE_SLIDE, PAGE_DELAY, PAGE_LATENESS)
+def _late_visits(spark, sf, size, slide):
+    """The log in a synthetic arrival order (up to 15 minutes behind), marked per range of open windows, and the
+    GET visits of pages in it. All rows of the log move the watermark."""
+    log = A.arrivals(_events(spark, sf), 900).withColumn("ts_ms", F.col("timestamp") * 1000)
+    log = LT.mark_late_sliding(log.select("event_id", "event_type", "arrival", "ts_ms"), "ts_ms", ["arrival", "event_id"],
+                               size, slide, PAGE_DELAY, PAGE_LATENESS)
+    gets = A.visited_pages(log.where(A.method_of(F.col("event_type")) == "GET"), A.table(spark, sf, "pages"))
+    return log, TX.drop_static_assets(gets, "url")
 
 
 @query
 def hot_pages_late(spark, sf):
     """Top 3 pages per sliding window after all corrections by late rows within the allowed lateness."""
-    counts = LT.corrected_counts(_late_pages(spark, sf), ["url"], PAGE_SLIDE)
+    _, visits = _late_visits(spark, sf, PAGE_SIZE, PAGE_SLIDE)
+    counts = LT.corrected_counts(visits, ["url"], PAGE_SIZE, PAGE_SLIDE)
     return N.top_n_per_group(counts, ["window_end"], [F.col("cnt").desc(), F.col("url").asc()], 3)
 
 
 @query
 def late_pages(spark, sf):
     """Side output of the hot pages: visits all of whose windows are purged."""
-    return _late_pages(spark, sf).where("late").select("event_id", "url", "ts_ms", "arrival")
+    _, visits = _late_visits(spark, sf, PAGE_SIZE, PAGE_SLIDE)
+    return visits.where("late").select("event_id", "url", "ts_ms", "arrival")
+
+
+FIRING_SLIDE = "1 minute"
+
+
+@query
+def hot_pages_firings(spark, sf):
+    """Firing history: at which arrival a page's window fires first, and every count it emits again for a late row."""
+    log, visits = _late_visits(spark, sf, PAGE_SIZE, FIRING_SLIDE)
+    fired = LT.window_firings(log, visits, ["url"], "ts_ms", ["arrival", "event_id"], PAGE_SIZE, FIRING_SLIDE, PAGE_DELAY)
+    return fired.fillna(-1, ["arrival", "event_id"])  # -1: fires at the end of the input
+
+
+# --- changelog of a ranking, map state over time --------------------------------
+
+@query
+def hot_items_changelog(spark, sf):
+    """Retract stream of the top 5 items by page views per sliding window, kept up at every view."""
+    views = _views(spark, sf).select("event_id", "item_id", F.window("ts", "1 hour", "5 minutes").alias("w"))
+    views = views.select("event_id", "item_id", F.unix_millis("w.end").alias("window_end"))
+    return C.changelog_top_n(views, ["window_end"], "item_id", "event_id", 5)
+
+
+@query
+def daily_items_changelog(spark, sf):
+    """Retract stream of the top 3 items by events per day."""
+    seen = A.behaviour(_events(spark, sf)).select("event_id", "item_id", F.window("ts", "1 day").alias("w"))
+    return C.changelog_top_n(seen.select("event_id", "item_id", F.unix_millis("w.end").alias("window_end")), ["window_end"], "item_id", "event_id", 3)
+
+
+def _map_rows(spark, sf):
+    """Events as operations on a user's map: a sign-up clears it, an error removes the last click, others put their value."""
+    kind = F.col("event_type")
+    return _events(spark, sf).select(
+        "user_id", "event_id", F.when(kind == "signup", F.lit(None)).when(kind == "error", F.lit("click")).otherwise(kind).alias("map_key"),
+        F.when(kind.isin("signup", "error"), F.lit(None)).otherwise(F.col("value")).alias("value"))
+
+
+@query
+def map_state_intervals(spark, sf):
+    return R.map_state_intervals(_map_rows(spark, sf), "user_id", "map_key", "value", "event_id").fillna(-1, ["valid_to"])  # -1: stands at the end
+
+
+@query
+def map_state_sizes(spark, sf):
+    return R.map_state_sizes(_map_rows(spark, sf), "user_id", "map_key", "value", "event_id")
+
+
+@query
+def history_text(spark, sf):
+    """Each reading with the five before it of its sensor, as text."""
+    return R.keyed_history(_readings(spark, sf).select("id", "event_id", "temp_cents"), "id", "event_id", "temp_cents", 5)

@@ -366,17 +366,17 @@ SELECT event_id, timestamp, arrival, window_end FROM m WHERE window_end - 1 + 60
 """
 PAGES_LATE = f"""{PAGES},
 ar AS (
-  SELECT e.event_id, p.url, epoch_us(e.ts) // 1000000 * 1000 AS ts_ms,
-         epoch_us(e.ts) // 1000000 + (e.event_id * 7919) % 900 AS arrival
-  FROM events e, np JOIN pg p ON p.no = e.event_id % np.n
-  WHERE NOT regexp_matches(p.url, '\\.(css|js|png|ico)$')),
+  SELECT event_id, event_type, epoch_us(ts) // 1000000 * 1000 AS ts_ms, epoch_us(ts) // 1000000 + (event_id * 7919) % 900 AS arrival FROM events),
 m AS (
   SELECT *, max(ts_ms) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1000 AS wm
   FROM ar),
+v AS (
+  SELECT m.*, p.url FROM m, np JOIN pg p ON p.no = m.event_id % np.n
+  WHERE m.event_type NOT IN ('purchase', 'signup') AND NOT regexp_matches(p.url, '\\.(css|js|png|ico)$')),
 w AS (
   SELECT event_id, url, ts_ms, arrival, (ts_ms // 5000 + 1 + k) * 5000 AS window_end,
          coalesce((ts_ms // 5000 + 1 + k) * 5000 - 1 + 60000 <= wm, false) AS purged
-  FROM m, range(120) r(k))"""
+  FROM v, range(120) r(k))"""
 
 SQL["hot_pages_late"] = f"""
 WITH {PAGES_LATE},
@@ -390,6 +390,68 @@ SELECT event_id, any_value(url) AS url, any_value(ts_ms) AS ts_ms, any_value(arr
 FROM w GROUP BY event_id HAVING bool_and(purged)
 """
 
+SQL["hot_pages_firings"] = f"""
+WITH {PAGES_LATE.replace("5000", "60000").replace("range(120)", "range(10)").replace("AS purged", "AS purged, coalesce((ts_ms // 60000 + 1 + k) * 60000 - 1 <= wm, false) AS fired")},
+clock AS (SELECT top, arg_min(arrival, (arrival, event_id)) AS arrival, arg_min(event_id, (arrival, event_id)) AS event_id
+  FROM (SELECT *, max(ts_ms) OVER (ORDER BY arrival, event_id ROWS UNBOUNDED PRECEDING) AS top FROM ar) GROUP BY top),
+base AS (SELECT url, window_end, count(*) AS cnt FROM w WHERE NOT purged AND NOT fired GROUP BY ALL),
+first AS (
+  SELECT b.url, b.window_end, coalesce(c.arrival, -1) AS arrival, coalesce(c.event_id, -1) AS event_id, b.cnt, 1 AS firing
+  FROM (SELECT *, window_end - 1 + 1000 AS need FROM base) b ASOF LEFT JOIN clock c ON b.need <= c.top)
+SELECT * FROM first
+UNION ALL
+SELECT l.url, l.window_end, l.arrival, l.event_id,
+  coalesce(b.cnt, 0) + row_number() OVER g AS cnt, CASE WHEN b.cnt IS NULL THEN 0 ELSE 1 END + row_number() OVER g AS firing
+FROM (SELECT * FROM w WHERE fired AND NOT purged) l LEFT JOIN base b ON b.url = l.url AND b.window_end = l.window_end
+WINDOW g AS (PARTITION BY l.url, l.window_end ORDER BY l.arrival, l.event_id)
+"""
+
+
+def _rank_changes(rows: str, n: int) -> str:
+    """Snapshots of the ranking after every row, and the difference of each to the one before."""
+    return f"""
+WITH {BEH},
+ev AS ({rows}),
+seq AS (SELECT *, lag(event_id) OVER (PARTITION BY window_end ORDER BY event_id) AS prev FROM ev),
+held AS (
+  SELECT a.window_end, a.event_id AS upto, b.item_id, count(*) AS cnt, max(b.event_id) AS last
+  FROM ev a JOIN ev b ON a.window_end = b.window_end AND b.event_id <= a.event_id GROUP BY ALL),
+top AS (
+  SELECT * EXCLUDE (last) FROM (SELECT *, row_number() OVER (PARTITION BY window_end, upto ORDER BY cnt DESC, last) AS rn FROM held) WHERE rn <= {n}),
+pairs AS (SELECT s.window_end, s.event_id, t.upto = s.event_id AS now, t.item_id, t.cnt, t.rn
+  FROM seq s JOIN top t ON t.window_end = s.window_end AND (t.upto = s.event_id OR t.upto = s.prev)),
+sides AS (SELECT window_end, event_id, item_id, cnt, rn, bool_or(now) AS after, bool_or(NOT now) AS before FROM pairs GROUP BY ALL)
+SELECT window_end, event_id, CASE WHEN after THEN '+' ELSE '-' END AS op, item_id, cnt, CAST(rn AS INTEGER) AS rn FROM sides WHERE after <> before
+"""
+
+
+SQL["hot_items_changelog"] = _rank_changes(
+    "SELECT event_id, item_id, ((t // 300) + 1 + k) * 300000 AS window_end FROM beh, range(12) r(k) WHERE behavior = 'pv'", 5)
+SQL["daily_items_changelog"] = _rank_changes("SELECT event_id, item_id, ((t // 86400) + 1) * 86400000 AS window_end FROM beh", 3)
+
+MAP = """ops AS (
+  SELECT user_id, event_id, CASE event_type WHEN 'signup' THEN NULL WHEN 'error' THEN 'click' ELSE event_type END AS map_key,
+    CASE WHEN event_type IN ('signup', 'error') THEN NULL ELSE value END AS value FROM events),
+held AS (
+  SELECT p.user_id, p.map_key, p.value, p.event_id AS valid_from, min(q.event_id) AS valid_to
+  FROM ops p LEFT JOIN ops q ON q.user_id = p.user_id AND q.event_id > p.event_id AND (q.map_key IS NULL OR q.map_key = p.map_key)
+  WHERE p.map_key IS NOT NULL AND p.value IS NOT NULL GROUP BY ALL)"""
+
+SQL["map_state_intervals"] = f"WITH {MAP} SELECT * REPLACE (coalesce(valid_to, -1) AS valid_to) FROM held"
+SQL["map_state_sizes"] = f"""
+WITH {MAP}
+SELECT o.user_id, o.event_id, count(h.user_id) AS entries
+FROM ops o LEFT JOIN held h ON h.user_id = o.user_id AND h.valid_from <= o.event_id AND (h.valid_to IS NULL OR h.valid_to > o.event_id)
+GROUP BY o.user_id, o.event_id
+"""
+SQL["history_text"] = f"""
+WITH {READ}
+SELECT id, event_id, coalesce(string_agg(before, ',' ORDER BY prev) FILTER (before IS NOT NULL), '') AS history FROM (
+  SELECT a.id, a.event_id, unnest(list_concat([NULL], list(a.p) OVER w5)).t AS before, unnest(list_concat([NULL], list(a.p) OVER w5)).e AS prev
+  FROM (SELECT *, {{'e': event_id, 't': CAST(temp_cents AS VARCHAR)}} AS p FROM rd) a
+  WINDOW w5 AS (PARTITION BY id ORDER BY event_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)) GROUP BY id, event_id
+"""
+
 SQL["rolling_min_by"] = f"""
 WITH {READ},
 p AS (SELECT *, min(temperature) OVER (PARTITION BY id ORDER BY event_id

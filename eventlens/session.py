@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of the library relies on.
 _DEFAULTS = {
@@ -70,3 +71,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once for all that reads it, and safe from lost executors."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/eventlens-table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -104,7 +104,7 @@ def test_sliding_lateness_against_a_row_by_row_model(spark):
         late |= set() if still else {at}
         seen = t if seen is None else max(seen, t)
     assert late and {r["at"] for r in m.where("late").collect()} == late
-    assert {(r.url, r.window_end): r.cnt for r in LT.corrected_counts(m, ["url"], "3 seconds").collect()} == counts
+    assert {(r.url, r.window_end): r.cnt for r in LT.corrected_counts(m, ["url"], "10 seconds", "3 seconds").collect()} == counts
 
 
 def test_restart_policy_resumes(spark):
