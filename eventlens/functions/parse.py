@@ -11,23 +11,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _parse(lines: DataFrame, sep: str, spec: list[tuple[int, str, str]], n_min: int, value_col: str = "value") -> DataFrame:
+    """Typed fields of a line, ``_corrupt`` and ``_line``. A line is split once and a field read once: the record
+    comes out of a generator, through which no filter on a field is pushed and repeats the parsing."""
+    def typed(parts: Column) -> Column:
+        raw = {name: F.get(parts, i) for i, name, _ in spec}
+        read = [(raw[name] if typ == "string" else F.trim(raw[name]).try_cast(typ)).alias(name) for _, name, typ in spec]
+        return F.struct(*read, (F.size(parts) < n_min).alias("_short"))
+
+    def checked(rec: Column) -> Column:
+        bad = rec["_short"]
+        for _, name, _ in spec:
+            bad = bad | rec[name].isNull()
+        return F.struct(*[rec[name].alias(name) for _, name, _ in spec], F.coalesce(bad, F.lit(True)).alias("_corrupt"))
 
-def _typed_fields(value: Column, sep: str, spec: list[tuple[int, str, str]], n_min: int):
-    parts = F.split(value, sep)
-    cols = []
-    bad = F.size(parts) < n_min
-    for idx, name, typ in spec:
-        raw = F.trim(F.get(parts, idx)) if typ != "string" else F.get(parts, idx)
-        c = raw.try_cast(typ) if typ != "string" else raw
-        cols.append(c.alias(name))
-        bad = bad | c.isNull()
-    return cols, bad
-
-
-def _parse(lines: DataFrame, sep: str, spec, n_min: int, value_col: str = "value") -> DataFrame:
-    cols, bad = _typed_fields(F.col(value_col), sep, spec, n_min)
     keep = [c for c in lines.columns if c != value_col]
-    return lines.select(*keep, *cols, bad.alias("_corrupt"), F.col(value_col).alias("_line"))
+    records = F.transform(F.transform(F.array(F.split(F.col(value_col), sep)), typed), checked)
+    out = lines.select(*keep, F.col(value_col).alias("_line"), F.explode(records).alias("_r"))
+    return out.select(*keep, *[F.col("_r").getField(name).alias(name) for _, name, _ in spec], F.col("_r._corrupt").alias("_corrupt"), "_line")
 
 
 def parse_sensor(lines: DataFrame, value_col: str = "value") -> DataFrame:

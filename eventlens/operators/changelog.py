@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.operators.prefix import Prefix, running_aggregates
-from eventlens.operators.rolling import avg_half_up, exact
+from eventlens.operators.rolling import avg_half_up, beyond, exact
 from eventlens.operators.topn import top_n_per_group
 
 
@@ -19,16 +19,18 @@ def changelog_count_avg(df: DataFrame, key: str, arrival: str, value: str) -> Da
     """Changelog of (count, avg) per key; ``value`` is any numeric column, NULLs count
     as rows but not in the average. Columns: key, arrival, op, cnt, avg_temp, seq
     (seq orders the two rows of one input: 0 retract, 1 insert)."""
-    df = df.withColumn("_v", F.coalesce(exact(F.col(value)), F.lit(0))).withColumn("_has", exact(F.col(value)).isNotNull().cast("bigint"))
-    r = running_aggregates(df, [key], [arrival],
-                           {"_n": Prefix("count"), "_k": Prefix("sum", "_has"), "_s": Prefix("sum", "_v")})
+    v, w = exact(F.col(value)), beyond(F.col(value))
+    df = df.withColumns({"_v": F.coalesce(v, F.lit(0)), "_w": w, "_has": (v.isNotNull() | w.isNotNull()).cast("bigint")})
+    # Sums before the row, and it added: a large value that is added does not blur what was before.
+    r = running_aggregates(df, [key], [arrival], {
+        "_n": Prefix("count"), "_k": Prefix("sum", "_has"), "_s": Prefix("sum", "_v"), "_r": Prefix("sum", "_w"), "_old": Prefix("sum", "_w", inclusive=False)})
     old_n, old_k = F.col("_n") - 1, F.col("_k") - F.col("_has")
-    old_s = F.col("_s").cast("decimal(34,8)") - F.col("_v")
+    old_s = (F.col("_s") - F.col("_v")).cast("decimal(38,8)")
     retract = F.when(old_n > 0, F.struct(F.lit("-").alias("op"), old_n.alias("cnt"),
-                                         avg_half_up(old_s, old_k).alias("avg_temp"),
+                                         avg_half_up(old_s, old_k, F.col("_old")).alias("avg_temp"),
                                          F.lit(0).alias("seq")))
     insert = F.struct(F.lit("+").alias("op"), F.col("_n").alias("cnt"),
-                      avg_half_up(F.col("_s"), F.col("_k")).alias("avg_temp"),
+                      avg_half_up(F.col("_s"), F.col("_k"), F.col("_r")).alias("avg_temp"),
                       F.lit(1).alias("seq"))
     ex = r.select(key, arrival, F.explode(F.array(retract, insert)).alias("_c"))
     return ex.where(F.col("_c").isNotNull()).select(key, arrival, "_c.op", "_c.cnt", "_c.avg_temp", "_c.seq")

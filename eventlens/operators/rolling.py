@@ -20,20 +20,34 @@ from eventlens.operators.prefix import Prefix, running_aggregates, with_range_bu
 
 def exact(value: Column) -> Column:
     """A numeric value as DECIMAL with eight places, whose sums do not depend on
-    the order; NaN, infinities and values of more than 16 digits before the
-    point are NULL."""
-    return value.try_cast("decimal(24,8)")
+    the order: exact up to 30 digits before the point. NaN, infinities and larger values are NULL."""
+    return value.try_cast("decimal(38,8)")
 
 
-def avg_half_up(total: Column, n: Column) -> Column:
+def beyond(value: Column) -> Column:
+    """The finite doubles that ``exact`` cannot hold (10^30 and more), NULL for all others."""
+    v = value.cast("double")
+    return F.when(exact(value).isNull() & ~F.isnan(v) & (F.abs(v) < float("inf")), v)
+
+
+def exact_sum(total: Column, rest: Column) -> Column:
+    """Sum as DOUBLE of an ``exact`` sum and the ``beyond`` sum of the same values."""
+    return F.when(total.isNull() & rest.isNull(), F.lit(None)).otherwise(F.coalesce(total.cast("double"), F.lit(0.0)) + F.coalesce(rest, F.lit(0.0)))
+
+
+def avg_half_up(total: Column, n: Column, rest: Column | None = None) -> Column:
     """Exact average of ``n`` values with the ``exact`` sum ``total``, rounded
     half-up to four places, as DOUBLE; NULL for no values. Whole part and rest are
-    divided apart, so no intermediate decimal is rounded."""
-    total, n = total.cast("decimal(34,8)"), n.cast("decimal(19,0)")
-    rest = F.pmod(total, n)
-    whole = F.call_function("div", total - rest, n)
-    places = F.call_function("div", rest * F.lit(20_000) + n, n * F.lit(2))
-    return F.when(n > 0, (whole.cast("double") * 10_000 + places) / 10_000)
+    divided apart, so no intermediate decimal is rounded. Averages of 10^13 and more, which a
+    DOUBLE does not hold to four places, and those with values ``beyond`` (their sum is ``rest``), are plain quotients."""
+    count = n.cast("decimal(19,0)")
+    over = F.pmod(total, count)
+    whole = F.call_function("div", total - over, count)
+    places = F.call_function("div", over * F.lit(20_000) + count, count * F.lit(2))
+    out = F.when(F.abs(total.cast("double")) < n * F.lit(1e13), (whole.cast("double") * 10_000 + places) / 10_000).otherwise(total.cast("double") / n)
+    if rest is not None:
+        out = F.when(rest.isNotNull(), exact_sum(total, rest) / n).otherwise(out)
+    return F.when(n > 0, out)
 
 
 def word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -45,16 +59,12 @@ def word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def rolling_sum(docs: DataFrame, text_col: str = "text", doc_col: str = "doc_id") -> DataFrame:
     """Running count of each word in arrival order (document, then position).
 
-    A document's positions of a word are gathered on the map side first, so one
-    row per distinct word of a document is shuffled and numbered, not one per
-    token; a position's count is the earlier documents' total plus its rank.
+    A token's count is a prefix count of its word over (document, position): one shuffle of the tokens, and range
+    buckets for words that many documents repeat.
     """
     words = tokenize_words(docs.select(doc_col, text_col), text_col, with_position=True)
-    held = words.groupBy("word", doc_col).agg(F.sort_array(F.collect_list("pos")).alias("_at"))
-    r = running_aggregates(held.withColumn("_n", F.size("_at").cast("bigint")), ["word"], [doc_col],
-                           {"_before": Prefix("sum", "_n", inclusive=False)})
-    return r.select(doc_col, "word", F.coalesce("_before", F.lit(0)).alias("_before"), F.posexplode("_at").alias("_k", "pos")).select(
-        doc_col, "pos", "word", (F.col("_before") + F.col("_k") + 1).alias("cnt"))
+    r = running_aggregates(words, ["word"], [doc_col, "pos"], {"cnt": Prefix("count")})
+    return r.select(doc_col, "pos", "word", "cnt")
 
 
 def rolling_count(df: DataFrame, key: str, arrival: str, name: str = "cnt") -> DataFrame:
@@ -117,16 +127,16 @@ def count_window(df: DataFrame, key: str, arrival: str, value: str, size: int =
     idx = _indexed(df, key, arrival)
     fires = F.filter(F.sequence(F.col("_idx"), F.col("_idx") + F.lit(size - 1)),
                      lambda j: F.pmod(j, F.lit(slide)) == 0)
-    ex = local_fan_out(idx.select(key, arrival, "_idx", exact(F.col(value)).alias("_v")), [key],
+    ex = local_fan_out(idx.select(key, arrival, "_idx", exact(F.col(value)).alias("_v"), beyond(F.col(value)).alias("_b")), [key],
                        F.transform(fires, lambda j: F.struct(j.alias("_t"))))
     g = ex.groupBy(key, BLK, F.col("_e._t").alias("n")).agg(
         F.max("_idx").alias("_last"),
         F.max_by(F.col(arrival), F.col("_idx")).alias(arrival),
         F.count(F.lit(1)).alias("cnt"),
-        F.sum("_v").alias("_s"), F.count("_v").alias("_k"))
+        F.sum("_v").alias("_s"), (F.count("_v") + F.count("_b")).alias("_k"), F.sum("_b").alias("_r"))
     return g.where(F.col("_last") == F.col("n")).select(
         key, F.col("n").cast("bigint").alias("n"), arrival, "cnt",
-        avg_half_up(F.col("_s"), F.col("_k")).alias("avg_temp"))
+        avg_half_up(F.col("_s"), F.col("_k"), F.col("_r")).alias("avg_temp"))
 
 
 def keyed_list(df: DataFrame, key: str, arrival: str, item: str) -> DataFrame:

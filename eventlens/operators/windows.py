@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.functions.time import interval_ms, ms_to_spec, window_end_ms
-from eventlens.operators.rolling import exact
+from eventlens.operators.rolling import beyond, exact, exact_sum
 
 # window ends per block (in units of the window size) for the pane strategy
 BLOCK_WINDOWS = 8
@@ -105,9 +105,9 @@ def window_min_by(df: DataFrame, time_col: str, size, keys, value: str, arrival:
 def window_sum_keep_first(df: DataFrame, time_col: str, size, keys, value: str, arrival: str,
                           carry=(), sum_col: str | None = None, end_col: str = "window_end") -> DataFrame:
     """sum(value) per (keys, tumbling window); the other fields are the first arrival's.
-    Floating values are summed exactly (eight places)."""
+    Floating values are summed exactly (eight places; those of 10^30 and more as doubles), others in their own type."""
     floating = df.schema[value].dataType.simpleString() in ("float", "double")
-    total = F.sum(exact(F.col(value))).cast("double") if floating else F.sum(value)
+    total = exact_sum(F.sum(exact(F.col(value))), F.sum(beyond(F.col(value)))) if floating else F.sum(value)
     first = F.min(F.struct(F.col(arrival), *[F.col(c) for c in carry])).alias("_f")
     g = df.groupBy(F.window(F.col(time_col), _spec(size)).alias("window"), *keys).agg(
         total.alias("_s"), first)

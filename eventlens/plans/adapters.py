@@ -20,6 +20,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Session setting: number of partitions that ``documents`` deals its rows to before they are tokenized.
+INPUT_PARTITIONS = "spark.eventlens.inputPartitions"
+
+
+def documents(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """The documents table. Tables of large files are read by many tasks as they are; for a table of one or few
+    row groups, ``partitions`` (or the setting ``spark.eventlens.inputPartitions``) deals the rows to that many
+    tasks, at the price of a shuffle of the texts."""
+    n = partitions or int(spark.conf.get(INPUT_PARTITIONS, "0"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.repartition(n) if n else docs
+
+
 def behaviour(events: DataFrame, pv_only: bool = False) -> DataFrame:
     """events → user behaviour: item = props.k, 'view' → 'pv', time in seconds.
 
@@ -118,11 +131,11 @@ def access_log_lines(events: DataFrame, pages: DataFrame) -> DataFrame:
 def broken_lines(records: DataFrame, fields: list, every: int = 17) -> DataFrame:
     """Records as comma-separated lines (``event_id``, ``value``); every 17th event's
     line lacks its first field, every other 19th has a word for its last."""
-    line = F.concat_ws(",", *[F.col(c).cast("string") for c in fields])
-    short = F.concat_ws(",", *[F.col(c).cast("string") for c in fields[1:]])
-    word = F.concat_ws(",", *[F.col(c).cast("string") for c in fields[:-1]], F.lit("soon"))
     e = F.col("event_id")
-    return records.select("event_id", F.when(e % every == 0, short).when(e % (every + 2) == 0, word).otherwise(line).alias("value"))
+    whole = F.array(*[F.col(c).cast("string") for c in fields])
+    cut = lambda x: F.when(e % every == 0, F.slice(x, 2, len(fields) - 1)).when(
+        e % (every + 2) == 0, F.array_append(F.slice(x, 1, len(fields) - 1), "soon")).otherwise(x)
+    return records.select("event_id", F.array_join(F.get(F.transform(F.array(whole), cut), F.lit(0)), ",").alias("value"))
 
 
 def arrivals(events: DataFrame, spread_s: int = 5400) -> DataFrame:

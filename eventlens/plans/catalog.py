@@ -123,12 +123,12 @@ def _readings(spark, sf):
 
 @query
 def word_count(spark, sf):
-    return R.word_count(A.table(spark, sf, "documents"))
+    return R.word_count(A.documents(spark, sf))
 
 
 @query
 def rolling_sum(spark, sf):
-    return R.rolling_sum(A.table(spark, sf, "documents"))
+    return R.rolling_sum(A.documents(spark, sf))
 
 
 @query
@@ -398,13 +398,12 @@ def static_filter(spark, sf):
 
 @query
 def field_lengths(spark, sf):
-    return TX.field_lengths(A.table(spark, sf, "documents").select("doc_id", "text"), "text", ",")
+    return TX.field_lengths(A.documents(spark, sf), "text", ",")
 
 
 @query
 def tokenize_words(spark, sf):
-    return TX.tokenize_words(A.table(spark, sf, "documents").select("doc_id", "text"), "text",
-                             with_position=True)
+    return TX.tokenize_words(A.documents(spark, sf), "text", with_position=True)
 
 
 @query
@@ -513,3 +512,37 @@ def map_state_sizes(spark, sf):
 def history_text(spark, sf):
     """Each reading with the five before it of its sensor, as text."""
     return R.keyed_history(_readings(spark, sf).select("id", "event_id", "temp_cents"), "id", "event_id", "temp_cents", 5)
+
+
+# --- file tables with bad records ------------------------------------------------
+
+from eventlens.session import checkpoint_dir  # noqa: E402
+from eventlens.sources import files as FI  # noqa: E402
+
+CSV_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, note string"
+
+
+def _csv_table(spark, sf) -> DataFrame:
+    """The events written as CSV lines, some of them broken (too few fields, a word for a number), and read as a table."""
+    import uuid
+    e = F.col("event_id")
+    note = F.concat(F.lit('"said ""'), F.replace("props", F.lit('"'), F.lit('""')), F.lit('"", twice"'))
+    text = lambda *cs: F.concat_ws(",", *[c.cast("string") for c in cs])
+    line = F.when(e % 17 == 0, text(e, F.col("user_id"))).when(e % 19 == 0, text(e, F.col("user_id"), F.col("event_type"), F.lit("soon"), F.lit("none"))).otherwise(
+        text(e, F.col("user_id"), F.col("event_type"), F.col("value"), note))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/eventlens-csv-{uuid.uuid4().hex}"
+    _events(spark, sf).select(line.alias("value")).write.text(path)
+    return FI.read_table(spark, path, CSV_SCHEMA)
+
+
+@query
+def csv_table_rows(spark, sf):
+    return FI.good_records(_csv_table(spark, sf))
+
+
+@query
+def csv_table_bad(spark, sf):
+    return FI.bad_records(_csv_table(spark, sf)).select("event_id", "line")
+
+
+from eventlens.plans import streams  # noqa: E402, F401

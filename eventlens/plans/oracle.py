@@ -492,3 +492,26 @@ SELECT CASE WHEN {SHORT} THEN concat_ws(',', {IP}, login_state, timestamp)
             ELSE concat_ws(',', user_id, {IP}, login_state, 'soon') END AS line
 FROM lg WHERE NOT ({GOOD})
 """
+
+CLOSED = "window_end <= (SELECT max(epoch_us(ts)) // 1000000 * 1000 FROM events WHERE event_type IN ('view', 'pv'))"
+SQL["stream_page_views_salted"] = f"SELECT * FROM ({SQL['page_views']}) WHERE {CLOSED}"
+SQL["stream_uv_bitmap"] = f"SELECT * FROM ({SQL['uv_bitmap']}) WHERE {CLOSED}"
+SQL["stream_unique_visitors"] = f"SELECT * FROM ({SQL['unique_visitors']}) WHERE {CLOSED}"
+SQL["stream_sliding_count"] = """
+WITH w AS (SELECT event_type, ((epoch_us(ts) // 1000000 // 600) + 1 + k) * 600000 AS window_end FROM events, range(6) r(k))
+SELECT event_type, window_end, count(*) AS cnt FROM w
+WHERE window_end <= (SELECT max(epoch_us(ts)) // 1000000 * 1000 FROM events) GROUP BY event_type, window_end
+"""
+SQL["stream_sequence"] = "SELECT event_id, user_id, row_number() OVER (ORDER BY event_id) AS seq FROM events"
+SQL["stream_routes"] = f"""
+WITH {READ} SELECT event_id, id, temperature, CASE WHEN temperature > 30 THEN 'high' ELSE 'low' END AS route FROM rd WHERE temperature IS NOT NULL
+"""
+
+# The record as the reader parses it: a line of too few fields is padded with NULLs, a field of the wrong type is NULL.
+CSV = """rec AS (
+  SELECT event_id, user_id, event_type, value, props, event_id % 17 = 0 AS short, event_id % 17 <> 0 AND event_id % 19 = 0 AS word FROM events)"""
+SQL["csv_table_rows"] = f"WITH {CSV} SELECT event_id, user_id, event_type, value, 'said \"' || props || '\", twice' AS note FROM rec WHERE NOT short AND NOT word"
+SQL["csv_table_bad"] = f"""
+WITH {CSV} SELECT event_id, CASE WHEN short THEN event_id || ',' || user_id ELSE event_id || ',' || user_id || ',' || event_type || ',soon,none' END AS line
+FROM rec WHERE short OR word
+"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def from_rows(spark: SparkSession, rows, schema: str, arrival: str | None = None) -> DataFrame:
@@ -40,3 +41,30 @@ def register_csv(spark: SparkSession, name: str, path: str, schema: str, streami
     df = r.schema(schema).option("header", str(header).lower()).option("mode", "PERMISSIVE").csv(path)
     df.createOrReplaceTempView(name)
     return df
+
+
+#: Column that takes the whole line of a record that does not fit its schema.
+CORRUPT = "_corrupt_record"
+
+
+def read_table(spark: SparkSession, path: str, schema: str, streaming: bool = False, header: str | None = None, **options) -> DataFrame:
+    """Lines of CSV files as a table of a declared schema, batch or streaming, with ``_corrupt_record``: NULL where a
+    line fits the schema, else the line itself (too few or many fields, a field of another type). Quoted fields may
+    hold separators and doubled quotes, not line ends. ``header`` is a line to skip wherever it stands.
+
+    Spark's file reader judges a line by the columns that a query happens to read; here it is parsed once, whole:
+    the record comes out of a generator, so that neither filters nor unread columns change it.
+    """
+    lines = read_lines(spark, path, streaming)
+    if header is not None:
+        lines = lines.where(F.col("value") != header)
+    parse = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "quote": '"', "escape": '"', **options}
+    return lines.select(F.explode(F.array(F.from_csv("value", f"{schema}, {CORRUPT} string", parse))).alias("r")).select("r.*")
+
+
+def good_records(table: DataFrame) -> DataFrame:
+    return table.where(f"{CORRUPT} IS NULL").drop(CORRUPT)
+
+
+def bad_records(table: DataFrame) -> DataFrame:
+    return table.where(f"{CORRUPT} IS NOT NULL").withColumnRenamed(CORRUPT, "line")

@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventlens.functions.hashing import UV_BITMAP_BITS, UV_HASH_SEED, poly_hash, salt
 from eventlens.functions.time import interval_ms, ms_to_spec, window_end_ms
 from eventlens.operators.topn import top_n_per_group
 
@@ -53,7 +54,7 @@ def _slot(path: str, epoch: int) -> str:
     return f"{path.rstrip('/')}/slot={epoch % 2}"
 
 
-def _read_slot(spark, path: str, epoch: int, schema) -> DataFrame | None:
+def read_slot(spark, path: str, epoch: int, schema) -> DataFrame | None:
     """What an earlier batch wrote; None only if there is no such folder yet."""
     try:
         return spark.read.schema(schema).parquet(_slot(path, epoch))
@@ -63,6 +64,11 @@ def _read_slot(spark, path: str, epoch: int, schema) -> DataFrame | None:
         return None
 
 
+def write_slot(spark, path: str, epoch: int, rows: list, schema: str) -> None:
+    """A few rows of state after a batch; the other slot keeps what the batch itself began with."""
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(_slot(path, epoch))
+
+
 def top_n_update_writer(n: int, keys, count_cols, order_cols, sink, state_path: str, open_for, end_col: str = "window_end"):
     """foreachBatch function for ``update`` mode: the last count per (window,
     keys) wins, and every window that a micro-batch changes is ranked anew over
@@ -79,7 +85,7 @@ def top_n_update_writer(n: int, keys, count_cols, order_cols, sink, state_path:
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.select(*group, *count_cols)
-        old = _read_slot(spark, state_path, epoch_id + 1, rows.withColumn("epoch", F.lit(0).cast("long")).schema)
+        old = read_slot(spark, state_path, epoch_id + 1, rows.withColumn("epoch", F.lit(0).cast("long")).schema)
         both = rows.withColumn("_new", F.lit(1))
         if old is not None:
             both = both.unionByName(old.where(F.col("epoch") == epoch_id - 1).drop("epoch").withColumn("_new", F.lit(0)))
@@ -126,7 +132,7 @@ def late_router(ts_ms: str, size, delay, allowed_lateness, on_time_sink, late_si
 
     def route(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        kept = _read_slot(spark, state_path, epoch_id + 1, "epoch long, max_ts long")
+        kept = read_slot(spark, state_path, epoch_id + 1, "epoch long, max_ts long")
         row = kept.where(F.col("epoch") < epoch_id).first() if kept is not None else None
         prev = row.max_ts if row else None
         end = (F.floor(F.col(ts_ms) / size_ms) + 1).cast("bigint") * size_ms
@@ -139,6 +145,31 @@ def late_router(ts_ms: str, size, delay, allowed_lateness, on_time_sink, late_si
         finally:
             marked.unpersist()
         known = [int(x) for x in (prev, newest) if x is not None]
-        spark.createDataFrame([(epoch_id, max(known) if known else None)], "epoch long, max_ts long") \
-            .coalesce(1).write.mode("overwrite").parquet(_slot(state_path, epoch_id))
+        write_slot(spark, state_path, epoch_id, [(epoch_id, max(known) if known else None)], "epoch long, max_ts long")
     return route
+
+
+def _per_window(parts: DataFrame, size, value, name: str) -> DataFrame:
+    """Second stage of a chained aggregation: partial results of a window, summed under the same watermark."""
+    w = F.window(F.window_time("window"), ms_to_spec(interval_ms(size)))
+    return parts.groupBy(w.alias("window")).agg(F.sum(value).cast("bigint").alias(name)).select(window_end_ms("window").alias("window_end"), name)
+
+
+def salted_count_stream(df: DataFrame, salt_on: str, salts: int = 10, size="1 hour", ts: str = "ts", delay="0 seconds",
+                        count_col: str = "cnt") -> DataFrame:
+    """Rows per window in two chained stages: counts of (window, salt), which spread a window over tasks and
+    state partitions, then their sum, once per closed window."""
+    w = F.window(F.col(ts), ms_to_spec(interval_ms(size)))
+    parts = with_watermark(df, ts, delay).groupBy(w.alias("window"), salt(F.col(salt_on), salts).alias("salt")).agg(F.count(F.lit(1)).alias("_n"))
+    return _per_window(parts, size, F.col("_n"), count_col)
+
+
+def uv_bitmap_stream(df: DataFrame, user: str = "user_id", size="1 hour", ts: str = "ts", delay="0 seconds", seed: int = UV_HASH_SEED,
+                     bits: int = UV_BITMAP_BITS) -> DataFrame:
+    """Visitors per window by a bitmap of hashed users, in two chained stages: state is one chunk of 32,768 bits per
+    (window, bitmap bucket) that was touched, so that a hot window spreads; the chunks' counts are then summed."""
+    w = F.window(F.col(ts), ms_to_spec(interval_ms(size)))
+    hashed = with_watermark(df, ts, delay).select(F.col(ts), poly_hash(F.col(user), seed, bits).alias("h"))
+    chunks = hashed.groupBy(w.alias("window"), F.bitmap_bucket_number("h").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bits"))
+    return _per_window(chunks, size, F.bitmap_count("bits"), "uv")

@@ -23,9 +23,9 @@ _UNITS = 10 ** 8
 
 
 def _exact(value) -> Decimal | None:
-    """As ``rolling.exact``: eight places, or None."""
+    """As ``rolling.exact``: eight places, or None (then the value counts as a row only)."""
     v = None if value is None else Decimal(str(value))
-    if v is None or not v.is_finite() or abs(v) >= 10 ** 16:
+    if v is None or not v.is_finite() or abs(v) >= 10 ** 30:
         return None
     return v.quantize(Decimal(1) / _UNITS, rounding=ROUND_HALF_UP)
 
@@ -230,7 +230,7 @@ class ChangelogProcessor(_ArrivalOrdered):
     OUTPUT = "id string, event_id long, op string, cnt long, avg_temp double, seq int"
 
     def init(self, handle):
-        self.acc = handle.getValueState("acc", "n long, k long, s decimal(34,8)")
+        self.acc = handle.getValueState("acc", "n long, k long, s decimal(38,8)")
 
     def step(self, key, r):
         n, k, s = self.acc.get() if self.acc.exists() else (0, 0, Decimal(0))
