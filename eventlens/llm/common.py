@@ -16,8 +16,8 @@ from eventlens.session import checkpoint_dir
 
 #: Text bytes that a task turns into arrays at a time (one longer text is taken alone).
 SLICE_BYTES = 1 << 20
-#: Rows of an Arrow batch: bounds what a Python worker holds of long texts.
-ARROW_ROWS = 512
+#: Rows and bytes of an Arrow batch: bounds what a Python worker holds of long texts.
+ARROW_ROWS, ARROW_BYTES = 512, 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,8 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of few rows: texts have no length limit."""
+    """Arrow batches of few rows and bytes (one longer row is a batch): texts have no length limit. All operators
+    ask for the same, so it does not matter which one's plan was built last."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -44,6 +46,14 @@ def shielded(df: DataFrame, names: set[str]) -> tuple[DataFrame, dict[str, str]]
     return df.withColumnsRenamed(away), {v: k for k, v in away.items()}
 
 
+def release() -> None:
+    """Gives freed memory back to the system."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    pa.default_memory_pool().release_unused()
+    if trim:
+        trim(0)
+
+
 def per_task(function: Callable) -> Callable:
     """A batch function that, when its task ends, gives freed memory back to the
     system: Spark keeps Python workers for later tasks, beside a growing heap."""
@@ -51,10 +61,7 @@ def per_task(function: Callable) -> Callable:
         try:
             yield from function(batches)
         finally:
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            pa.default_memory_pool().release_unused()
-            if trim:
-                trim(0)
+            release()
     return run
 
 

@@ -144,7 +144,7 @@ def _verify(batches):
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id",
              item_text: str = "text", short_items: bool = False) -> DataFrame:
-    """Per contaminated row: ``id``, ``text_hash``, smallest ``item_id``, ``first_word`` and ``matched`` of its overlaps."""
+    """Per contaminated row: ``id``, ``text_hash`` and one overlap: ``item_id`` (the smallest), ``first_word`` (its first place) and ``matched``."""
     spark = docs.sparkSession
     small_batches(spark)
     kinds = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()
@@ -163,7 +163,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     # By shuffle, so that finding seeds and comparing words are stages, and Python workers, of their own.
     found = (seeds.join(items.hint("merge"), "seed").select("id", "text_hash", "item_id", "start", "around", "item_around")
              .mapInArrow(per_task(_verify), f"id {kinds[0]}, text_hash long, item_id {kinds[1]}, first_word long, matched long"))
-    return found.groupBy("id", "text_hash").agg(F.min("item_id").alias("item_id"), F.min("first_word").alias("first_word"), F.max("matched").alias("matched"))
+    # One overlap a row, whole: of the smallest item, the first place, the best match there.
+    best = F.min(F.struct("item_id", "first_word", (-F.col("matched")).alias("missed")))
+    return found.groupBy("id", "text_hash").agg(best.alias("o")).select("id", "text_hash", "o.item_id", "o.first_word", (-F.col("o.missed")).alias("matched"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", short_items: bool = False) -> DataFrame:

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import per_task, table, written
+from eventlens.llm.common import per_task, small_batches, table, written
 
 FAN, LEVELS = 16, 3
 BLOCK = FAN ** LEVELS
@@ -237,6 +237,7 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", group: str = "source", fie
     the row's proof, ``verified`` whether that is the root. With ``proofs`` there is also ``proof``: left and
     right siblings in turn, lowest level first.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     own = leaf([F.col(c) for c in fields])
     claim = F.lit(None).cast("string") if claimed is None else claimed

@@ -1,20 +1,21 @@
 """Cost-balanced packing of documents into token sequences; no shuffle.
 
 Each task packs blocks of its own documents. Whole pieces of ``size`` tokens
-leave as sequences of their own. The rests are sorted from long to short; each
-goes to the sequence of the lowest estimated cost (``linear`` a token plus
-``quadratic`` a squared piece length, which is what attention inside the piece
-costs) that has room for it. If none of the cheapest ones has room for all of
-it, the rest is cut at the room of the cheapest. So every sequence but the tail
+leave as sequences of their own. The rests are sorted from long to short (equal
+ones as they came); each goes to the sequence of the lowest estimated cost
+(``linear`` a token plus ``quadratic`` a squared piece length, which is what
+attention inside the piece costs; of equal costs, the first) that has room for all of it. Only if none has,
+the rest is cut at the room of the cheapest. So every sequence but the tail
 of a block is full; the tail (under ``size`` tokens) goes into sequences of
-decreasing powers of two, which take no padding.
+decreasing powers of two, which take no padding. Costs balance within a block.
 
 A block's size is bounded in tokens, so memory is bounded by it and by the
 longest document. Sequence ids are the partition number and a running number
 there; a task that runs again gives the same ids.
 
-Defined results: null or empty text is one end token; repeated rows are packed
-one by one; a null id is kept as null; an empty table gives no rows.
+Defined results: null or empty text is one end token; a very long text is one document, whole in
+memory; repeated rows are packed one by one; a null id is kept as null; other columns, also of clashing
+names, are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,8 +32,40 @@ from pyspark.sql import functions as F
 from eventlens.llm import bpe
 from eventlens.llm.common import per_task, small_batches, table
 
-#: How many of the cheapest sequences are asked for room before a rest is cut.
-LOOK = 8
+
+class Rooms:
+    """Sequences by their room: a heap by cost for every room, and the cheapest of every range of rooms."""
+
+    NONE = (float("inf"), -1, 0)
+
+    def __init__(self, size: int):
+        self.half = 1 << size.bit_length()
+        self.heaps: dict[int, list[tuple[float, int, int]]] = {}
+        self.best = [self.NONE] * (2 * self.half)
+
+    def _renew(self, room: int) -> None:
+        at = self.half + room
+        self.best[at] = self.heaps[room][0] if self.heaps[room] else self.NONE
+        while at > 1:
+            at >>= 1
+            self.best[at] = min(self.best[2 * at], self.best[2 * at + 1])
+
+    def put(self, cost: float, s: int, room: int) -> None:
+        heapq.heappush(self.heaps.setdefault(room, []), (cost, s, room))
+        self._renew(room)
+
+    def take(self, least: int) -> tuple[float, int, int] | None:
+        """The cheapest sequence with a room of ``least`` or more; it leaves."""
+        out, lo, hi = self.NONE, self.half + least, 2 * self.half
+        while lo < hi:
+            if lo & 1:
+                out, lo = min(out, self.best[lo]), lo + 1
+            lo, hi = lo >> 1, hi >> 1
+        if out[1] < 0:
+            return None
+        heapq.heappop(self.heaps[out[2]])
+        self._renew(out[2])
+        return out
 
 
 def balance(lengths: list[int], size: int, linear: float, quadratic: float) -> list[list[tuple[int, int, int]]]:
@@ -41,34 +74,25 @@ def balance(lengths: list[int], size: int, linear: float, quadratic: float) -> l
     All sequences are full but the last, which hold the tail in powers of two.
     """
     full = sum(lengths) // size
-    room, held = [size] * full, [[] for _ in range(full)]
-    heap = [(0.0, s) for s in range(full)]
+    held: list[list[tuple[int, int, int]]] = [[] for _ in range(full)]
+    rooms = Rooms(size)
+    if full:
+        rooms.heaps[size] = [(0.0, s, size) for s in range(full)]
+        rooms._renew(size)
     tail: list[tuple[int, int, int]] = []
 
-    def put(cost: float, s: int, item: int, start: int, n: int) -> None:
-        held[s].append((item, start, n))
-        room[s] -= n
-        if room[s]:
-            heapq.heappush(heap, (cost + linear * n + quadratic * n * n, s))
-
     for item in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
         start, left = 0, lengths[item]
         while left:
-            if not heap:
+            found = rooms.take(left) or rooms.take(1)
+            if not found:
                 tail.append((item, start, left))
                 break
-            tried = []
-            while heap and len(tried) < LOOK:
-                cost, s = heapq.heappop(heap)
-                if room[s] >= left:
-                    break
-                tried.append((cost, s))
-            else:
-                cost, s = tried.pop(0)
-            for x in tried:
-                heapq.heappush(heap, x)
-            n = min(left, room[s])
-            put(cost, s, item, start, n)
+            cost, s, room = found
+            n = min(left, room)
+            held[s].append((item, start, n))
+            if room > n:
+                rooms.put(cost + linear * n + quadratic * n * n, s, room - n)
             start, left = start + n, left - n
     rest, free = sum(n for *_, n in tail), 0
     for item, start, n in tail:
@@ -83,8 +107,8 @@ def balance(lengths: list[int], size: int, linear: float, quadratic: float) -> l
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", tokenizer: str = "byte_bpe_50k.json", size: int = 1024,
-         end_id: int = 0, linear: float = 1.0, quadratic: float = 1 / 1024, block_tokens: int = 2_000_000) -> DataFrame:
-    """Per piece: id, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``, ``ids`` (binary)."""
+         end_id: int = 0, linear: float = 1.0, quadratic: float = 1 / 1024, block_tokens: int = 2_000_000, with_ids: bool = True) -> DataFrame:
+    """Per piece: id, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset`` and, if asked for, ``ids`` (binary)."""
     small_batches(docs.sparkSession)
     end = bpe.packed([end_id])
     kind = docs.schema[id_col].dataType.simpleString()
@@ -118,8 +142,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", tokenizer:
                 cut = [ids[4 * s:4 * (s + n)] for _, ids, s, n, *_ in part]
                 cols = [pa.array([r[0] for r in part], id_type), *(pa.array([r[i] for r in part], pa.int64()) for i in (2, 3)),
                         pa.array([zlib.crc32(x) for x in cut], pa.int64()), *(pa.array([r[i] for r in part], pa.int64()) for i in (4, 5, 6)),
-                        pa.array(cut, pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
+                        *([pa.array(cut, pa.binary())] if with_ids else [])]
+                yield pa.RecordBatch.from_arrays(cols, names=["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"][:len(cols)])
 
         for batch in batches:
             id_type = batch.column(0).type
@@ -134,9 +158,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", tokenizer:
             yield from emit(block)
 
     out = docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"))
-    schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
+    schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    schema += ", ids binary" if with_ids else ""
     return out.mapInArrow(per_task(packed), schema).withColumnRenamed("id", id_col)
 
 
 def op3_packing(spark, sf_dir) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents")).drop("ids")
+    return pack(table(spark, sf_dir, "documents"), with_ids=False)
