@@ -7,8 +7,11 @@ return the columns of ``documents``. Rows that a stage keeps keep all columns;
 
 Defined results: documents without a letter (or text) leave with the first
 stage; a document whose every line went as boilerplate leaves with the second,
-while one that was empty before stays; the rest is as the operators say. An
-empty table stays empty.
+while one that was empty before stays. Rows of a null id are documents like
+others: they keep all their lines (and lend none), and as near duplicates they
+give way to rows with an id. Rows of one id are judged by their texts; of equal
+rows one stays. Other columns, also of clashing names, pass through to the last
+stage. The rest is as the operators say. An empty table stays empty.
 """
 
 from __future__ import annotations

@@ -26,14 +26,13 @@ from __future__ import annotations
 
 import math
 import os
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlens.functions.time import to_col
-from eventlens.session import checkpoint_dir
+from eventlens.session import materialized
 
 ROWS_PER_BUCKET = 4_000_000  # ≈ 128–256 MB of rows per (key, bucket) task
 KEYLESS_ROWS = 8192  # rows without a key that one task may take
@@ -99,10 +98,8 @@ def with_range_bucket(df: DataFrame, order, rows_per_bucket: int | None = None,
     if buckets == 1:
         return df.select("*", F.lit(0).alias(BUCKET, metadata=meta))
     d = df.repartitionByRange(buckets, *[to_col(o) for o in order]).withColumn(BUCKET, F.spark_partition_id())
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/eventlens-buckets-{uuid.uuid4().hex}"
-    d.write.parquet(path)
     # The table has no NULL bucket; files read back as nullable.
-    out = df.sparkSession.read.schema(d.schema).parquet(path)
+    out = materialized(d)
     return out.withColumn(BUCKET, F.coalesce(BUCKET, F.lit(0))).withMetadata(BUCKET, meta)
 
 

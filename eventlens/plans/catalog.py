@@ -516,7 +516,7 @@ def history_text(spark, sf):
 
 # --- file tables with bad records ------------------------------------------------
 
-from eventlens.session import checkpoint_dir  # noqa: E402
+from eventlens.session import run_folder  # noqa: E402
 from eventlens.sources import files as FI  # noqa: E402
 
 CSV_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, note string"
@@ -530,7 +530,7 @@ def _csv_table(spark, sf) -> DataFrame:
     text = lambda *cs: F.concat_ws(",", *[c.cast("string") for c in cs])
     line = F.when(e % 17 == 0, text(e, F.col("user_id"))).when(e % 19 == 0, text(e, F.col("user_id"), F.col("event_type"), F.lit("soon"), F.lit("none"))).otherwise(
         text(e, F.col("user_id"), F.col("event_type"), F.col("value"), note))
-    path = f"{checkpoint_dir(spark).rstrip('/')}/eventlens-csv-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/csv-{uuid.uuid4().hex}"
     _events(spark, sf).select(line.alias("value")).write.text(path)
     return FI.read_table(spark, path, CSV_SCHEMA)
 

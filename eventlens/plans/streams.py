@@ -1,14 +1,13 @@
 """Registered queries that run a stream over the events table and return what its sink holds.
 
 The table is the stream's source (Parquet files); a query runs until all of it
-is processed, in a run folder of its own below the checkpoint folder, and its
+is processed, in a folder of its own below the run folder, and its
 result is read back. Append-mode windows come out once the watermark has passed them: those that the
 last event has closed.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from eventlens.functions.time import epoch_s
 from eventlens.plans.adapters import table
 from eventlens.plans.catalog import query
-from eventlens.session import checkpoint_dir
+from eventlens.session import run_folder
 from eventlens.streaming import forms, sinks
 from eventlens.streaming.runner import run_stream
 
@@ -33,7 +32,7 @@ def _views(spark, sf) -> DataFrame:
 
 
 def _run(spark) -> str:
-    return os.path.join(checkpoint_dir(spark), "runs", uuid.uuid4().hex)
+    return f"{run_folder(spark)}/run-{uuid.uuid4().hex}"
 
 
 def _closed_windows(out: DataFrame) -> DataFrame:

@@ -73,8 +73,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Folder of the application's intermediate tables in the shared folder; removed when the application ends."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/eventlens-{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return folder
+
+
 def materialized(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once for all that reads it, and safe from lost executors."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/eventlens-table-{uuid.uuid4().hex}"
+    """``df`` as a table in the run folder: computed once for all that reads it, compressed, and safe from lost executors."""
+    path = f"{run_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -113,4 +113,4 @@ def test_map_state_over_time(spark, buckets):
 def test_key_less_prefix_is_dealt_over_tasks(spark):
     rows = spark.range(20_000).select(F.col("id").alias("at"))
     seq = R.global_sequence(rows, "at")
-    assert "eventlens-buckets-" in seq._jdf.queryExecution().executedPlan().toString() and seq.where("seq != at + 1").count() == 0
+    assert "/eventlens-local" in seq._jdf.queryExecution().executedPlan().toString() and seq.where("seq != at + 1").count() == 0
