@@ -10,12 +10,12 @@ chosen and routed by content:
    several documents route a document's windows to the smallest document that
    has the gram: the reference. Copies of a whole word sequence are found by a
    fingerprint and need no routing.
-2. Stretches of windows meet their reference by a join. The suffix automata of
-   the reference's shards (``SHARD`` words, overlapping by a window) are built
-   once for all the stretches that follow one another in a task, and a stretch
-   streams through them: wherever the matching statistic reaches ``WINDOW``,
-   the window is a repeat. A reference with very many stretches is split over
-   tasks by the adaptive skew join.
+2. Stretches of windows meet their reference in a task, sorted behind it. The
+   suffix automata of the reference's shards (``SHARD`` words, overlapping by a
+   window) are built once, and the stretches stream through them: wherever the
+   matching statistic reaches ``WINDOW``, the window is a repeat. A reference
+   with very many stretches is dealt over several tasks, each of which gets its
+   text once.
 3. A window that its reference lacks, though the reference has its gram, may
    still repeat another smaller document. All documents that share such a
    window send it here, so grouping these by a 128-bit hash decides them.
@@ -41,6 +41,8 @@ from pyspark.sql import functions as F
 from eventlens.llm.common import mix, per_task, slices, small_batches, table, words, written
 
 WINDOW, GRAM, SHARD = 50, 25, 20_000
+#: Routes to one reference that one task takes, about.
+ROUTES = 8192
 _BASE = 0xD6E8FEB86659FD93
 
 
@@ -146,16 +148,17 @@ def _sign(batches):
 
 
 def _stretches(batches):
-    """Texts with their routes (gram, reference) to runs of windows with one reference."""
+    """Texts with their routes (gram, reference, tasks of the reference) to runs of windows with one reference."""
     for batch in batches:
         for part in slices(batch, "text"):
             w = words(part.column("text"))
-            at, ref, start, text = [], [], [], []
+            at, ref, task, start, text = [], [], [], [], []
             for i in range(part.num_rows):
                 routes = part.column("routes")[i].values
-                gram, to = (routes.field(k).to_numpy() for k in (0, 1))
+                gram, to, tasks = (routes.field(k).to_numpy() for k in (0, 1, 2))
                 order = np.argsort(gram)
-                gram, to = gram[order], to[order]
+                gram, to, tasks = gram[order], to[order], tasks[order]
+                own = part.column("text_hash")[i].as_py()
                 chosen = selected(w.of(i)).view(np.int64)
                 place = np.minimum(np.searchsorted(gram, chosen), gram.size - 1)
                 hit = gram[place] == chosen
@@ -166,31 +169,33 @@ def _stretches(batches):
                         lo, hi = w.starts[w.bounds[i] + s], w.ends[w.bounds[i] + e - 1 + WINDOW - 1]
                         at.append(i)
                         ref.append(int(goal[s]))
+                        task.append((own + s) % int(tasks[place[s]]))
                         start.append(s)
                         text.append(w.data[lo:hi].tobytes())
             take = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays([part.column("id").take(take), part.column("text_hash").take(take), pa.array(ref, pa.int64()),
-                                              pa.array(start, pa.int64()), pa.array(text, pa.binary()).cast(pa.string())],
-                                             names=["id", "text_hash", "ref", "start", "stretch"])
+                                              pa.array(task, pa.int64()), pa.array(start, pa.int64()), pa.array(text, pa.binary()).cast(pa.string())],
+                                             names=["id", "text_hash", "ref", "task", "start", "words"])
 
 
 def _match(batches):
-    """Stretches with their reference text to spans of repeats, and to open windows with their hash."""
+    """A reference's texts (no start), then its stretches, to spans of repeats, and to open windows with their hash."""
     held, automata = None, []
     for batch in batches:
         rows = []
-        for part in slices(batch, "stretch"):
-            w = words(part.column("stretch"))
-            refs, hashes = (part.column(k).to_pylist() for k in ("ref", "ref_hash"))
+        for part in slices(batch, "words"):
+            w = words(part.column("words"))
+            keys = zip(part.column("ref").to_pylist(), part.column("task").to_pylist(), strict=True)
             ids, texts, starts = (part.column(k).to_pylist() for k in ("id", "text_hash", "start"))
-            for i in range(part.num_rows):
-                if held != (refs[i], hashes[i]):
-                    held = refs[i], hashes[i]
-                    own = words(part.column("ref_text").slice(i, 1)).texts(0)
-                    automata = [SuffixAutomaton(own[at:at + SHARD]) for at in range(0, max(1, len(own) - WINDOW + 1), SHARD - WINDOW + 1)]
+            for i, key in enumerate(keys):
                 seq = w.texts(i)
-                found = automata[0].repeats(seq, WINDOW)
-                for a in automata[1:]:
+                if held != key:
+                    held, automata = key, []
+                if starts[i] is None:
+                    automata += [SuffixAutomaton(seq[at:at + SHARD]) for at in range(0, max(1, len(seq) - WINDOW + 1), SHARD - WINDOW + 1)]
+                    continue
+                found = np.zeros(len(seq) - WINDOW + 1, bool)
+                for a in automata:
                     found |= a.repeats(seq, WINDOW)
                 edge = np.flatnonzero(np.diff(found.astype(np.int8), prepend=0, append=0))
                 for s, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
@@ -232,21 +237,24 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     copies = long_ones.join(firsts, ["f1", "f2"]).select("id", "text_hash", "n", (F.col("id") != F.col("rep")).alias("copy"))
 
     grams = long_ones.select("id", "text_hash", F.explode("grams").alias("gram"))
-    shared = grams.groupBy("gram").agg(F.min("id").alias("ref"), F.max("id").alias("z")).where("ref != z").select("gram", "ref")
+    shared = grams.groupBy("gram").agg(F.min("id").alias("ref"), F.max("id").alias("z"), F.count("*").alias("n")).where("ref != z")
+    loads = shared.groupBy("ref").agg(F.ceil(F.sum("n") / ROUTES).alias("tasks"))
+    shared = shared.join(loads, "ref").select("gram", "ref", "tasks")
     routes = (grams.join(shared, "gram").where("id != ref")
               .join(copies.where("not copy").select("id", "text_hash").distinct(), ["id", "text_hash"])
-              .groupBy("id", "text_hash").agg(F.collect_set(F.struct("gram", "ref")).alias("routes")))
+              .groupBy("id", "text_hash").agg(F.collect_set(F.struct("gram", "ref", "tasks")).alias("routes")))
     routes = written(routes)
-    refs = routes.select(F.explode("routes.ref").alias("id")).distinct()
-    wanted = (routes.select("id").unionByName(refs)).distinct()
+    refs = routes.select(F.explode("routes").alias("r")).select(F.col("r.ref").alias("id"), "r.tasks").distinct()
+    wanted = (routes.select("id").unionByName(refs.select("id"))).distinct()
     texts = written(rows.join(wanted, "id", "left_semi").dropDuplicates(["id", "text_hash"]))
 
     stretches = texts.join(routes, ["id", "text_hash"]).select("id", "text_hash", "text", "routes").mapInArrow(
-        per_task(_stretches), "id long, text_hash long, ref long, start long, stretch string")
-    ref_texts = texts.select(F.col("id").alias("ref"), F.col("text_hash").alias("ref_hash"), F.col("text").alias("ref_text"))
-    met = stretches.join(ref_texts, "ref").sortWithinPartitions("ref", "ref_hash")
-    found = written(met.select("id", "text_hash", "ref", "ref_hash", "start", "stretch", "ref_text").mapInArrow(
-        per_task(_match), "id long, text_hash long, first long, last long, u1 long, u2 long"))
+        per_task(_stretches), "id long, text_hash long, ref long, task long, start long, words string")
+    none = F.lit(None).cast("long")
+    ref_texts = texts.join(refs, "id").select("id", "text_hash", F.col("id").alias("ref"), F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"),
+                                              none.alias("start"), F.col("text").alias("words"))
+    met = ref_texts.unionByName(stretches).repartition("ref", "task").sortWithinPartitions("ref", "task", "start")
+    found = written(met.mapInArrow(per_task(_match), "id long, text_hash long, first long, last long, u1 long, u2 long"))
     open_ones = found.where("u1 is not null")
     shared = open_ones.groupBy("u1", "u2").agg(F.min("id").alias("m"), F.max("id").alias("z")).where("m != z")
     decided = open_ones.join(shared, ["u1", "u2"]).where("id != m")
