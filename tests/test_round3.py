@@ -114,3 +114,46 @@ def test_key_less_prefix_is_dealt_over_tasks(spark):
     rows = spark.range(20_000).select(F.col("id").alias("at"))
     seq = R.global_sequence(rows, "at")
     assert "/eventlens-local" in seq._jdf.queryExecution().executedPlan().toString() and seq.where("seq != at + 1").count() == 0
+
+
+def test_sums_and_averages_of_large_values(spark):
+    """No value leaves a sum: long integers are exact, doubles of any size count."""
+    from eventlens.operators import tables as TB
+    from eventlens.operators import windows as W
+    longs = [123456789012345678, 123456789012345679, -5, None, 999999999999999999]
+    df = spark.createDataFrame([("s", v, i, float(i)) for i, v in enumerate(longs)], "id string, temperature long, at long, x double").withColumn("ts", F.timestamp_seconds("at"))
+    known = [v for v in longs if v is not None]
+    for f in (TB.sensor_stats(df), TB.sensor_stats_sql(spark, df)):
+        r = f.first()
+        assert r.cnt == 5 and r.avg_temp == pytest.approx(sum(known) / len(known), rel=1e-15)
+    w = R.count_window(df, "id", "at", "temperature", size=5, slide=1).orderBy("n").collect()
+    assert [x.avg_temp for x in w] == pytest.approx([sum(known[:k]) / k for k in (1, 2, 3, 3, 4)], rel=1e-15)
+    kept = W.window_sum_keep_first(df, "ts", "1 hour", ["id"], "temperature", "at").first()
+    assert kept.temperature == sum(known)
+    for values, total in (([1e20, 2.5, None, float("nan")], 1e20 + 2.5), ([1e300, 1e300, 1.0], 2e300), ([1e31, 0.25], 1e31), ([0.1] * 10, 1.0)):
+        d = spark.createDataFrame([("s", v, i) for i, v in enumerate(values)], "id string, temperature double, at long").withColumn("ts", F.timestamp_seconds("at"))
+        n = sum(v is not None and v == v for v in values)
+        assert TB.sensor_stats(d).first().avg_temp == pytest.approx(total / n, rel=1e-12)
+        assert TB.sensor_stats_sql(spark, d).first().avg_temp == pytest.approx(total / n, rel=1e-12)
+        assert W.window_sum_keep_first(d, "ts", "1 hour", ["id"], "temperature", "at").first().temperature == pytest.approx(total, rel=1e-12)
+        last = C.changelog_count_avg(d, "id", "at", "temperature").where("op = '+'").orderBy(F.desc("at")).first()
+        assert last.cnt == len(values) and last.avg_temp == pytest.approx(total / n, rel=1e-12)
+
+
+def test_lines_are_parsed_once(spark):
+    import __spark_entry__ as E
+    p = E.queries()["parse_behavior_lines"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("get_json_object") <= 2 and p.count("split(") == 1
+
+
+def test_tokens_are_not_gathered(spark):
+    import __spark_entry__ as E
+    p = E.queries()["rolling_sum"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in p
+
+
+def test_inputs_are_dealt_only_when_asked(spark):
+    from eventlens.plans import adapters as A
+    plain = A.documents(spark, "/root/testdata/sf0.001")
+    assert "RoundRobin" not in plain._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning(6)" in A.documents(spark, "/root/testdata/sf0.001", 6)._jdf.queryExecution().executedPlan().toString()
