@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import uuid
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -12,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlens.session import checkpoint_dir
+from eventlens.session import materialized
 
 #: Text bytes that a task turns into arrays at a time (one longer text is taken alone).
 SLICE_BYTES = 1 << 20
@@ -32,12 +31,8 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the shared checkpoint folder: cuts the lineage,
-    survives the loss of executors and is compressed, unlike checkpoint files."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/eventlens-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """``df`` as a table in the shared folder: cuts the lineage and survives the loss of executors."""
+    return materialized(df)
 
 
 def shielded(df: DataFrame, names: set[str]) -> tuple[DataFrame, dict[str, str]]:
