@@ -14,22 +14,27 @@ Texts of equal sets form a class first, by a 128-bit fingerprint; only one
 representative of a class goes on. In the buckets, links are sought in three
 rounds, each on what the rounds before left in different components:
 
-1. every text against the smallest member it shares a bucket with;
-2. every text against the smallest member of each of its buckets;
+1. every class against the smallest member it shares a bucket with;
+2. every class against the smallest member of each of its buckets;
 3. in buckets that still hold several components, all members across
-   components: blocks of bounded size meet inside the tasks with their sets as
-   32-bit codes. Codes can only overstate what two sets share, so the pairs that
-   leave a task are all links and hardly anything else.
+   components: blocks of bounded size meet inside the tasks with their sets.
+   Members of a bucket's largest component meet the others only, and a block
+   joins components as it finds links, so that two components are compared until
+   their first link and leave the task as one row.
 
 Any candidate is confirmed by comparing the full sets, built anew from the
-texts. Large groups of copies cost one comparison a member; no pairs of a group
-are listed. Components come from alternating stars.
-
-Defined results: null or blank texts have an empty set and no links; with fewer
-words than a shingle the whole sequence is the one shingle; repeated ids count
-once (the row with the smallest set fingerprint stands for the id); rows of
-null id are left out (the filter keeps them); other columns are ignored or pass
-through; an empty table gives no rows.
+texts (in round three: carried there). Large groups of copies cost one
+comparison a member; no pairs of a group are listed. Components come from
+alternating stars; a later round contracts the components of the earlier ones
+and joins only these.
+
+Defined results: a document is a row, known by its id and the hash of its text,
+so different texts of one id are judged apart; null or blank texts have an empty
+set and no links; with fewer words than a shingle the whole sequence is the one
+shingle; a null id counts as larger than all others, and a component of null ids
+only has the null id; the filter keeps one row of every component, the one with
+the smallest id, then the smallest text hash, and one of several equal rows, while rows without
+words all stay; other columns are ignored or pass through; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,14 +45,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import combine, per_task, shingles, slices, small_batches, table, words, written
+from eventlens.llm.common import combine, per_task, shielded, shingles, slices, small_batches, table, words, written
 from eventlens.llm.components import components
 
 PERMS, PER_BAND = 80, 2
 BANDS = PERMS // PER_BAND
-#: Members and codes of a block in round three, about.
+#: Members and shingles of a block in round three, about.
 BLOCK, BLOCK_CODES = 1024, 1 << 20
-#: Codes are looked up by this many bits.
+#: Hashes are looked up by this many bits.
 PLACES = 20
 _RNG = np.random.default_rng(11)
 _MUL = _RNG.integers(0, 1 << 63, (PERMS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,35 +116,56 @@ def _confirm(shingle: int, percent: int):
     return confirmed
 
 
-def _codes(shingle: int):
-    """Texts to their sets as codes of 32 bits, which travel in round three."""
-    def coded(batches):
+def _sets(shingle: int):
+    """Texts to their sets, as they travel in round three."""
+    def made(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 w = words(part.column("text"), lower=True)
-                codes = [(shingles(w.of(i), shingle) >> np.uint64(32)).astype("<u4").tobytes() for i in range(part.num_rows)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(codes, pa.binary())], names=["id", "codes"])
-    return coded
+                own = [shingles(w.of(i), shingle).tobytes() for i in range(part.num_rows)]
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(own, pa.binary())], names=["node", "members"])
+    return made
 
 
-def _across(percent: int):
-    """Blocks of bucket members to the pairs across components that may share enough."""
-    table_ = np.zeros(1 << PLACES, bool)
+class Joined(dict):
+    """Components of a block, joined as links are found."""
+
+    def root(self, c: int) -> int:
+        while (up := self.get(c, c)) != c:
+            self[c] = c = self.get(up, up)
+        return c
 
-    def pairs(rows):
-        ids, comps, n, side = (np.array([r[k] for r in rows]) for k in (1, 2, 3, 5))
-        codes = [np.frombuffer(r[4], "<u4") >> np.uint32(32 - PLACES) for r in rows]
+
+def _across(percent: int):
+    """Blocks of bucket members to the pairs of components that have a link there."""
+    places = np.zeros(1 << PLACES, bool)
+
+    def links(rows):
+        comps, side = [r[1] for r in rows], np.array([r[3] for r in rows])
+        sets = [np.frombuffer(r[2], np.uint64) for r in rows]
+        n = np.array([x.size for x in sets])
+        codes = [(x >> np.uint64(64 - PLACES)).astype(np.int64) for x in sets]
+        joined = Joined()
         left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
         for i in left.tolist():
-            to = right[(comps[right] != comps[i]) & ((ids[right] > ids[i]) | (side[right] > 0))]
+            roots = {c: joined.root(c) for c in set(comps)}
+            root = np.array([roots[c] for c in comps])
+            to = right[(root[right] != root[i]) & ((right > i) | (side[right] > 0))]
             to = to[100 * np.minimum(n[to], n[i]) >= percent * np.maximum(n[to], n[i])]
-            if to.size:
-                table_[codes[i]] = True
-                hits = table_[np.concatenate([codes[k] for k in to.tolist()])]
-                shared = np.add.reduceat(hits, np.concatenate([[0], np.cumsum(n[to])[:-1]]), dtype=np.int64)
-                table_[codes[i]] = False
-                for k in to[100 * shared >= percent * (n[to] + n[i] - shared)].tolist():
-                    yield min(ids[i], ids[k]), max(ids[i], ids[k])
+            if not to.size:
+                continue
+            # By the upper bits of the hashes first, which can only overstate what is shared.
+            places[codes[i]] = True
+            hits = places[np.concatenate([codes[k] for k in to.tolist()])]
+            shared = np.add.reduceat(hits, np.concatenate([[0], np.cumsum(n[to])[:-1]]), dtype=np.int64)
+            places[codes[i]] = False
+            for k in to[100 * shared >= percent * (n[to] + n[i] - shared)].tolist():
+                x, y = joined.root(comps[i]), joined.root(comps[k])
+                if x != y:
+                    both = np.intersect1d(sets[i], sets[k], assume_unique=True).size
+                    if 100 * both >= percent * (n[i] + n[k] - both):
+                        joined[max(x, y)] = min(x, y)
+                        yield comps[i], comps[k]
 
     def made(batches):
         key, held, out = None, [], set()
@@ -147,14 +173,14 @@ def _across(percent: int):
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if row[0] != key:
                     if len(held) > 1:
-                        out.update(pairs(held))
+                        out.update(links(held))
                     key, held = row[0], []
                 held.append(row)
             if len(out) > 10_000:
                 yield _pairs(out)
                 out = set()
         if len(held) > 1:
-            out.update(pairs(held))
+            out.update(links(held))
         if out:
             yield _pairs(out)
     return made
@@ -165,71 +191,99 @@ def _pairs(found) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([int(p[i]) for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """Per id: ``n_shingles``, ``component_id``, ``kept``. Texts with 100 * shared >= percent * joint shingles are linked."""
-    small_batches(docs.sparkSession)
-    rows = (docs.where(F.col(id_col).isNotNull())
-            .select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("text")))
+def _rows(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text).cast("string")).alias("text_hash"), F.col(text).cast("string").alias("text"))
+
+
+def _grouped(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Per row (id, text_hash): ``n``, and the ``best`` row (null last, id, text_hash) of its component; null without words."""
+    small_batches(rows.sparkSession)
     signed = written(rows.mapInArrow(per_task(_sign(shingle)), _SIGNED))
-    one = signed.groupBy("id").agg(F.min(F.struct("f1", "f2", "n", "text_hash")).alias("r")).select("id", "r.*")
-    classes = one.where("n > 0").groupBy("f1", "f2").agg(F.min(F.struct("id", "text_hash")).alias("r"))
-    reps = classes.select("r.*")
-    similar = F.least("n", "na") * 100 >= F.greatest("n", "na") * percent
-
-    banded = signed.join(reps, ["id", "text_hash"], "left_semi").select("id", "text_hash", "n", F.explode("bands").alias("bucket"))
-    first = banded.groupBy("bucket").agg(F.min(F.struct("id", "n", "text_hash")).alias("a"), F.max("id").alias("z")).where("a.id != z")
-    first = first.select("bucket", F.col("a.id").alias("a"), F.col("a.n").alias("na"), F.col("a.text_hash").alias("ha"))
-    # Members of buckets with several texts, each with the bucket's smallest.
-    members = written(banded.join(first, "bucket"))
-    stars = members.where("id != a").where(similar)
-    wanted = (stars.select("id", "text_hash").unionByName(stars.select(F.col("a").alias("id"), F.col("ha").alias("text_hash")))
-              # Round three may ask for any member of a bucket of three or more.
-              .unionByName(members.where("id != a").select("id", "text_hash")).distinct())
-    texts = written(rows.join(wanted, ["id", "text_hash"], "left_semi").dropDuplicates(["id"]).select("id", "text"))
+    known = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
+    classes = written(signed.where("n > 0").groupBy("f1", "f2")
+                      .agg(F.min(known).alias("best"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
+                      .withColumn("node", F.monotonically_increasing_id()))
+
+    banded = classes.select("node", "n", F.explode("bands").alias("bucket"))
+    first = banded.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("a"), F.max("node").alias("z")).where("a.node != z")
+    # Members of buckets with several classes, each with the bucket's smallest.
+    members = written(banded.join(first.select("bucket", F.col("a.node").alias("a"), F.col("a.n").alias("na")), "bucket"))
+    stars = members.where("node != a").where(F.least("n", "na") * 100 >= F.greatest("n", "na") * percent)
+    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "best.id", "best.text_hash")
+    texts = written(rows.join(wanted, rows["id"].eqNullSafe(wanted["id"]) & (rows["text_hash"] == wanted["text_hash"]))
+                    .dropDuplicates(["node"]).select("node", "text"))
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        with_b = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-        with_ab = with_b.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-        return written(with_ab.select("a", "b", "text_a", "text_b").mapInArrow(per_task(_confirm(shingle, percent)), "a long, b long"))
+        with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+        with_ab = with_b.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        return with_ab.select("a", "b", "text_a", "text_b").mapInArrow(per_task(_confirm(shingle, percent)), "a long, b long")
 
     def labelled(df: DataFrame, ids: str, name: str, comps: DataFrame) -> DataFrame:
         of = comps.select(F.col("id").alias(ids), F.col("comp").alias(name))
         return df.join(of, ids, "left").withColumn(name, F.coalesce(F.col(name), F.col(ids)))
 
-    one_each = stars.groupBy(F.col("id").alias("b")).agg(F.min("a").alias("a")).select("a", "b")
-    links = confirm(one_each)
-    comps = components(links)
-    more = stars.select("a", F.col("id").alias("b")).distinct().join(one_each, ["a", "b"], "left_anti")
-    more = labelled(labelled(more, "a", "ca", comps), "b", "cb", comps).where("ca != cb").select("a", "b")
-    links = links.unionByName(confirm(more))
-    comps = components(links)
+    def contracted(comps: DataFrame, links: DataFrame) -> DataFrame:
+        """Components after links between components."""
+        merged = components(links)
+        old = labelled(comps.withColumnRenamed("comp", "was"), "was", "comp", merged).select("id", "comp")
+        return written(old.unionByName(merged.join(comps, "id", "left_anti")))
+
+    one_each = stars.groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a")).select("a", "b")
+    comps = written(components(confirm(one_each)))
+    more = stars.select("a", F.col("node").alias("b")).distinct().join(one_each, ["a", "b"], "left_anti")
+    more = confirm(labelled(labelled(more, "a", "ca", comps), "b", "cb", comps).where("ca != cb").select("a", "b"))
+    more = labelled(labelled(more, "a", "ca", comps), "b", "cb", comps).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    comps = contracted(comps, more)
 
     # Round three: a bucket's smallest member has met all others by now.
-    left = labelled(members.where("id != a").select("bucket", "id", "n"), "id", "comp", comps)
-    size = F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_CODES)
-    mixed = (left.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.ceil(size).cast("int").alias("blocks"))
-             .where("c1 != c2").select("bucket", "blocks"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = (left.join(mixed, "bucket").withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
-                     "id", "comp", "n", F.signum(F.col("own") - F.col("other")).cast("int").alias("side")))
-    codes = texts.join(dealt.select("id").distinct(), "id", "left_semi").mapInArrow(per_task(_codes(shingle)), "id long, codes binary")
-    blocks = dealt.join(codes, "id").select("key", "id", "comp", "n", "codes", "side")
-    found = (blocks.repartition("key").sortWithinPartitions("key").mapInArrow(per_task(_across(percent)), "a long, b long").distinct())
-    links = links.unionByName(confirm(found))
-    comps = components(links)
-
-    of_class = classes.select("f1", "f2", F.col("r.id").alias("rep"))
-    out = one.join(of_class, ["f1", "f2"], "left").withColumn("rep", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("id")))
-    out = labelled(out.select("id", "n", "rep"), "rep", "component_id", comps)
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    left = labelled(members.where("node != a").select("bucket", "node", "n"), "node", "comp", comps)
+    parts = left.groupBy("bucket", "comp").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
+    mixed = parts.groupBy("bucket").agg(F.max(F.struct("m", "comp", "s")).alias("top"), F.count("*").alias("k"), F.sum("m").alias("m"), F.sum("s").alias("s")).where("k > 1")
+    blocks = lambda m, s: F.ceil(F.greatest(m / BLOCK, s / BLOCK_CODES)).cast("int")
+    mixed = mixed.select("bucket", F.col("top.comp").alias("top"), blocks(F.col("top.m"), F.col("top.s")).alias("homes"),
+                         blocks(F.col("m") - F.col("top.m"), F.col("s") - F.col("top.s")).alias("guests"))
+    held = left.join(mixed, "bucket").withColumn("home", F.col("comp") == F.col("top"))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("home"), F.col("homes")).otherwise(F.col("guests"))).cast("int")
+    held = held.withColumn("own", own)
+    to = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    block = lambda kind, x, y, side: F.struct(F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"), side.cast("int").alias("side"))
+    met = F.when(F.col("home"), F.transform(to("guests"), lambda j: block(0, F.col("own"), j, F.lit(-1)))).otherwise(F.concat(
+        F.transform(to("homes"), lambda i: block(0, i, F.col("own"), F.lit(1))),
+        F.transform(to("guests"), lambda j: block(1, F.least("own", j), F.greatest("own", j), F.signum(F.col("own") - j)))))
+    dealt = held.select("node", "comp", "bucket", F.explode(met).alias("at")).select(
+        F.xxhash64("bucket", "at.kind", "at.x", "at.y").alias("key"), "node", "comp", "at.side")
+    sets = texts.join(dealt.select("node").distinct(), "node", "left_semi").mapInArrow(per_task(_sets(shingle)), "node long, members binary")
+    meeting = dealt.join(sets, "node").select("key", "comp", "members", "side")
+    found = meeting.repartition("key").sortWithinPartitions("key").mapInArrow(per_task(_across(percent)), "a long, b long").distinct()
+    comps = contracted(comps, found)
+
+    groups = labelled(classes.select("node", "f1", "f2", "best"), "node", "comp", comps)
+    best = written(groups.groupBy("comp").agg(F.min("best").alias("best")))
+    of_class = groups.select("f1", "f2", "comp").join(best, "comp").select("f1", "f2", "best")
+    return signed.select("id", "text_hash", "n", "f1", "f2").join(of_class, ["f1", "f2"], "left").select(
+        "id", "text_hash", "n", F.when(F.col("n") > 0, F.col("best")).alias("best"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """Per row: id, ``n_shingles``, ``component_id``, ``kept``. Texts with 100 * shared >= percent * joint shingles are linked."""
+    out = _grouped(_rows(docs, id_col, text), shingle, percent)
+    comp = F.when(F.col("best").isNull(), F.col("id")).otherwise(F.col("best.id"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), comp.alias("component_id"), F.col("id").eqNullSafe(comp).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the near duplicates of a document with a smaller id; rows of null id stay."""
-    gone = near_duplicates(docs, id_col, text, shingle, percent).where("not kept").select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    """``docs`` with one row of each component; rows without words stay."""
+    judged = written(_grouped(_rows(docs, id_col, text), shingle, percent).where("best IS NOT NULL"))
+    own = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
+    gone = judged.where(own != F.col("best")).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.lit(True).alias("_gone")).distinct()
+    twice = judged.where(own == F.col("best")).groupBy(F.col("id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.count("*").alias("_n")).where("_n > 1")
+    marks = gone.unionByName(twice.select("_id", "_hash", F.lit(False).alias("_gone")))
+    docs, back = shielded(docs, {"_id", "_hash", "_gone", "_text_hash"})
+    rows = docs.withColumn("_text_hash", F.xxhash64(F.col(text).cast("string")))
+    marked = rows.join(marks, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left")
+    alone = marked.where("_gone IS NULL").select(*docs.columns)
+    one = marked.where("NOT _gone").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    return alone.unionByName(one).withColumnsRenamed(back)
 
 
 def op4_near_duplicates(spark, sf_dir) -> DataFrame:
