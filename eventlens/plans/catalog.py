@@ -545,4 +545,45 @@ def csv_table_bad(spark, sf):
     return FI.bad_records(_csv_table(spark, sf)).select("event_id", "line")
 
 
+@query
+def text_lines(spark, sf):
+    """Lines of text files, read back and parsed."""
+    import uuid
+    path = f"{run_folder(spark)}/lines-{uuid.uuid4().hex}"
+    _sensor_lines(spark, sf).select("value").write.text(path)
+    return P.valid_rows(P.parse_sensor(FI.read_lines(spark, path)))
+
+
+# --- partitioning, event-time table ------------------------------------------------
+
+@query
+def partition_hash(spark, sf):
+    """Rows of one sensor are in one partition."""
+    p = PA.with_partition_id(PA.partition_by(_sensor(spark, sf), "hash", 4, key="id"))
+    return p.groupBy("id").agg(F.count_distinct("part").alias("parts"), F.count(F.lit(1)).alias("cnt"))
+
+
+@query
+def partition_round_robin(spark, sf):
+    """Partitions of equal size, but for one row from each partition of the input (within a hundredth)."""
+    p = PA.with_partition_id(PA.partition_by(_sensor(spark, sf), "rebalance", 4)).groupBy("part").agg(F.count(F.lit(1)).alias("cnt"))
+    spread = F.max("cnt") - F.min("cnt") <= 1 + 0.01 * F.sum("cnt")
+    return p.agg(F.sum("cnt").cast("bigint").alias("total"), F.count(F.lit(1)).alias("parts"), spread.alias("balanced"))
+
+
+@query
+def partition_random(spark, sf):
+    """Partitions of about equal size: within ten standard deviations of a random deal."""
+    p = PA.with_partition_id(PA.partition_by(_sensor(spark, sf), "shuffle", 4)).groupBy("part").agg(F.count(F.lit(1)).alias("cnt"))
+    near = F.max("cnt") - F.min("cnt") <= 20 * F.sqrt(F.sum("cnt") * 3 / 16)
+    return p.agg(F.sum("cnt").cast("bigint").alias("total"), F.count(F.lit(1)).alias("parts"), near.alias("balanced"))
+
+
+@query
+def event_table(spark, sf):
+    """The readings as a table with an event-time column, asked in SQL by that time."""
+    TB.as_event_table(_readings(spark, sf), "event_readings", ["event_id", "id", "ts"])
+    return spark.sql("SELECT date_format(ts, 'yyyy-MM-dd') AS day, count(*) AS cnt, count(DISTINCT id) AS ids FROM event_readings GROUP BY 1")
+
+
 from eventlens.plans import streams  # noqa: E402, F401

@@ -515,3 +515,11 @@ SQL["csv_table_bad"] = f"""
 WITH {CSV} SELECT event_id, CASE WHEN short THEN event_id || ',' || user_id ELSE event_id || ',' || user_id || ',' || event_type || ',soon,none' END AS line
 FROM rec WHERE short OR word
 """
+
+SQL["text_lines"] = f"WITH {READ} SELECT id, timestamp, temperature FROM rd WHERE temperature IS NOT NULL"
+SQL["partition_hash"] = f"WITH {READ} SELECT id, 1 AS parts, count(*) AS cnt FROM rd GROUP BY id"
+SQL["partition_round_robin"] = "SELECT count(*) AS total, 4 AS parts, true AS balanced FROM events"
+SQL["partition_random"] = SQL["partition_round_robin"]
+SQL["event_table"] = f"""
+WITH {READ} SELECT strftime(make_timestamp(timestamp * 1000000), '%Y-%m-%d') AS day, count(*) AS cnt, count(DISTINCT id) AS ids FROM rd GROUP BY 1
+"""

@@ -121,3 +121,18 @@ def test_bad_records_of_a_file_table(spark, tmp_path):
     out = str(tmp_path / "out")
     run(FI.bad_records(read(True)).select("line"), str(tmp_path / "s"), sinks.epoch_sink(out)).awaitTermination()
     assert {r.line for r in sinks.committed(spark, out, "line string").collect()} - {""} == {"3,x,y", "4", "5,1,2,3"}
+
+
+def test_console_shows_labelled_rows(spark, tmp_path, capsys):
+    from eventlens.sinks import to_console
+    to_console(spark.range(2), "numbers")
+    shown = capsys.readouterr().out
+    assert "numbers> 0" in shown and "numbers> 1" in shown
+    d = str(tmp_path / "in")
+    spark.range(3).write.parquet(d)
+    q = to_console(spark.readStream.schema("id long").parquet(d), "numbers")
+    try:
+        q.processAllAvailable()
+        assert q.recentProgress[-1]["sink"]["description"].startswith("org.apache.spark.sql") and q.exception() is None
+    finally:
+        q.stop()
