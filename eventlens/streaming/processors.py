@@ -2,9 +2,9 @@
 rules on streams. Each mirrors a batch operator; tests check both agree.
 
 Event-time rules buffer rows in list state and replay them in
-(event time, arrival) order once the watermark has passed them, so rows
-that arrive slightly out of order are handled in event-time order, as the
-batch form does. State per key is the not-yet-final rows plus one open
+(event time, arrival) order once the watermark has passed them (one timer
+per key and micro-batch, for the earliest row), so rows that arrive slightly
+out of order are handled in event-time order, as the batch form does. State per key is the not-yet-final rows plus one open
 alarm; it is cleared as the watermark moves.
 """
 
@@ -64,8 +64,7 @@ class _EventTimeRule(StatefulProcessor):
         new = [self.to_buffer(r) for r in rows]
         if new:
             self.buf.appendList(new)
-            for t in {x[0] for x in new}:
-                self.handle.registerTimer(t * 1000)
+            self.handle.registerTimer(min(new)[0] * 1000)  # one timer a batch: it sets the next one
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -101,6 +100,7 @@ class _EventTimeRule(StatefulProcessor):
             self.alarm.update(st)
         if rest:
             self.buf.put(rest)
+            self.handle.registerTimer(rest[0][0] * 1000)
         else:
             self.buf.clear()
         return out
@@ -269,8 +269,7 @@ class _EventTimeReplay(StatefulProcessor):
         new = [self.to_buffer(r) for r in rows]
         if new:
             self.buf.appendList(new)
-            for t in {x[0] for x in new}:
-                self.handle.registerTimer(t * 1000)
+            self.handle.registerTimer(min(new)[0] * 1000)  # one timer a batch: it sets the next one
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -281,6 +280,7 @@ class _EventTimeReplay(StatefulProcessor):
         out = [o for x in ready for o in self.on_row(key, x)]
         if rest:
             self.buf.put(rest)
+            self.handle.registerTimer(rest[0][0] * 1000)
         else:
             self.buf.clear()
         return iter(out)
