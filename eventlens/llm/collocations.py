@@ -10,13 +10,13 @@ partition, its distinct codes with their counts. There they are merged into one
 Misra-Gries summary: whenever it holds more codes than its capacity, the count
 of the first code beyond it is taken from all, and codes without a rest go.
 The capacity exceeds the partition's mass (its number of n-grams) divided by the
-least count, so that less than the least count is ever taken from a code, and
-every n-gram of at least that count survives. Summaries of parts merge
+least count (``SLACK`` times, which lets fewer others through), so that less than the least count is ever
+taken from a code, and every n-gram of at least that count survives. Summaries of parts merge
 into one of the whole with the same bound. What may be frequent by its summary
 sets a bit in a bitmap of fixed size, which is all that the driver gets or sends.
 
-Second pass: tasks count the n-grams whose bit is set, by their text, and the
-counts are added up per (language, n-gram). A code that two n-grams share, or a bit,
+Second pass: tasks count the n-grams whose bit is set, by their text, and send the counts,
+packed, to the same partitions, which add them up by text. A code that two n-grams share, or a bit,
 only lets more through; what is below the least count goes here. So the result is exact.
 
 Cuts, scores and the inclusion of phrases in longer ones are joins of the counted
@@ -35,19 +35,22 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import _BASE, _LOWER, _power_tables, buffers, combine, mix, per_task, slices, small_batches, table, written
+from eventlens.llm.common import _BASE, _LOWER, SLICE_BYTES, _power_tables, buffers, buffers_of, combine, mix, per_task, release, slices, small_batches, table, written
 
 #: Longest phrase, in words.
 LONGEST = 3
+#: A summary's capacity, as multiples of mass divided by least count.
+SLACK = 4
 #: Codes a summary may hold, about (12 bytes each): more text makes more partitions.
-SUMMARY = 4_000_000
+SUMMARY = 2_000_000
 #: Bits of the bitmap: 16 MB.
 BITS = 1 << 27
-#: Distinct n-grams that a task holds before it sends them on.
-HELD = 1 << 19
+#: N-grams that a task holds before it sends or adds them up, in the first and in the second pass.
+HELD, HELD_TEXTS = 1 << 21, 1 << 20
 
 _WORD, _BLANK, _END = 0, 1, 2
 _KIND = np.full(256, _WORD, np.uint8)
@@ -55,6 +58,9 @@ _KIND[[0x20, 0x09]] = _BLANK
 _KIND[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = _END
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 0x20
+_FOLD[0x09] = 0x20
+#: Between a language and an n-gram in one text; neither holds it as a separator.
+_AFTER_LANG = b"\n"
 
 
 def _language(lang: str) -> Column:
@@ -62,10 +68,9 @@ def _language(lang: str) -> Column:
 
 
 class Grams:
-    """The n-grams of the texts of one slice: hashes, first word and length in words."""
+    """The n-grams of some texts (bytes, offsets, languages): hashes, first word and length in words."""
 
-    def __init__(self, texts: pa.Array, langs: np.ndarray):
-        data, off = buffers(texts)
+    def __init__(self, data: np.ndarray, off: np.ndarray, langs: np.ndarray):
         self.data = data
         n = data.size
         kind = _KIND[data]
@@ -104,10 +109,23 @@ class Grams:
         self.first = np.concatenate(first) if first else np.empty(0, np.int64)
         self.size = np.concatenate(size) if size else np.empty(0, np.int8)
 
-    def phrase(self, first: int, size: int) -> str:
-        """Words of one n-gram, lower-cased, joined by one blank."""
-        words = (self.data[s:e] for s, e in zip(self.starts[first:first + size], self.ends[first:first + size], strict=True))
-        return b" ".join(_FOLD[w].tobytes() for w in words).decode("utf-8", "replace")
+    def texts(self, names: "Names", chosen: np.ndarray) -> pa.Array:
+        """Language, line end and n-gram: words lower-cased, joined by one blank."""
+        first, size = self.first[chosen], self.size[chosen].astype(np.int64)
+        low = _FOLD[self.data].tobytes()
+        lo, hi = self.starts[first], self.ends[first + size - 1]
+        # Words are mostly one blank apart: then the n-gram is a piece of the folded text.
+        spare = np.concatenate([[0], np.cumsum(self.starts[1:] - self.ends[:-1] - 1)]) if self.starts.size else np.zeros(1, np.int64)
+        plain = spare[first + size - 1] == spare[first]
+        out = [low[s:e] for s, e in zip(lo.tolist(), hi.tolist(), strict=True)]
+        for i in np.flatnonzero(~plain).tolist():
+            out[i] = b" ".join(x for x in out[i].split(b" ") if x)
+        lang = self.lang[first]
+        tags = {x: names.of[x].encode() + _AFTER_LANG for x in np.unique(lang).tolist()}
+        if len(tags) == 1:
+            tag = next(iter(tags.values()))
+            return pa.array([tag + x for x in out], pa.large_binary())
+        return pa.array([tags[k] + x for k, x in zip(lang.tolist(), out, strict=True)], pa.large_binary())
 
 
 class Names:
@@ -125,6 +143,25 @@ class Names:
         return np.array([self.known[x] for x in langs], np.int64)
 
 
+def _grams(batches):
+    """The n-grams of batches of (lang, text), about a megabyte of text at a time: a longer text is cut
+    between pieces, which changes none of its n-grams."""
+    names = Names()
+    for batch in batches:
+        for part in slices(batch, "text"):
+            data, off = buffers(part.column("text"))
+            langs = names.numbers(part.column("lang").to_pylist())
+            if data.size < 2 * SLICE_BYTES:
+                yield names, Grams(data, off, langs)
+                continue
+            ends = np.flatnonzero(_KIND[data] == _END)
+            cuts = np.unique(np.concatenate([off, ends[np.searchsorted(ends, np.arange(SLICE_BYTES, data.size, SLICE_BYTES)).clip(max=max(ends.size - 1, 0))]
+                                             if ends.size else off]))
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                at = int(np.searchsorted(off, lo, side="right")) - 1
+                yield names, Grams(data[lo:hi], np.array([0, hi - lo]), langs[at:at + 1])
+
+
 def _merged(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct codes in order, with the sums of their counts."""
     if not codes.size:
@@ -179,9 +216,9 @@ def _bit(part: np.ndarray, codes: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _spread(parts: int):
-    """Texts to (partition, codes that occur once, other codes, their counts)."""
+    """Texts to (partition, codes that occur once, other codes, their counts), and (partition, mass)."""
     def spread(batches):
-        names, held, size = Names(), [], 0
+        held, size = [], 0
 
         def sent():
             hashes, counts = _merged(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
@@ -191,21 +228,20 @@ def _spread(parts: int):
             for p in np.flatnonzero(np.diff(cuts)).tolist():
                 c, k = codes[cuts[p]:cuts[p + 1]], counts[cuts[p]:cuts[p + 1]]
                 more = k > 1
-                rows.append((p, c[~more].tobytes(), c[more].tobytes(), k[more].astype("<u4").tobytes(), int(k.sum())))
-                if len(rows) == 64:
+                rows.append((p, None, None, None, int(k.sum())))
+                rows.append((p, c[~more].tobytes(), c[more].tobytes(), k[more].astype("<u4").tobytes(), 0))
+                if len(rows) >= 64:
                     yield _rows(rows)
                     rows = []
             if rows:
                 yield _rows(rows)
 
-        for batch in batches:
-            for part in slices(batch, "text"):
-                g = Grams(part.column("text"), names.numbers(part.column("lang").to_pylist()))
-                held.append(_merged(g.hashes, np.ones(g.hashes.size, np.int64)))
-                size += held[-1][0].size
-                if size > 8 * HELD:
-                    yield from sent()
-                    held, size = [], 0
+        for _, g in _grams(batches):
+            held.append(_merged(g.hashes, np.ones(g.hashes.size, np.int64)))
+            size += held[-1][0].size
+            if size > HELD:
+                yield from sent()
+                held, size = [], 0
         if held:
             yield from sent()
     return spread
@@ -220,10 +256,10 @@ def _rows(rows) -> pa.RecordBatch:
 
 
 def _summarise(parts: int, least: int):
-    """Rows of a partition, in order, to its stretch of the bitmap, packed. Masses come first, with null codes."""
+    """Rows of a partition, its masses first, to its stretch of the bitmap, packed."""
     def summarised(batches):
         width = BITS // parts
-        part, summary = None, None
+        part, mass, summary = None, 0, None
 
         def stretch():
             bits = np.zeros(-(-width // 8) * 8, np.uint8)
@@ -233,53 +269,105 @@ def _summarise(parts: int, least: int):
                                               names=["part", "bits"])
 
         for b in batches:
-            for p, once, more, counts, mass in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for i in range(b.num_rows):
+                p, once, more, counts, m = (c[i].as_py() for c in b.columns)
                 if p != part:
-                    if part is not None:
+                    if summary is not None:
                         yield stretch()
-                    part, summary = p, Summary(mass // least + 1)
-                    continue
-                one, many = np.frombuffer(once, "<u4"), np.frombuffer(more, "<u4")
-                summary.add(np.concatenate([one, many]), np.concatenate([np.ones(one.size, np.int64), np.frombuffer(counts, "<u4").astype(np.int64)]))
-        if part is not None:
+                    part, mass, summary = p, 0, None
+                mass += m
+                if once is not None:
+                    summary = summary or Summary(SLACK * mass // least + 1)
+                    one, many = np.frombuffer(once, "<u4"), np.frombuffer(more, "<u4")
+                    summary.add(np.concatenate([one, many]), np.concatenate([np.ones(one.size, np.int64), np.frombuffer(counts, "<u4").astype(np.int64)]))
+        if summary is not None:
             yield stretch()
     return summarised
 
 
+def _summed(tables: list[pa.Table], keys: list[str]) -> pa.Table:
+    """Counts by text."""
+    return pa.concat_tables(tables).group_by(keys).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
+
+
+_CODEC = "zstd"
+
+
+def _packed(table: pa.Table) -> tuple[int, int, bytes]:
+    """Rows, size and compressed bytes of lengths, counts and texts; in the order of the texts they take a third."""
+    texts = pa.concat_arrays(table["gram"].chunks).cast(pa.large_binary()) if table.num_rows else pa.array([], pa.large_binary())
+    data, off = buffers_of(texts)
+    raw = np.diff(off).astype("<u4").tobytes() + table["n"].to_numpy().astype("<i8").tobytes() + data.tobytes()
+    return table.num_rows, len(raw), pa.Codec(_CODEC).compress(raw, asbytes=True)
+
+
+def _unpacked(rows: int, size: int, packed: bytes) -> pa.Table:
+    raw = np.frombuffer(pa.Codec(_CODEC).decompress(packed, size), np.uint8)
+    off = np.concatenate([[0], np.cumsum(raw[:4 * rows].view("<u4"), dtype=np.int64)])
+    texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), rows, [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(raw[12 * rows:]))])
+    return pa.table({"gram": texts, "n": raw[4 * rows:12 * rows].copy().view("<i8")})
+
+
 def _count(bitmap, parts: int):
-    """Texts to (lang, phrase, words, count) of the n-grams whose bit is set; combined while they fit."""
+    """Texts to (partition, packed counts) of the n-grams whose bit is set; combined while they fit."""
     def counted(batches):
-        bits, names = bitmap.value, Names()
-        held: dict[int, list] = {}
+        bits, held, size = bitmap.value, [], 0
 
         def sent():
-            rows = list(held.values())
-            for at in range(0, len(rows), 1 << 16):
-                lang, phrase, size, n = zip(*rows[at:at + (1 << 16)])
-                yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(phrase, pa.string()), pa.array(size, pa.int32()), pa.array(n, pa.int64())],
-                                                 names=["lang", "phrase", "words", "n"])
-
-        for batch in batches:
-            for part in slices(batch, "text"):
-                g = Grams(part.column("text"), names.numbers(part.column("lang").to_pylist()))
-                where = _bit(*_place(g.hashes, parts), parts)
-                at = np.flatnonzero(bits[where >> 3] >> (where & 7).astype(np.uint8) & 1)
-                found, first, n = np.unique(g.hashes[at], return_index=True, return_counts=True)
-                for h, i, k in zip(found.tolist(), at[first].tolist(), n.tolist(), strict=True):
-                    row = held.get(h)
-                    if row is None:
-                        f = int(g.first[i])
-                        held[h] = [names.of[int(g.lang[f])], g.phrase(f, int(g.size[i])), int(g.size[i]), k]
-                    else:
-                        row[3] += k
-                if len(held) > HELD:
+            table = _summed(held, ["part", "gram"]).sort_by([("part", "ascending"), ("gram", "ascending")])
+            part = table["part"].to_numpy()
+            heads = np.flatnonzero(np.diff(part, prepend=-1))
+            for lo, hi in zip(heads.tolist(), np.append(heads[1:], part.size)[:heads.size].tolist(), strict=True):
+                rows, size, packed = _packed(table.slice(lo, hi - lo))
+                yield pa.RecordBatch.from_arrays([pa.array([part[lo]], pa.int32()), pa.array([rows]), pa.array([size]), pa.array([packed], pa.binary())],
+                                                 names=["part", "rows", "size", "counts"])
+
+        for names, g in _grams(batches):
+            part, codes = _place(g.hashes, parts)
+            where = _bit(part, codes, parts)
+            at = np.flatnonzero(bits[where >> 3] >> (where & 7).astype(np.uint8) & 1)
+            _, first, n = np.unique(g.hashes[at], return_index=True, return_counts=True)
+            chosen = at[first]
+            held.append(pa.table({"part": part[chosen].astype(np.int32), "gram": g.texts(names, chosen), "n": n.astype(np.int64)}))
+            size += chosen.size
+            if size > HELD_TEXTS:
+                held = [_summed(held, ["part", "gram"])]
+                size = held[0].num_rows
+                if size > HELD_TEXTS // 2:
                     yield from sent()
-                    held = {}
+                    held, size = [], 0
         if held:
             yield from sent()
     return counted
 
 
+def _add_up(least: int):
+    """Packed counts of a partition, in a row, to the n-grams of at least the least count."""
+    def added(batches):
+        part, held, size = None, [], 0
+
+        def done():
+            table = _summed(held, ["gram"])
+            table = table.filter(pc.greater_equal(table["n"], least))
+            for b in table.select(["gram", "n"]).cast(pa.schema([("gram", pa.binary()), ("n", pa.int64())])).to_batches(1 << 16):
+                yield b
+
+        for b in batches:
+            for p, rows, raw, packed in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if p != part:
+                    if held:
+                        yield from done()
+                    part, held, size = p, [], 0
+                held.append(_unpacked(rows, raw, packed))
+                size += held[-1].num_rows
+                if size > HELD_TEXTS and len(held) > 1:
+                    held = [_summed(held, ["gram"])]
+                    size = held[0].num_rows // 2  # what is added up waits for as much again
+        if held:
+            yield from done()
+    return added
+
+
 def frequent_grams(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 10) -> DataFrame:
     """(``lang``, ``phrase``, ``words``, ``n``): every n-gram of one to three words that occurs ``least`` times or more."""
     spark = docs.sparkSession
@@ -288,11 +376,8 @@ def frequent_grams(docs: DataFrame, text: str = "text", lang: str = "lang", leas
     n = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # A word and its blank take two bytes at least, and starts LONGEST n-grams at most.
     mass = n // 2 * LONGEST
-    parts = max(math.ceil(mass / least / SUMMARY), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    codes = written(rows.mapInArrow(per_task(_spread(parts)), _CODES))
-    blank = F.lit(None).cast("binary")
-    masses = codes.groupBy("part").agg(F.sum("mass").alias("mass")).select("part", blank.alias("once"), blank.alias("more"), blank.alias("counts"), "mass")
-    dealt = (codes.withColumn("mass", F.lit(0).cast("long")).unionByName(masses)
+    parts = max(math.ceil(SLACK * mass / least / SUMMARY), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = (rows.mapInArrow(per_task(_spread(parts)), _CODES)
              .repartition("part").sortWithinPartitions("part", F.col("once").isNotNull()))
     bitmap = np.zeros(BITS // 8 + 8, np.uint8)
     width = BITS // parts
@@ -303,9 +388,15 @@ def frequent_grams(docs: DataFrame, text: str = "text", lang: str = "lang", leas
         moved = np.packbits(np.concatenate([np.zeros(lead, np.uint8), own]), bitorder="little")
         at = r.part * width // 8
         bitmap[at:at + moved.size] |= moved[:bitmap.size - at]
+    release()
     shared = spark.sparkContext.broadcast(bitmap)
-    counted = rows.mapInArrow(per_task(_count(shared, parts)), "lang string, phrase string, words int, n long")
-    return counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    counted = rows.mapInArrow(per_task(_count(shared, parts)), "part int, rows long, size long, counts binary")
+    added = counted.repartition("part").sortWithinPartitions("part").mapInArrow(per_task(_add_up(least)), "gram binary, n long")
+    gram = F.decode("gram", "UTF-8")
+    phrase = F.substring_index("gram", "\n", -1)
+    return added.select(gram.alias("gram"), "n").select(
+        F.expr("left(gram, length(gram) - length(substring_index(gram, '\n', -1)) - 1)").alias("lang"), phrase.alias("phrase"),
+        F.size(F.split(phrase, " ")).alias("words"), "n")
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 10, inside_percent: int = 50, top: int = 2000) -> DataFrame:
@@ -314,15 +405,12 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     words = F.split("phrase", " ")
     phrases = grams.where("words > 1").select("lang", "phrase", "words", F.col("n").alias("a"), words.alias("w"))
 
-    def joined(w: Column, start: int, size) -> Column:
-        return F.array_join(F.slice(w, start, size), " ")
-
     # A cut after k words; its parts are n-grams of at least the phrase's count, so they are in the table.
-    cuts = phrases.select("lang", "phrase", "words", "a", F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k"), "w")
-    cuts = cuts.select("lang", "phrase", "words", "a", "k", joined(F.col("w"), 1, F.col("k")).alias("left"),
-                       F.array_join(F.slice("w", F.col("k") + 1, F.col("words") - F.col("k")), " ").alias("right"))
-    cuts = cuts.join(grams.select("lang", F.col("phrase").alias("left"), F.col("n").alias("l")), ["lang", "left"])
-    cuts = cuts.join(grams.select("lang", F.col("phrase").alias("right"), F.col("n").alias("r")), ["lang", "right"])
+    cuts = phrases.select("lang", "phrase", "words", "a", F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k"))
+    cuts = cuts.withColumn("left", F.expr("substring_index(phrase, ' ', k)"))
+    cuts = cuts.join(grams.select("lang", F.col("phrase").alias("left"), F.col("n").alias("l")), ["lang", "left"]).drop("left")
+    cuts = cuts.withColumn("right", F.expr("substring_index(phrase, ' ', k - words)"))
+    cuts = cuts.join(grams.select("lang", F.col("phrase").alias("right"), F.col("n").alias("r")), ["lang", "right"]).drop("right")
     big = lambda c: F.col(c).cast("decimal(18,0)")
     square = (big("a") * big("a")).cast("decimal(31,0)") * F.lit(1_000_000).cast("decimal(7,0)")
     cuts = cuts.withColumn("score", F.call_function("div", square.cast("decimal(38,0)"), (big("l") * big("r")).cast("decimal(38,0)")))

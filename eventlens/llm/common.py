@@ -113,7 +113,11 @@ class Words(NamedTuple):
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string array; nulls read as empty."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    return buffers_of(pc.fill_null(texts.cast(pa.large_string()), ""))
+
+
+def buffers_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a large string or binary array without nulls."""
     off = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
     raw = texts.buffers()[2]
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None and raw.size else np.empty(0, np.uint8)

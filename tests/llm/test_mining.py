@@ -255,3 +255,38 @@ def test_many_partitions_of_the_bitmap(spark, monkeypatch):
 @pytest.mark.parametrize("run", [lambda d: merkle.manifest(d), lambda d: pii.find(d), lambda d: pii.sanitise(d), lambda d: collocations.collocations(d)])
 def test_empty_table(spark, run):
     assert run(made(spark, []).where("false")).collect() == []
+
+
+def test_a_very_long_text_is_cut_between_pieces(spark):
+    text = "new york city, " * 150_000 + "x" * 10 + " of the " * 20_000
+    assert len(text) > 2 * collocations.SLICE_BYTES
+    rows = [(1, text, "en", "s", 0), (2, "", "de", "s", 0), (3, "New York city", "de", "s", 0)]
+    assert sorted(tuple(r) for r in collocations.collocations(made(spark, rows)).collect()) == collocations_of(rows)
+
+
+@pytest.mark.parametrize("held", [1, 40, 10 ** 6])
+def test_second_pass_counts_alike_however_little_is_held(monkeypatch, held):
+    """Tasks and partitions, called directly: sums on the way, sends on the way, packing."""
+    import types
+
+    import pyarrow as pa
+    monkeypatch.setattr(collocations, "HELD_TEXTS", held)
+    monkeypatch.setattr(collocations, "SLICE_BYTES", 100)
+    rows = phrase_rows()[:60]
+    parts = 3
+    bits = types.SimpleNamespace(value=np.full(collocations.BITS // 8 + 8, 255, np.uint8))
+    sent = []
+    for at in range(0, len(rows), 20):  # three tasks
+        batches = [pa.record_batch({"lang": pa.array([r[2] or "und" for r in rows[i:i + 4]]), "text": pa.array([r[1] for r in rows[i:i + 4]], pa.string())})
+                   for i in range(at, at + 20, 4)]
+        sent += [x for b in collocations._count(bits, parts)(batches) for x in b.to_pylist()]
+    sent.sort(key=lambda x: x["part"])
+    out = collocations._add_up(3)([pa.RecordBatch.from_pylist(sent[i:i + 5], pa.schema([("part", pa.int32()), ("rows", pa.int64()), ("size", pa.int64()), ("counts", pa.binary())]))
+                                   for i in range(0, len(sent), 5)])
+    got = {x["gram"].decode(): x["n"] for b in out for x in b.to_pylist()}
+    want = Counter()
+    for _, text, lang, *_ in rows:
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+            w = re.findall("[^ \t]+", piece)
+            want.update(f"{lang or 'und'}\n{' '.join(w[i:i + k])}" for k in (1, 2, 3) for i in range(len(w) - k + 1))
+    assert got == {g: n for g, n in want.items() if n >= 3}
