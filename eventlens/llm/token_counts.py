@@ -1,14 +1,15 @@
 """Token counts by a two-tier lookup on the map side; no pre-token is shuffled.
 
 Tier one is a broadcast table {chunk: number of tokens} of the most frequent
-chunks, found in a bounded sample of rows; it holds at most ``frequent``
-entries of at most 64 characters, so its size has a fixed bound. Tier two is a
-cache in each Python worker that encodes what tier one misses. Neither tier
-changes a count: both hold what the tokenizer gives.
-
-Defined results: null or empty text has 0 bytes and 0 tokens; repeated rows and
-null ids are counted row by row; other columns are ignored; an empty table
-gives no rows.
+chunks of all documents: every task counts its chunks in a bounded table and
+sends the most frequent ones, whose counts are added up. It holds at most
+``frequent`` entries of at most 64 characters, so its size has a fixed bound.
+Tier two is a cache in each Python worker that encodes what tier one misses.
+Neither tier changes a count: both hold what the tokenizer gives.
+
+Defined results: null or empty text has 0 bytes and 0 tokens; very long texts are
+counted whole; repeated rows and null ids are counted row by row; other columns,
+also of clashing names, are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,12 +24,8 @@ from eventlens.llm import bpe
 from eventlens.llm.common import per_task, small_batches, table
 
 
-def frequent_lengths(docs: DataFrame, text: str, tokenizer: str, frequent: int, sample_rows: int) -> dict[str, int]:
-    """Token lengths of the most frequent chunks in about ``sample_rows`` random rows."""
-    rows = docs.count()
-    if not rows:
-        return {}
-
+def frequent_lengths(docs: DataFrame, text: str, tokenizer: str, frequent: int) -> dict[str, int]:
+    """Token lengths of the most frequent chunks of all texts."""
     def tally(batches):
         seen = Counter()
         for batch in batches:
@@ -41,19 +38,18 @@ def frequent_lengths(docs: DataFrame, text: str, tokenizer: str, frequent: int,
             yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())],
                                              names=["chunk", "n"])
 
-    part = docs.select(text).sample(fraction=min(1.0, sample_rows / rows), seed=1)
-    top = (part.mapInArrow(per_task(tally), "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
+    top = (docs.select(F.col(text).cast("string")).mapInArrow(per_task(tally), "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "chunk").limit(frequent).collect())
     enc = bpe.encoder(tokenizer)
     return {r.chunk: len(enc.chunk(" " + r.chunk)) for r in top}
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", tokenizer: str = "byte_bpe_50k.json",
-                 limit: int = 1024, frequent: int = 20_000, sample_rows: int = 1_000) -> DataFrame:
+                 limit: int = 1024, frequent: int = 20_000) -> DataFrame:
     """Per row: id, ``n_bytes`` (UTF-8), ``n_tokens``, ``over_limit`` (more than ``limit`` tokens)."""
     spark = docs.sparkSession
     small_batches(spark)
-    lengths = spark.sparkContext.broadcast(frequent_lengths(docs, text, tokenizer, frequent, sample_rows))
+    lengths = spark.sparkContext.broadcast(frequent_lengths(docs, text, tokenizer, frequent))
 
     def counted(batches):
         enc = bpe.encoder(tokenizer)
