@@ -15,7 +15,8 @@ output asks for; rows meet in one shuffle by conversation.
 Defined results: null text or role reads as empty; turns are ordered by (turn,
 role, text), nulls first, so ties have one order; repeated rows are turns of
 their own; rows of a null conversation id form one conversation; an invalid
-conversation is formatted too, with ``valid`` false; other columns are ignored.
+conversation is formatted too, with ``valid`` false; very long texts and conversations are formatted whole, in
+one row; other columns, also of clashing names, are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

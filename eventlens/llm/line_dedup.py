@@ -13,7 +13,7 @@ combine on the map side, so a line that a third of all documents hold is one
 row a task before the shuffle. Only positions of removed lines are joined back
 to the texts, which are shuffled once.
 
-Defined results: null text stays null with 0 lines; a null site counts as one
+Defined results: null text stays null with 0 lines; very long texts are split whole; a null site counts as one
 site; blank lines are never removed; a line repeated inside a document is
 judged once and removed at each place; repeated ids count as one document (a
 line is removed from each of its rows or none); rows of null id keep all lines
