@@ -106,7 +106,10 @@ def scan(body: str):
             if open_end or not (name in _ELEMENTS or "-" in name.strip("-")):
                 at = lt + 1
                 continue
-            close = tag_end(m.end())
+            close = body.find(">", m.end())
+            inside = body[m.end():close]
+            if close < 0 or '"' in inside or "'" in inside:
+                close = tag_end(m.end())
             if close < 0:
                 open_end = True
                 at = lt + 1
@@ -152,20 +155,6 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(_SPACE_ID, chr(0).join(parts))}>"
 
 
-def visible_text(body: str) -> str:
-    """Text of a page: no scripts, styles, head or comments; one line per block element, a blank between cells."""
-    out = []
-    for kind, name, text, shown in _shown(body):
-        if kind in ("text", "raw"):
-            if shown:
-                out.append(html.unescape(text))
-        elif name in _BLOCK:
-            out.append("\n")
-        elif name in _CELL:
-            out.append(" ")
-    return "\n".join(x for line in _BLANKS.sub(" ", "".join(out)).split("\n") if (x := line.strip()))
-
-
 def attributes(inside: str) -> dict[str, str]:
     """Attributes of a tag, the first of each name."""
     out: dict[str, str] = {}
@@ -174,19 +163,48 @@ def attributes(inside: str) -> dict[str, str]:
     return out
 
 
-def fields(body: str) -> list[tuple[str, str]]:
-    """Metadata of a page: title, declared language, out-links in order, each once."""
-    title = language = None
+def page(body: str) -> tuple[str, list[tuple[str, str]]]:
+    """Visible text and metadata of a page, from one scan.
+
+    The text has no scripts, styles, head or comments; one line per block element, a blank between cells. Metadata
+    are the title, the declared language and the out-links in order, each once.
+    """
+    out, title, language = [], None, None
     links: dict[str, None] = {}
     for kind, name, text, shown in _shown(body):
-        if kind == "raw" and name == "title" and title is None:
-            title = " ".join(html.unescape(text).split())
-        elif kind == "start" and name == "html" and language is None:
-            language = attributes(text).get("lang")
-        elif kind == "start" and name == "a" and shown and (link := " ".join(attributes(text).get("href", "").split())):
-            links[link] = None
-    out = [] if title is None else [("title", title)]
-    return out + ([("language", language)] if language else []) + [("outlink", x) for x in links]
+        if kind == "text":
+            if shown:
+                out.append(text)
+            continue
+        if kind == "raw":
+            if shown:
+                out.append(text)
+            elif name == "title" and title is None:
+                title = " ".join(html.unescape(text).split())
+            continue
+        if name in _BLOCK:
+            out.append("\n")
+        elif name in _CELL:
+            out.append(" ")
+        if kind == "start":
+            if name == "a":
+                if shown and (link := " ".join(attributes(text).get("href", "").split())):
+                    links[link] = None
+            elif name == "html" and language is None:
+                language = attributes(text).get("lang")
+    named = [] if title is None else [("title", title)]
+    named += ([("language", language)] if language else []) + [("outlink", x) for x in links]
+    # A part is unescaped by itself: an entity does not go on across a tag.
+    plain = "".join(html.unescape(x) if "&" in x else x for x in out)
+    return "\n".join(x for line in _BLANKS.sub(" ", plain).split("\n") if (x := line.strip())), named
+
+
+def visible_text(body: str) -> str:
+    return page(body)[0]
+
+
+def fields(body: str) -> list[tuple[str, str]]:
+    return page(body)[1]
 
 
 def http_message(block: bytes) -> tuple[list[tuple[str, str]], bytes]:
@@ -251,15 +269,15 @@ def derivatives(rid: str, headers: list[dict], block: bytes) -> list[dict]:
     """The metadata and the conversion record of a response record."""
     source = {h["name"].lower(): h["value"] for h in headers}
     http, payload = http_message(block)
-    body = page_text(block)
+    text, named = page(page_text(block))
     kept = [(h["name"], h["value"]) for h in headers if h["name"].lower().startswith("warc-") and h["name"].lower() not in _OWN]
     kept += [("WARC-Refers-To", rid), ("WARC-Refers-To-Target-URI", source.get("warc-target-uri", "about:blank")),
              ("WARC-Refers-To-Date", source.get("warc-date", ""))]
     kept += [("WARC-Source-Payload-Digest", source.get("warc-payload-digest", digest(payload))),
              ("WARC-Source-Block-Digest", source.get("warc-block-digest", digest(block)))]
     conv_id, meta_id = record_id("conversion", rid), record_id("metadata", rid)
-    text = visible_text(body).encode()
-    named = [*fields(body), *((f"http-{k.lower()}", v) for k, v in http), ("conversion", conv_id)]
+    text = text.encode()
+    named = [*named, *((f"http-{k.lower()}", v) for k, v in http), ("conversion", conv_id)]
     meta = "".join(f"{k}: {' '.join(v.split())}\r\n" for k, v in named).encode()
     return [_record("metadata", meta_id, meta, [*kept, ("WARC-Concurrent-To", conv_id), ("Content-Type", "application/warc-fields")]),
             _record("conversion", conv_id, text, [*kept, ("WARC-Concurrent-To", meta_id), ("Content-Type", "text/plain; charset=utf-8")])]
