@@ -70,8 +70,10 @@ _LOWER_CASE = {c: c + 32 for c in range(0x41, 0x5B)}
 def scan(body: str):
     """The page as (kind, name, text): ``text``, ``raw`` (content of a script, style, title or text area), ``start`` (with
     the tag's inside) and ``end``."""
-    low = body.translate(_LOWER_CASE)  # of the same length, unlike str.lower
     at, held, size = 0, 0, len(body)
+    low = body.lower()
+    if len(low) != size or "\u212a" in body:  # some characters become two, the Kelvin sign a Latin letter
+        low = body.translate(_LOWER_CASE)
     lost: set[str] = set()  # quotes that do not occur any more
 
     def tag_end(at: int) -> int:
