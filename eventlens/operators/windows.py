@@ -7,16 +7,25 @@ carries ``window_end`` = exclusive end in epoch ms.
 from __future__ import annotations
 
 import math
+import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlens.functions.time import interval_ms, ms_to_spec, window_end_ms
 from eventlens.operators.rolling import beyond, exact, exact_sum
+from eventlens.session import materialized
 
 # window ends per block (in units of the window size) for the pane strategy
 BLOCK_WINDOWS = 8
 
+LAID_OUT_ROWS = 1_000_000  # rows per (keys, window end) that one task makes and its consumers may sort
+
+
+def laid_out_rows() -> int:
+    """Laid-out rows per task; EVENTLENS_LAID_OUT_ROWS overrides it (tests set it low to deal small fixtures)."""
+    return int(os.environ.get("EVENTLENS_LAID_OUT_ROWS", LAID_OUT_ROWS))
+
 
 def _spec(x) -> str:
     return ms_to_spec(interval_ms(x))
@@ -71,22 +80,45 @@ def sliding_count(df: DataFrame, time_col: str, size, slide, keys=(), strategy:
         ends = panes.select(*keys, "_n", F.explode(F.sequence(lo, hi)).alias("_s"))
         g = ends.groupBy(*keys, (F.col("_s") * F.lit(slide_ms) + F.lit(size_ms)).alias(end_col))
         return g.agg(F.sum("_n").cast("bigint").alias(count_col))
-    # Window-end blocks: pane counts are copied to the (one or two) blocks of
-    # window ends they feed and shuffled by (key, block); the fan-out and the
-    # sum then run inside those partitions — hash(key, block) already
-    # clusters (key, block, end) — so the fanned-out rows are never
-    # shuffled. A hot key is spread over its blocks (≤ block/pane panes each).
-    block_ms = size_ms * BLOCK_WINDOWS
-    end_lo = lo * F.lit(slide_ms) + F.lit(size_ms)
-    end_hi = hi * F.lit(slide_ms) + F.lit(size_ms)
-    blocks = F.sequence(F.floor(end_lo / F.lit(block_ms)).cast("bigint"),
-                        F.floor(end_hi / F.lit(block_ms)).cast("bigint"))
-    copies = panes.select(*keys, "_pane", "_n", F.explode(blocks).alias("_blk")).repartition(*keys, "_blk")
-    ends = copies.select(*keys, "_blk", "_n", F.explode(F.sequence(lo, hi)).alias("_s")) \
-        .withColumn(end_col, F.col("_s") * F.lit(slide_ms) + F.lit(size_ms)) \
-        .where(F.floor(F.col(end_col) / F.lit(block_ms)) == F.col("_blk"))
-    g = ends.groupBy(*keys, "_blk", end_col).agg(F.sum("_n").cast("bigint").alias(count_col))
-    return g.select(*keys, end_col, count_col)
+    end = lambda x: x * F.lit(slide_ms) + F.lit(size_ms)
+    ranges = panes.select(*keys, "_n", end(lo).alias("_lo"), end(hi).alias("_hi"))
+    return counts_of_ranges(ranges, keys, "_lo", "_hi", size, slide, count_col, end_col, rows=df)
+
+
+def counts_of_ranges(ranges: DataFrame, keys, lo: str, hi: str, size, slide, count_col: str = "cnt",
+                     end_col: str = "window_end", rows: DataFrame | None = None) -> DataFrame:
+    """Sum of ``_n`` per (keys, window end) over ranges of window ends, ``lo`` to ``hi`` by ``slide``.
+
+    A range is sent to the one or two blocks of ends that it touches. There it adds ``_n`` at its first end and
+    takes it off after its last; the running sum over a key's changes holds until the next one, so rows are laid
+    out without a table of them, and never shuffled. Hash(key, block) spreads a hot key over its blocks.
+
+    What follows may sort a task's rows, so where there are more than ``laid_out_rows()``, the ranges are written
+    once and dealt by (block, key) to as many tasks as keep each near that number: a task has few blocks and, of
+    these, neighbouring keys, so a limit per window end leaves few rows of it. ``rows``, from which ``ranges`` was
+    counted, tells without a write if there are few.
+    """
+    keys, step, block = list(keys), interval_ms(slide), interval_ms(size) * BLOCK_WINDOWS
+    fan = max(interval_ms(size) // step, 1)
+    of = lambda c: F.floor(F.col(c).cast("double") / float(block)).cast("bigint")
+    few = max(laid_out_rows() // fan, 1)
+    tasks = 1
+    if rows is None or rows.limit(few + 1).count() > few:
+        ranges = materialized(ranges)
+        tasks = math.ceil(ranges.count() / few)
+    sent = ranges.select(*keys, "_n", F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), F.explode(F.sequence(of(lo), of(hi))).alias("_blk"))
+    sent = sent.repartitionByRange(tasks, "_blk", *keys) if tasks > 1 else sent.repartition(*keys, "_blk")
+    # First and last end of the block: window ends are a multiple of the step past ``_lo``.
+    start, stop = F.col("_blk") * F.lit(block), (F.col("_blk") + 1) * F.lit(block)
+    begin = F.greatest("_lo", start + F.pmod(F.col("_lo") - start, F.lit(step)))
+    after = F.least(F.col("_hi") + F.lit(step), stop + F.pmod(F.col("_lo") - stop, F.lit(step)))
+    turns = F.array(F.struct(begin.alias("at"), F.col("_n").alias("d")), F.struct(after.alias("at"), (-F.col("_n")).alias("d")))
+    turns = sent.select(*keys, "_blk", F.explode(turns).alias("_t")).select(*keys, "_blk", F.col("_t.at").alias("_at"), F.col("_t.d").alias("_d"))
+    w = Window.partitionBy(*keys, "_blk").orderBy("_at")
+    held = turns.select(*keys, "_at", F.lead("_at").over(w).alias("_next"),
+                        F.sum("_d").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("bigint").alias(count_col))
+    held = held.where((F.col(count_col) > 0) & (F.col("_at") < F.col("_next")))
+    return held.select(*keys, F.explode(F.sequence(F.col("_at"), F.col("_next") - F.lit(step), F.lit(step))).alias(end_col), count_col)
 
 
 def window_min_by(df: DataFrame, time_col: str, size, keys, value: str, arrival: str,
