@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from eventlens.functions.time import interval_ms
 from eventlens.operators.prefix import Prefix, running_aggregates
-from eventlens.operators.windows import BLOCK_WINDOWS
+from eventlens.operators.windows import counts_of_ranges
 from eventlens.session import materialized
 
 
@@ -60,22 +60,11 @@ def mark_late_sliding(df: DataFrame, ts_ms: str, arrival: list, size, slide, del
                     F.coalesce(t > F.col("_maxts"), F.lit(True)).alias("newest"))
 
 
-def _counts_of_ranges(ranges: DataFrame, keys: list, lo: str, hi: str, size, slide, count_col: str) -> DataFrame:
-    """Sum of ``_n`` per (keys, window end) over ranges of window ends. A range is sent to the one or two
-    blocks of ends that it touches, and laid out and summed there, so laid-out rows are never shuffled."""
-    step, block = interval_ms(slide), interval_ms(size) * BLOCK_WINDOWS
-    of = lambda c: F.floor(F.col(c).cast("double") / float(block)).cast("bigint")
-    sent = ranges.select(*keys, "_n", F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), F.explode(F.sequence(of(lo), of(hi))).alias("_blk"))
-    ends = sent.repartition(*keys, "_blk").select(*keys, "_blk", "_n", F.explode(F.sequence("_lo", "_hi", F.lit(step))).alias("window_end"))
-    own = ends.where(of("window_end") == F.col("_blk"))
-    return own.groupBy(*keys, "_blk", "window_end").agg(F.sum("_n").alias(count_col)).select(*keys, "window_end", count_col)
-
-
 def corrected_counts(marked: DataFrame, keys: list, size, slide, count_col: str = "cnt") -> DataFrame:
     """Final count per (keys, sliding window) of rows marked by ``mark_late_sliding``: what the last
     correction of each window says. Rows combine by their range of windows before the fan-out."""
     ranges = marked.where(~F.col("late")).groupBy(*keys, "open_from", "open_to").agg(F.count(F.lit(1)).alias("_n"))
-    return _counts_of_ranges(ranges, keys, "open_from", "open_to", size, slide, count_col)
+    return counts_of_ranges(ranges, keys, "open_from", "open_to", size, slide, count_col)
 
 
 def first_reaching(instants: DataFrame, at: str, rows: DataFrame, value: str, carry: list) -> DataFrame:
@@ -99,7 +88,7 @@ def window_firings(df: DataFrame, marked: DataFrame, keys: list, ts_ms: str, arr
     newest = materialized(df.where("newest").select(ts_ms, *arrival))
     counted = materialized(marked.where(~F.col("late")).select(*keys, *arrival, "open_from", "open_to", "due_from"))
     in_time = counted.where("due_from <= open_to").groupBy(*keys, "due_from", "open_to").agg(F.count(F.lit(1)).alias("_n"))
-    first = _counts_of_ranges(in_time, keys, "due_from", "open_to", size, slide, "_n")
+    first = counts_of_ranges(in_time, keys, "due_from", "open_to", size, slide, "_n")
     ends = in_time.select("due_from", "open_to").distinct().select(F.explode(F.sequence("due_from", "open_to", F.lit(step))).alias("window_end")).distinct()
     asked = ends.withColumn("_at", F.col("window_end") - 1 + interval_ms(delay))
     fired = first_reaching(materialized(asked), "_at", newest, ts_ms, arrival).drop("_at")

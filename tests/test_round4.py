@@ -9,6 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from eventlens.operators import lateness as LT
 from eventlens.operators import topn as N
 from eventlens.operators import windows as W
 
@@ -59,3 +60,22 @@ def test_hot_pages_dealt_by_block_and_page(spark, monkeypatch):
     top = N.hot_pages(df)
     assert {tuple(r) for r in top.select("url", "window_end", "cnt", "rn").collect()} == want
     assert tasks_of(plan(top))[0] > 5 and "WindowGroupLimit" in plan(top)
+
+
+def test_corrected_counts_are_dealt_by_their_number(spark, monkeypatch):
+    size, slide = 60, 5
+    rows = []
+    for i in range(800):
+        t = i // 3 * 5
+        first, last = (t - size) // slide * slide + slide + size, t // slide * slide + size
+        still = first + i % 15 * slide  # some rows find windows purged, some all of them
+        rows.append((None if i % 97 == 0 else f"/{0 if i % 4 else i % 23}", still * 1000, None if i % 89 == 0 else last * 1000, still > last))
+    marked = spark.createDataFrame(rows, "url string, open_from long, open_to long, late boolean")
+    want = collections.Counter((u, e) for u, lo, hi, late in rows if hi is not None and not late for e in range(lo, hi + 1, slide * 1000))
+    for some, least in ((240, 25), (10**6, 0)):
+        monkeypatch.setenv("EVENTLENS_LAID_OUT_ROWS", str(some))
+        out = LT.corrected_counts(marked, ["url"], f"{size} seconds", f"{slide} seconds")
+        got = out.collect()
+        assert len(got) == len(want) and {(r.url, r.window_end): r.cnt for r in got} == want
+        assert tasks_of(plan(out))[0] >= least if least else not tasks_of(plan(out))
+        assert "HashAggregate" not in plan(out)
