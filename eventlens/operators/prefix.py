@@ -118,7 +118,7 @@ def bucket_count(df: DataFrame) -> int | None:
 
 
 def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, Prefix],
-                       bucket: Column | None = None) -> DataFrame:
+                       bucket: Column | None = None, dealt: DataFrame | None = None) -> DataFrame:
     """Add one column per ``aggs`` entry: the aggregate over the key's rows
     up to (inclusive) or before (exclusive) each row in ``order``.
 
@@ -127,7 +127,9 @@ def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, P
     A ``_pb`` column already present (left by an earlier prefix stage over
     the same order columns) is reused, so chained stages do not
     re-run their upstream plan to find the span; the result keeps ``_pb``
-    when it was present in the input.
+    when it was present in the input. ``dealt`` are the rows of ``df``, with its
+    ``_pb``, where ``repartitionById`` has put each bucket into the task of its number:
+    rows then stay there, and only the totals travel.
     """
     keys = list(keys)
     order_cols = [to_col(o) for o in order]
@@ -149,13 +151,16 @@ def running_aggregates(df: DataFrame, keys: list, order: list, aggs: dict[str, P
     # on the same non-null columns keeps the local partitioning.
     inc = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     exc = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    local = d.select("*", *[_agg(p.kind, p.col).over(inc if p.inclusive else exc).alias(f"_l_{n}")
-                            for n, p in aggs.items()])
+    rows = d if dealt is None else _non_null_keys(dealt, keys)[0]
+    local = rows.select("*", *[_agg(p.kind, p.col).over(inc if p.inclusive else exc).alias(f"_l_{n}")
+                               for n, p in aggs.items()])
     totals = d.groupBy(*part).agg(*[_agg(p.kind, p.col).alias(f"_t_{n}") for n, p in aggs.items()])
     spec = Window.partitionBy(*kcols) if kcols else Window  # no key: one row per bucket in total
     before = spec.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(*part, *[_reagg(p.kind, f"_t_{n}").over(before).alias(f"_p_{n}")
                                     for n, p in aggs.items()])
+    if dealt is not None:
+        prefix = prefix.repartitionById(bucket_count(d), F.col(BUCKET))
     joined = local.join(prefix, on=part, how="inner")
     out = [F.col(c) for c in df.columns if c != BUCKET] + [F.col(BUCKET)] if carried else \
         [F.col(c) for c in df.columns]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from eventlens.functions.text import tokenize_words
 from eventlens.operators.sequence import BLK, local_fan_out
-from eventlens.operators.prefix import Prefix, running_aggregates, with_range_bucket
+from eventlens.operators.prefix import BUCKET, Prefix, bucket_count, rows_per_bucket_default, running_aggregates, with_range_bucket
 
 
 def exact(value: Column) -> Column:
@@ -59,11 +59,21 @@ def word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def rolling_sum(docs: DataFrame, text_col: str = "text", doc_col: str = "doc_id") -> DataFrame:
     """Running count of each word in arrival order (document, then position).
 
-    A token's count is a prefix count of its word over (document, position): one shuffle of the tokens, and range
-    buckets for words that many documents repeat.
+    A token's count is a prefix count of its word over (document, position). Whole texts are dealt by ranges of
+    documents that hold about ``rows_per_bucket_default()`` tokens, and a range is tokenized and numbered in one
+    task; only each range's counts of words are exchanged, never the tokens.
     """
-    words = tokenize_words(docs.select(doc_col, text_col), text_col, with_position=True)
-    r = running_aggregates(words, ["word"], [doc_col, "pos"], {"cnt": Prefix("count")})
+    docs = docs.select(doc_col, text_col)
+    spaces = F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit(" "), F.lit("")))
+    n, tokens = docs.agg(F.count(F.lit(1)), F.sum(spaces + 1)).first()  # a text's tokens are at most its spaces and one
+    docs = with_range_bucket(docs, [doc_col], max(rows_per_bucket_default() * n // max(tokens or 0, 1), 1))
+
+    def words(d):  # a token is never NULL
+        return tokenize_words(d, text_col, with_position=True).withColumn("word", F.coalesce("word", F.lit("")))
+
+    buckets = bucket_count(docs)
+    dealt = words(docs.repartitionById(buckets, F.col(BUCKET))) if buckets > 1 else None
+    r = running_aggregates(words(docs), ["word"], [doc_col, "pos"], {"cnt": Prefix("count")}, dealt=dealt)
     return r.select(doc_col, "pos", "word", "cnt")
 
 

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventlens.operators import lateness as LT
+from eventlens.operators import rolling as R
 from eventlens.operators import topn as N
 from eventlens.operators import windows as W
 
@@ -79,3 +80,24 @@ def test_corrected_counts_are_dealt_by_their_number(spark, monkeypatch):
         assert len(got) == len(want) and {(r.url, r.window_end): r.cnt for r in got} == want
         assert tasks_of(plan(out))[0] >= least if least else not tasks_of(plan(out))
         assert "HashAggregate" not in plan(out)
+
+
+def test_tokens_are_numbered_where_their_texts_lie(spark, monkeypatch):
+    texts = [(i // 2 if i % 13 else None, None if i % 17 == 0 else " ".join(f"w{(i * j) % 7}" for j in range(i % 9)) + " the" * (i % 3) + "  " * (i % 2)) for i in range(120)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    monkeypatch.setenv("EVENTLENS_ROWS_PER_BUCKET", "1000000")
+    seen = collections.Counter(tuple(r) for r in R.rolling_sum(docs).collect())
+    ends = collections.Counter()
+    for (_, _, word, cnt), k in seen.items():
+        ends[word] += k
+    assert all(max(c for _, _, w, c in seen if w == word) == n for word, n in ends.items())
+    monkeypatch.setenv("EVENTLENS_ROWS_PER_BUCKET", "60")
+    out = R.rolling_sum(docs)
+    at, rest = plan(out).splitlines(), ("HashAggregate", "Window", "Scan", "Generate")
+    exchanges = [i for i, x in enumerate(at) if "Exchange " in x]
+    below = [next(w for x in at[i + 1:] for w in rest if w in x) for i in exchanges]
+    # Texts and totals travel; tokens are made after that and neither written nor sent.
+    assert below and "Generate" not in below and any("Generate" in x for x in at)
+    assert collections.Counter((r.word, r.cnt) for r in out.collect()) == collections.Counter((w, c) for (_, _, w, c), k in seen.items() for _ in range(k))
+    tokens = collections.Counter((r.doc_id, r.pos, r.word) for r in out.collect())
+    assert tokens == sum((collections.Counter({(d, p, w): k}) for (d, p, w, _), k in seen.items()), collections.Counter())
